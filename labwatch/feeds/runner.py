@@ -44,7 +44,12 @@ def convert_types(raw: DataFrame, spec: LabSpec, strict: bool = False) -> DataFr
             raise ValueError(f"{spec.lab_id}: value does not cast in {bad[0]['rejected_columns']}")
     if spec.raw_filter is not None:
         rows = rows.filter(spec.raw_filter())
-    out = rows.select(*[value.alias(name) for name, value in typed.items()], "file_name")
+    # Cleaned texts feed many rules, so they are computed once; the others stay plain columns.
+    texts = {n: v for n, v in typed.items() if n in spec.normalise or n in spec.converters}
+    cleaned = [v.alias(n) for n, v in texts.items()]
+    once = [F.inline(F.array(F.struct(*cleaned)))] if cleaned else []
+    out = rows.select(*[v.alias(n) for n, v in typed.items() if n not in texts], "file_name", *once)
+    out = out.select(*typed, "file_name")
     return out.distinct() if spec.distinct_raw else out
 
 
@@ -70,11 +75,14 @@ def fix_values(typed: DataFrame, spec: LabSpec) -> DataFrame:
         keyed = typed.withColumn("__key", sample_id)
         typed = dedupe(keyed, ["__key"], [c for c in typed.columns]).drop("__key")
     rules = {name: rule() for name, rule in spec.rules.items()}
-    passed = [c for c in typed.columns if c not in rules]
+    passed = [F.col(c) for c in typed.columns if c not in rules]
+    result = rules.pop("result", None)
+    once = [] if result is None else [F.inline(F.array(F.struct(result.alias("result"))))]
     out = typed.filter(spec.keep()).select(
         sample_id.alias("sample_id"),
-        *[F.col(c) for c in passed],
+        *passed,
         *[value.alias(name) for name, value in rules.items()],
+        *once,
     )
     out = out.filter(spec.keep_fixed())
     return out if "patient_id" in out.columns else out.withColumn("patient_id", F.lit(None).cast("string"))

@@ -106,16 +106,22 @@ def completeness(
     ``df`` holds one aggregated row per entity and week, so a window per entity is bounded by the
     calendar; the weeks themselves are one short list.
     """
-    weeks = df.agg(F.array_sort(F.collect_set(period))).scalar()
-    newest = F.element_at(weeks, -1)
-    first = F.date_sub(newest, days)
-    year_weeks = F.size(F.filter(weeks, lambda w: w >= first))
+    weeks = F.col("weeks")
+    last = F.element_at(weeks, -1)
+    in_last_year = F.filter(weeks, lambda w: w >= F.date_sub(last, days))
+    calendar = df.agg(F.array_sort(F.collect_set(period)).alias("weeks")).select(
+        F.struct(
+            F.date_sub(last, days).alias("first"),
+            F.size(weeks).alias("weeks"),
+            F.size(in_last_year).alias("year_weeks"),
+        )
+    ).scalar()
     own = W.partitionBy(entity)
-    filled, in_year = F.col(value).isNotNull(), F.col(period) >= first
+    filled, in_year = F.col(value).isNotNull(), F.col(period) >= calendar["first"]
     seen = F.count_if(in_year).over(own)
-    h = F.count_if(filled).over(own).cast("double") / F.size(weeks)
+    h = F.count_if(filled).over(own).cast("double") / calendar["weeks"]
     # An entity without any row in the last year has no year share at all.
-    y = F.when(seen > 0, F.count_if(filled & in_year).over(own).cast("double") / year_weeks)
+    y = F.when(seen > 0, F.count_if(filled & in_year).over(own).cast("double") / calendar["year_weeks"])
     out = df.withColumns({"h": h, "y": y})
     h, y = F.col("h"), F.col("y")
     final = (

@@ -20,6 +20,17 @@ def cast_columns(df: DataFrame, columns: Mapping[str, tuple[Column | str, str]],
     return df.select(*out)
 
 
+def computed_once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Add or replace columns that many later rules and filters read.
+
+    A plain projection would be copied into every filter above it and evaluated again for each
+    mention; behind a one-row generator each expression runs once per row.
+    """
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    fresh = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select(*kept, F.inline(F.array(fresh)))
+
+
 def rejected_rows(df: DataFrame, columns: Mapping[str, tuple[Column | str, str]]) -> DataFrame:
     """Rows with a value that does not cast, with the names of the failing columns."""
     failing = F.array_compact(

@@ -65,7 +65,7 @@ def fix_place(df: DataFrame, fix_state: DataFrame, fix_location: DataFrame) -> D
     """Repair state and place names from two lookup tables of literal names.
 
     A place is looked up under its raw state or under its repaired state. Both lookups are
-    equi-joins on upper-case names; a place found under both states appears once per match.
+    equi-joins on upper-case names (cleaned text is upper case already); a place found under both states appears once per match.
     """
     states = fix_state.select(F.upper("source_state").alias("__s"), F.col("target_state").alias("__fixed"))
     places = fix_location.select(
@@ -74,18 +74,14 @@ def fix_place(df: DataFrame, fix_state: DataFrame, fix_location: DataFrame) -> D
         F.struct(F.col("target_location").alias("to")).alias("__hit"),
     )
     rows = df.withColumns({"location": normalize_text("location"), "state": normalize_text("state")})
-    rows = rows.join(states, F.upper("state") == F.col("__s"), "left").drop("__s")
-    for name, state in (("__raw", F.upper("state")), ("__rep", F.upper("__fixed"))):
-        rows = (
-            rows.withColumns({"__ul": F.upper("location"), "__us": state})
-            .join(
-                places.withColumnRenamed("__hit", name),
-                (F.col("__ul") == F.col("__l")) & (F.col("__us") == F.col("__s")),
-                "left",
-            )
-            .drop("__ul", "__us", "__l", "__s")
-        )
-    same = F.upper("state").eqNullSafe(F.upper("__fixed"))
+    rows = rows.join(states, F.col("state") == F.col("__s"), "left").drop("__s")
+    for name, state in (("__raw", F.col("state")), ("__rep", F.upper("__fixed"))):
+        rows = rows.join(
+            places.withColumnRenamed("__hit", name),
+            (F.col("location") == F.col("__l")) & (state == F.col("__s")),
+            "left",
+        ).drop("__l", "__s")
+    same = F.col("state").eqNullSafe(F.upper("__fixed"))
     hits = F.array_compact(F.array(F.col("__raw"), F.when(~same, F.col("__rep"))))
     spread = rows.withColumn("__hit", F.explode_outer(hits))
     return spread.withColumns(
