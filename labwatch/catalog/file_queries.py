@@ -1 +1,427 @@
-"""Queries."""
+"""Sources, sinks, releases and streams. Files are written below the shared scratch folder first."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from labwatch import vocab
+from labwatch.catalog.base import Tables, query
+from labwatch.catalog.bridge import (
+    STAMP,
+    combined,
+    raw_estimates,
+    samples,
+    sql,
+    summary,
+)
+from labwatch.catalog.feed_queries import FILE, feed_sql, raw_feed
+from labwatch.catalog.function_queries import DATE_TEXT
+from labwatch.catalog.summary_queries import on_long, week_country
+from labwatch.feeds.labs import ESTIMATE_KEYS, FLEURY
+from labwatch.feeds.runner import run_feed, stamp
+from labwatch.functions.dates import try_date
+from labwatch.functions.text import repair_encoding
+from labwatch.operators.merge import upsert
+from labwatch.plans.combine import ReportCity, city_report
+from labwatch.plans.matrices import TABLES
+from labwatch.session import scratch_dir
+from labwatch.sources import readers, repair, sinks
+from labwatch.streaming import ingest
+
+CUSTOMER = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
+CUSTOMER_SQL = "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment FROM customer"
+
+
+def customer_text(t: Tables):
+    return t.customer.select(*[F.col(c).cast("string").alias(c) for c in CUSTOMER])
+
+
+def written(t: Tables, df, label: str, separator: str = ",", encoding: str = "UTF-8") -> str:
+    path = scratch_dir(t.spark, label)
+    df.write.option("header", "true").option("sep", separator).option("encoding", encoding).option(
+        "escape", '"'
+    ).csv(path)
+    return path
+
+
+@query("S01_read_comma", CUSTOMER_SQL)
+def _(t: Tables):
+    path = written(t, customer_text(t), "comma")
+    return readers.read_delimited(t.spark, path, CUSTOMER, glob="*.csv").drop("file_name")
+
+
+@query("S02_read_text_ids", "SELECT concat('000', CAST(o_orderkey AS VARCHAR)) AS id, o_orderstatus FROM orders")
+def _(t: Tables):
+    rows = t.orders.select(F.concat(F.lit("000"), F.col("o_orderkey").cast("string")).alias("id"), "o_orderstatus")
+    path = written(t, rows, "ids")
+    return readers.read_delimited(t.spark, path, ["id", "o_orderstatus"]).drop("file_name")
+
+
+@query("S03_read_semicolon_latin1", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, md5(replace(text, chr(10), ' ')) AS key FROM documents")
+def _(t: Tables):
+    rows = t.documents.select(F.col("doc_id").cast("string").alias("doc_id"), F.replace("text", F.lit("\n"), F.lit(" ")).alias("text"))
+    path = written(t, rows, "semicolon", ";", "ISO-8859-1")
+    back = readers.read_delimited(t.spark, path, ["doc_id", "text"], ";", "ISO-8859-1")
+    return back.select("doc_id", F.md5(F.col("text").cast("binary")).alias("key"))
+
+
+@query("S04_read_tab_latin1", "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, replace(p_name, 'e', 'é') AS p_name FROM part")
+def _(t: Tables):
+    rows = t.part.select(F.col("p_partkey").cast("string").alias("p_partkey"), F.translate("p_name", "e", "é").alias("p_name"))
+    path = written(t, rows, "tab", "\t", "ISO-8859-1")
+    return readers.read_delimited(t.spark, path, ["p_partkey", "p_name"], "\t", "ISO-8859-1").drop("file_name")
+
+
+@query("S04_feed_from_files", feed_sql("FLEURY"))
+def _(t: Tables):
+    raw = raw_feed(t, "FLEURY")
+    path = scratch_dir(t.spark, "fleury")
+    raw.withColumnRenamed("file_name", "delivery").write.options(
+        header="true", sep=FLEURY.separator, encoding=FLEURY.encoding
+    ).csv(path)
+    columns = readers.read_header(t.spark, path, FLEURY.separator, FLEURY.encoding, None)
+    back = readers.read_delimited(t.spark, path, columns, FLEURY.separator, FLEURY.encoding)
+    return run_feed(back.drop("file_name").withColumnRenamed("delivery", "file_name"), FLEURY, as_of=STAMP)
+
+
+# A delivery whose headers vary: the canonical column is absent from it.
+@query("S08_header_aliases", "SELECT c_custkey, c_mktsegment AS \"Cidade\", CAST(c_nationkey AS VARCHAR) AS \"UF\" FROM customer")
+def _(t: Tables):
+    delivered = t.customer.select(
+        "c_custkey",
+        F.col("c_mktsegment").alias("Cidade (Inst Saúde)"),
+        F.col("c_nationkey").cast("string").alias("UF  (Inst Saúde)"),
+    )
+    aliases = {"Cidade": ("Cidade (Inst Saúde)", "Cidade  (Inst Saúde)"), "UF": ("UF (Inst Saúde)", "UF  (Inst Saúde)")}
+    return repair.rename_aliases(delivered, aliases)
+
+
+@query("S08_header_aliases_per_file", "SELECT c_name AS id, c_mktsegment AS \"Cidade\", CAST(c_nationkey AS VARCHAR) AS \"UF\", concat('file_', c_mktsegment) AS file_name FROM customer")
+def _(t: Tables):
+    own = F.col("c_mktsegment") == "BUILDING"
+    city = F.when(own, F.lit("Cidade")).otherwise(F.lit("Cidade (Inst Saúde)"))
+    rows = t.customer.select(
+        F.concat(F.lit("file_"), F.col("c_mktsegment")).alias("file_name"),
+        F.create_map(
+            F.lit("id"), F.col("c_name"), city, F.col("c_mktsegment"), F.lit("UF"), F.col("c_nationkey").cast("string")
+        ).alias("cells"),
+    )
+    return repair.named_columns(rows, ["id", "Cidade", "UF"], {"Cidade": ("Cidade (Inst Saúde)",)})
+
+
+@query(
+    "S09_tagged_columns",
+    """SELECT concat('file_', CAST(l_linenumber AS VARCHAR)) AS file_name, CAST(row_no AS BIGINT) AS row_no,
+        coalesce(CAST(l_suppkey AS VARCHAR), '') AS "CT_N",
+        CASE WHEN l_linenumber <> 2 THEN CASE WHEN l_returnflag = 'A' THEN '' ELSE l_returnflag END END AS "CT_I",
+        CASE WHEN l_linenumber <> 4 THEN l_linestatus END AS "Resultado"
+        FROM (SELECT *, l_orderkey * 100000 + l_partkey AS row_no FROM lineitem)""",
+)
+def _(t: Tables):
+    number = F.col("l_linenumber")
+    # Per file: a tag in every cell; tags with blank cells (absent from file 2); one untagged column
+    # (absent from file 4); an empty column everywhere.
+    untagged = F.when(number != 4, F.col("l_linestatus"))
+    flagged = F.when((number != 2) & (F.col("l_returnflag") != "A"), F.concat(F.lit("CT_I: "), "l_returnflag"))
+    rows = t.lineitem.select(
+        F.concat(F.lit("file_"), number.cast("string")).alias("file_name"),
+        (F.col("l_orderkey") * 100000 + F.col("l_partkey")).alias("row_no"),
+        F.create_map(
+            F.lit("Resultado"),
+            F.concat(F.lit("CT_N:  "), F.col("l_suppkey").cast("string")),
+            F.lit("Resultado.1"),
+            flagged,
+            F.lit("Resultado.2"),
+            untagged,
+            F.lit("Resultado.3"),
+            F.lit("  "),
+        ).alias("cells"),
+    )
+    fixed = repair.tagged_columns(rows, "Resultado")
+    cell = {n: F.try_element_at("cells", F.lit(n)).alias(n) for n in ("CT_N", "CT_I", "Resultado")}
+    return fixed.select("file_name", "row_no", *cell.values())
+
+
+@query(
+    "S10_date_formats",
+    f"""SELECT o_orderkey, CASE WHEN o_custkey % 5 < 4 THEN CAST(o_orderdate AS DATE) END AS date_testing FROM orders""",
+)
+def _(t: Tables):
+    parsed = try_date("d", "d/M/yyyy", "yyyy-MM-dd HH:mm:ss", "yyyy-M-d")
+    return t.orders.selectExpr("o_orderkey", f"{DATE_TEXT} as d").select("o_orderkey", parsed.alias("date_testing"))
+
+
+@query("S11_file_names", "SELECT n_regionkey, count(*) AS n, TRUE AS named FROM nation GROUP BY 1")
+def _(t: Tables):
+    path = written(t, t.nation.select(F.col("n_regionkey").cast("string").alias("k"), "n_name"), "named")
+    rows = readers.read_delimited(t.spark, path, ["k", "n_name"])
+    return rows.groupBy(F.col("k").cast("int").alias("n_regionkey")).agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(F.col("file_name").rlike(r"part-.*\.csv$")).alias("named")
+    )
+
+
+@query("S12_files_by_extension", "SELECT n_name FROM nation")
+def _(t: Tables):
+    base = scratch_dir(t.spark, "mixed")
+    t.nation.select("n_name").write.option("header", "true").csv(f"{base}/a")
+    t.region.select("r_name").write.option("header", "true").json(f"{base}/b")
+    return readers.read_delimited(t.spark, base, ["n_name"], glob="*.csv", recursive=True).drop("file_name")
+
+
+@query("S13_replace_table", "SELECT * FROM orders WHERE o_orderstatus = 'F'")
+def _(t: Tables):
+    path = scratch_dir(t.spark, "raw")
+    sinks.replace_table(t.orders, path)
+    sinks.replace_table(t.orders.filter("o_orderstatus = 'F'"), path)
+    return readers.read_table(t.spark, path=path)
+
+
+@query("S14_scan", "SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY 1")
+def _(t: Tables):
+    return t.customer.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
+
+
+EARLIER = "2026-01-01 08:00:00"
+
+
+@query(
+    "S15_upsert",
+    sql(
+        f"""SELECT sample_id, test_kit, CASE WHEN date_testing < DATE '2025-01-01' THEN 'pending' ELSE sex END AS sex,
+        CASE WHEN date_testing < DATE '2026-01-01' THEN TIMESTAMP '{EARLIER}' ELSE TIMESTAMP '{STAMP}' END AS created_at,
+        CASE WHEN date_testing < DATE '2025-01-01' THEN TIMESTAMP '{EARLIER}' ELSE TIMESTAMP '{STAMP}' END AS updated_at FROM samples""",
+        "samples",
+    ),
+)
+def _(t: Tables):
+    rows = stamp(samples(t), EARLIER).select("sample_id", "test_kit", "sex", "created_at", "updated_at", "date_testing")
+    old = rows.filter("date_testing < date '2026-01-01'").withColumn("sex", F.lit("pending"))
+    now = F.lit(STAMP).cast("timestamp_ntz")
+    new = rows.filter("date_testing >= date '2025-01-01'").withColumns({"created_at": now, "updated_at": now})
+    return upsert(old.drop("date_testing"), new.drop("date_testing"), ["sample_id"])
+
+
+@query(
+    "S16_upsert_four_keys",
+    sql(
+        """SELECT "SE", city_ibge_code, state_code, disease, casos_estimados,
+        CASE WHEN "data_fimSE" < DATE '2026-01-01' THEN 'old' ELSE 'new' END AS created_at FROM estimates""",
+        "estimates",
+    ),
+)
+def _(t: Tables):
+    rows = readers.cast_estimates(raw_estimates(t)).select(*ESTIMATE_KEYS, "casos_estimados", "data_fimSE")
+    old = rows.filter("data_fimSE < date '2026-01-01'").withColumns(
+        {"casos_estimados": F.when(F.col("data_fimSE") < "2025-01-01", F.col("casos_estimados")), "created_at": F.lit("old")}
+    )
+    new = rows.filter("data_fimSE >= date '2025-01-01'").withColumn("created_at", F.lit("new"))
+    return upsert(old.drop("data_fimSE"), new.drop("data_fimSE"), ESTIMATE_KEYS)
+
+
+@query("S17_audit_stamps", sql(f"SELECT sample_id, TIMESTAMP '{STAMP}' AS created_at, TIMESTAMP '{STAMP}' AS updated_at FROM samples", "samples"))
+def _(t: Tables):
+    return stamp(samples(t), STAMP).select("sample_id", "created_at", "updated_at")
+
+
+EXPORT = ["sample_id", "lab_id", "test_kit", "age", "location", "state", "epiweek_enddate", "denv_test_result"]
+EXPORT_SQL = sql(f"SELECT {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in EXPORT)} FROM combined", "combined")
+
+
+@query("S18_tab_export", EXPORT_SQL)
+def _(t: Tables):
+    path = scratch_dir(t.spark, "export")
+    sinks.write_delimited(combined(t).select(*EXPORT), path)
+    return readers.read_delimited(t.spark, path, EXPORT, "\t").drop("file_name")
+
+
+@query("S19_compressed_export", EXPORT_SQL)
+def _(t: Tables):
+    path = scratch_dir(t.spark, "export-gz")
+    sinks.write_delimited(combined(t).select(*EXPORT), path, compression="gzip")
+    return readers.read_delimited(t.spark, path, EXPORT, "\t", glob="*.csv.gz").drop("file_name")
+
+
+_WEEK = ["Semanas epidemiológicas", "Positividade (%)", "Positivos", "Negativos", "Total de casos"]
+
+
+@query(
+    "S20_export_tables",
+    on_long(f"""SELECT "Semanas epidemiológicas"::VARCHAR AS week, "Positivos"::VARCHAR AS pos, "Total de casos"::VARCHAR AS total
+        FROM ({week_country("denv")})"""),
+)
+def _(t: Tables):
+    base = scratch_dir(t.spark, "matrices")
+    s = summary(t)
+    names = [
+        "02_DENV_line_bar_posrate_posneg_direct_week_country_h",
+        "matrix_ALL_count_by_labid_testkit_pathogen_result",
+    ]
+    done = sinks.export_tables({n: (lambda n=n: TABLES[n].ordered(s)) for n in names}, base, public_only=True)
+    back = readers.read_delimited(t.spark, done[0][1], _WEEK)
+    return back.select(
+        F.col(_WEEK[0]).alias("week"), F.col("Positivos").alias("pos"), F.col("`Total de casos`").alias("total")
+    )
+
+
+CITY = ReportCity(code=3300071, name="Building Nation 7", state_code="N7")
+REPORT = ["date_testing", "test_kit", "age_group", "location", "state_code", "location_ibge_code", "pathogen", "result", "count"]
+
+
+@query(
+    "S21_report_export",
+    sql(
+        f"""SELECT pathogen, result, CAST(count(*) AS BIGINT) AS tests FROM (SELECT {", ".join(f"{c} AS {p}" for p, c in vocab.RESULT_OF.items())}
+        FROM combined WHERE location_ibge_code = {CITY.code}) UNPIVOT (result FOR pathogen IN ({", ".join(vocab.PATHOGENS)}))
+        WHERE result <> 'NT' GROUP BY 1, 2""",
+        "combined",
+    ),
+)
+def _(t: Tables):
+    path = scratch_dir(t.spark, "report")
+    sinks.write_delimited(city_report(combined(t), CITY), path)
+    back = readers.read_delimited(t.spark, path, REPORT, "\t")
+    return back.groupBy("pathogen", "result").agg(F.sum(F.col("count").cast("long")).alias("tests"))
+
+
+# Release folders of the past: one per order day, the latest one of the current week.
+FOLDER = "concat(cast(cast(o_orderdate as date) as string), '_10h00_Arbo_SE05.1998_V', cast(o_custkey % 7 as string))"
+
+
+@query(
+    "S22_release_name",
+    f"""SELECT CAST(regexp_extract(last, 'V([0-9]+)', 1) AS INTEGER) + 1 AS version,
+        concat('1998-02-10_09h30_Arbo_SE05.1998_V', CAST(regexp_extract(last, 'V([0-9]+)', 1) AS INTEGER) + 1) AS release
+        FROM (SELECT max({FOLDER}) AS last FROM orders)""",
+)
+def _(t: Tables):
+    releases = t.orders.selectExpr(f"{FOLDER} as release")
+    return sinks.release_name(releases, "1998-02-10 09:30:00")
+
+
+@query("S24_used_files", f"SELECT DISTINCT {FILE} AS file_name FROM lineitem")
+def _(t: Tables):
+    return readers.used_files(t.lineitem.selectExpr(f"{FILE} as file_name"))
+
+
+@query("S25_row_counts", "SELECT o_orderstatus, count(*) AS n, (SELECT count(*) FROM orders) AS written FROM orders GROUP BY 1")
+def _(t: Tables):
+    path = scratch_dir(t.spark, "counted")
+    rows = sinks.replace_table(t.orders, path)
+    back = readers.read_table(t.spark, path=path).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    return back.withColumn("written", F.lit(rows).cast("long"))
+
+
+@query(
+    "S26_packed_rows",
+    "SELECT c_custkey, c_name AS name, concat(c_mktsegment, ', no. \"', c_nationkey, '\"') AS place, c_mktsegment AS segment FROM customer",
+)
+def _(t: Tables):
+    quoted = F.concat(F.lit('"'), "c_mktsegment", F.lit(', no. ""'), F.col("c_nationkey").cast("string"), F.lit('"""'))
+    packed = t.customer.select("c_custkey", F.concat_ws(",", "c_name", quoted, "c_mktsegment").alias("line"))
+    row = readers.parse_packed("line", ["name", "place", "segment"])
+    return packed.select("c_custkey", F.inline(F.array(row)))
+
+
+@query("S27_encoding_repair", "SELECT doc_id, md5(text) AS key FROM documents")
+def _(t: Tables):
+    broken = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
+    return t.documents.select("doc_id", F.md5(repair_encoding(broken).cast("binary")).alias("key"))
+
+
+@query("S28_whole_table", "SELECT * FROM supplier")
+def _(t: Tables):
+    return readers.read_table(t.spark, path=f"{t.folder}/supplier.parquet")
+
+
+# --- streams ---------------------------------------------------------------------------------
+
+
+def event_batches(t: Tables, files: int = 4) -> str:
+    """The events as several delivered files, split by time."""
+    path = scratch_dir(t.spark, "events")
+    t.events.repartitionByRange(files, "ts").write.parquet(path)
+    return path
+
+
+@query("X01_new_files", "SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1")
+def _(t: Tables):
+    base = scratch_dir(t.spark, "stream")
+    stream = ingest.stream_files(t.spark, event_batches(t), t.events.schema, "parquet", "*.parquet", files_per_batch=1)
+    for _ in range(2):
+        # The second run finds no unseen file.
+        query_ = (
+            stream.writeStream.format("parquet")
+            .option("path", f"{base}/out")
+            .option("checkpointLocation", f"{base}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query_.awaitTermination()
+    out = t.spark.read.parquet(f"{base}/out")
+    return out.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("users"))
+
+
+EVENT = ["event_id", "user_id", "event_type", "value"]
+
+
+@query("X03_stream_upsert", f"SELECT {', '.join(EVENT)} FROM events")
+def _(t: Tables):
+    base = scratch_dir(t.spark, "upsert")
+    stream = ingest.stream_files(t.spark, event_batches(t), t.events.schema, "parquet", files_per_batch=2)
+    ingest.run_available(stream.select(*EVENT), ingest.upsert_step(f"{base}/table", ["event_id"]), f"{base}/checkpoint")
+    return sinks.read_snapshot(t.spark, f"{base}/table")
+
+
+@query("X04_late_files", f"SELECT event_id, user_id, upper(event_type) AS event_type, 'first' AS created_at FROM events")
+def _(t: Tables):
+    base = scratch_dir(t.spark, "late")
+    columns = ["event_id", "user_id", "event_type"]
+    for run, change in (("first", F.col("event_type")), ("second", F.upper("event_type"))):
+        # The second delivery repeats every event with a correction.
+        path = scratch_dir(t.spark, f"late-{run}")
+        t.events.select("event_id", "user_id", change.alias("event_type"), F.lit(run).alias("created_at")).write.parquet(path)
+        schema = t.spark.read.parquet(path).schema
+        stream = ingest.stream_files(t.spark, path, schema, "parquet").drop("file_name")
+        offset = 0 if run == "first" else 1000
+
+        def step(batch, number, offset=offset):
+            sinks.merge_into(t.spark, batch, f"{base}/table", ["event_id"], ingest.batch_version(number + offset))
+
+        ingest.run_available(stream, step, f"{base}/checkpoint-{run}")
+    return sinks.read_snapshot(t.spark, f"{base}/table").select(*columns, "created_at")
+
+
+@query("X05_refresh", "SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1")
+def _(t: Tables):
+    base = scratch_dir(t.spark, "refresh")
+
+    def rebuild(spark, table):
+        rows = sinks.read_snapshot(spark, table)
+        totals = rows.groupBy("event_type").agg(
+            F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total")
+        )
+        sinks.replace_table(totals, f"{base}/totals")
+
+    stream = ingest.stream_files(t.spark, event_batches(t), t.events.schema, "parquet", files_per_batch=2)
+    step = ingest.upsert_step(f"{base}/table", ["event_id"], then=rebuild)
+    ingest.run_available(stream.select(*EVENT), step, f"{base}/checkpoint")
+    return t.spark.read.parquet(f"{base}/totals")
+
+
+WEEKLY = """SELECT CAST(ts AS DATE) - CAST(dayofweek(ts) AS INTEGER) AS week_start,
+    CAST(ts AS DATE) - CAST(dayofweek(ts) AS INTEGER) + 6 AS week_end, event_type, count(*) AS n FROM events GROUP BY ALL"""
+
+
+@query("X06_weekly_counts_stream", WEEKLY)
+def _(t: Tables):
+    base = scratch_dir(t.spark, "weekly")
+    stream = ingest.stream_files(t.spark, event_batches(t), t.events.schema, "parquet", files_per_batch=1)
+    counts = ingest.weekly_counts(stream.withColumn("ts", F.col("ts").cast("timestamp")), "ts", ["event_type"])
+    step = ingest.upsert_step(f"{base}/table", ["week_start", "event_type"])
+    ingest.run_available(counts, step, f"{base}/checkpoint", mode="update")
+    return sinks.read_snapshot(t.spark, f"{base}/table")
+
+
+@query("X06_weekly_counts_batch", WEEKLY)
+def _(t: Tables):
+    return ingest.weekly_counts(t.events.withColumn("ts", F.col("ts").cast("timestamp")), "ts", ["event_type"])

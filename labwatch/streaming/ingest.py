@@ -98,11 +98,15 @@ def stream_feed(
     return run_available(raw, step, checkpoint)
 
 
-def weekly_counts(events: DataFrame, ts: str, keys: list[str], late: str = "14 days") -> DataFrame:
-    """Counts per Sunday-to-Saturday week; works on streams and tables alike."""
+def weekly_counts(events: DataFrame, ts: str, keys: list[str], late: str | None = None) -> DataFrame:
+    """Counts per Sunday-to-Saturday week; works on streams and tables alike.
+
+    Without ``late`` no row is ever too late (update mode; the state is one row per week and key).
+    With it, weeks older than the watermark are final, as append mode needs.
+    """
     # Weeks counted from the epoch start on Thursday; three days later is Sunday.
     week = F.window(F.col(ts), "7 days", "7 days", "3 days")
-    if events.isStreaming:
+    if events.isStreaming and late:
         events = events.withWatermark(ts, late)
     counted = events.groupBy(week.alias("w"), *keys).agg(F.count(F.lit(1)).alias("n"))
     start = F.col("w.start").cast("date")
