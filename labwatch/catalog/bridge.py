@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from labwatch import vocab
 from labwatch.catalog.base import Tables
 from labwatch.functions.dates import epi_number, epi_year, week_end, week_start
+from labwatch.functions.text import sample_key
 from labwatch.operators.shaping import one_hot
 from labwatch.operators.windows import collapse_samples
 from labwatch.plans.combine import Dimensions, enrich, summary_rows
@@ -95,7 +96,7 @@ def lab_lines(t: Tables) -> DataFrame:
 def coded_lines(t: Tables) -> DataFrame:
     """Usable lines with their sample id and one column per pathogen."""
     usable = lab_lines(t).filter(F.coalesce(F.col("result"), F.lit(0)) != vocab.INDETERMINATE)
-    sample = F.md5(F.concat("lab_id", "test_id", "exame").cast("binary"))
+    sample = sample_key("lab_id", "test_id", "exame")
     codes = {p: [p] for p in vocab.PATHOGENS}
     return usable.select(sample.alias("sample_id"), "*", *one_hot("analyte", "result", codes))
 
@@ -107,27 +108,32 @@ def samples(t: Tables) -> DataFrame:
     return collapse_samples(coded_lines(t), "sample_id", SAMPLE_COLUMNS)
 
 
-def dimensions(t: Tables) -> Dimensions:
-    places = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(
-        t.region, F.col("n_regionkey") == F.col("r_regionkey")
-    )
+# Folders whose dimensions this application has verified already, and what was found.
+_SMALL: dict[tuple[str, str], bool] = {}
 
-    def view(columns: dict[str, str], of: DataFrame = places) -> DataFrame:
-        return of.selectExpr(*[f"{e} as {n}" for n, e in columns.items()]).distinct()
 
-    people = places.filter("NOT (n_nationkey = 3 AND c_mktsegment = 'FURNITURE')").groupBy(
-        "n_nationkey", "c_mktsegment"
-    )
-    macro = people.agg(F.expr(POPULATION).alias("Populacao"))
-    states = view(FIX_STATE, t.nation).unionByName(
-        t.nation.selectExpr(*[f"{e} as {n}" for n, e in FIX_STATE_VOID.items()]).distinct()
-    )
+def dimensions(t: Tables) -> Dimensions:
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    dims = _dimensions(t)
+    if key not in _SMALL:
+        _SMALL[key] = dims.verified().small
+    return dims.marked(_SMALL[key])
+
+
+def _dimensions(t: Tables) -> Dimensions:
+    def view(of: DataFrame, columns: dict[str, str]) -> DataFrame:
+        return of.selectExpr(*[f"{e} as {n}" for n, e in columns.items()])
+
+    customers = t.customer.withColumnRenamed("c_nationkey", "n_nationkey")
+    pairs = customers.select("n_nationkey", "c_mktsegment").distinct()
+    places = pairs.join(t.nation, "n_nationkey").join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    people = customers.filter("NOT (n_nationkey = 3 AND c_mktsegment = 'FURNITURE')")
+    macro = people.groupBy("n_nationkey", "c_mktsegment").agg(F.expr(POPULATION).alias("Populacao"))
     return Dimensions(
-        municipalities=view(MUNICIPALITIES),
+        municipalities=view(places, MUNICIPALITIES),
         macroregions=macro.selectExpr(*[f"{e} as {n}" for n, e in MACRO.items()], "Populacao"),
-        fix_state=states,
-        fix_location=view(FIX_LOCATION),
-        check=False,
+        fix_state=view(t.nation, FIX_STATE).unionByName(view(t.spark.range(1), FIX_STATE_VOID)),
+        fix_location=view(pairs, FIX_LOCATION),
     )
 
 

@@ -1,8 +1,8 @@
 """Joins that stay equi-joins.
 
-No side is hinted as broadcast on trust: dimension sides are left to the size check of
-``spark.sql.autoBroadcastJoinThreshold`` (static and adaptive), and the only explicit broadcast is
-the hot-key list of :func:`join_back`, whose length is bounded by ``HOT_SHARE``.
+No side is broadcast on trust. Dimension sides are left to the size check of
+``spark.sql.autoBroadcastJoinThreshold`` (static and adaptive), or were counted by their caller; the
+only other broadcast is the hot-key list of :func:`join_back`, bounded by ``HOT_SHARE``.
 """
 
 from __future__ import annotations
@@ -17,14 +17,23 @@ HOT_SHARE = 100_000
 # Keys below this many lines never count as hot.
 HOT_FLOOR = 200_000
 
+# Signs that make a LIKE pattern more than a literal.
+WILDCARD = r"[%_\\]"
 # Most wildcard patterns a pattern table may hold.
 MAX_PATTERNS = 5_000
 
 
-def same_key(left: str, right: str, keys: list[str]) -> Column:
+def same_key(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    """Key equality of frames aliased ``l`` and ``s``; NULL equals NULL where a key can be NULL.
+
+    Plain equality keeps an aggregate's partitioning usable, so it is used where it can be.
+    """
+    nullable = {f.name: f.nullable for f in left.schema.fields}
     out = F.lit(True)
     for key in keys:
-        out = out & F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.{key}"))
+        a, b = F.col(f"l.{key}"), F.col(f"s.{key}")
+        may_be_null = nullable[key] or right.schema[key].nullable
+        out = out & (a.eqNullSafe(b) if may_be_null else a == b)
     return out
 
 
@@ -42,12 +51,11 @@ def join_back(lines: DataFrame, stats: DataFrame, keys: list[str], weight: str,
     extra = [c for c in stats.columns if c not in keys]
 
     def joined(left: DataFrame, right: DataFrame) -> DataFrame:
-        return left.alias("l").join(right.alias("s"), same_key("l", "s", keys), "inner").select(
-            "l.*", *[F.col(f"s.{c}") for c in extra]
-        )
+        on = same_key(lines, stats, keys)
+        return left.alias("l").join(right.alias("s"), on, "inner").select("l.*", *[F.col(f"s.{c}") for c in extra])
 
     # The hot lines are told apart by the same list, so every line takes exactly one of the ways.
-    cold_lines = lines.alias("l").join(hot.select(*keys).alias("s"), same_key("l", "s", keys), "left_anti")
+    cold_lines = lines.alias("l").join(hot.select(*keys).alias("s"), same_key(lines, stats, keys), "left_anti")
     return joined(lines, hot).unionByName(joined(cold_lines, cold))
 
 
@@ -102,7 +110,7 @@ def interval_join(
 def has_wildcards(dim: DataFrame, columns: list[str]) -> bool:
     found = F.lit(False)
     for c in columns:
-        found = found | F.coalesce(F.col(c).rlike(r"[%_\\]"), F.lit(False))
+        found = found | F.coalesce(F.col(c).rlike(WILDCARD), F.lit(False))
     return not dim.filter(found).isEmpty()
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,12 +11,16 @@ from pyspark.sql import functions as F
 from labwatch import vocab
 from labwatch.functions.dates import epi_number, week_end, year_month
 from labwatch.functions.text import kit_method, normalize_text, region_name
-from labwatch.operators.joins import assert_unique, band_join, has_wildcards
+from labwatch.operators.joins import WILDCARD, assert_unique, band_join, join_back
 from labwatch.operators.merge import union_feeds
 from labwatch.operators.shaping import completed_weeks, or_missing, unpivot_results
 from labwatch.schema import LAB_COLUMNS
 
 
+# Dimensions up to this many rows (checked) are broadcast; larger ones take the way over distinct places.
+MAX_BROADCAST_ROWS = 100_000
+
+
 @dataclass(frozen=True)
 class Dimensions:
     municipalities: DataFrame
@@ -24,9 +29,51 @@ class Dimensions:
     fix_location: DataFrame
     # Without them the fixed bands and the calendar arithmetic are used.
     age_groups: DataFrame | None = None
-    epiweeks: DataFrame | None = None
-    # Whether the dimension keys are checked for repeats first (one small job per dimension).
-    check: bool = True
+    # Set by ``verified``: whether every table is small enough for broadcast.
+    small: bool | None = None
+
+    # Table -> (key columns, whether the keys are names that must hold no wildcards).
+    KEYS = {
+        "municipalities": (["NM_MUN_NORM", "NM_UF_NORM"], False),
+        "macroregions": (["CO_UF", "ADM2_PCODE"], False),
+        "fix_state": (["source_state"], True),
+        "fix_location": (["source_location", "source_state"], True),
+    }
+
+    def marked(self, small: bool) -> Dimensions:
+        """The verified dimensions, marked for broadcast when they are small."""
+        if not small:
+            return replace(self, small=False)
+        return replace(self, small=True, **{name: F.broadcast(getattr(self, name)) for name in self.KEYS})
+
+    def verified(self, limit: int = MAX_BROADCAST_ROWS) -> Dimensions:
+        """Check sizes, key uniqueness and wildcards in one job; once per set of dimension tables."""
+        if self.small is not None:
+            return self
+        parts = []
+        for name, (keys, literal) in self.KEYS.items():
+            rows = getattr(self, name).select(*keys).limit(limit + 1)
+            present = F.coalesce(*[F.col(k).cast("string") for k in keys]).isNotNull()
+            wild = reduce(lambda x, y: x | y, [F.coalesce(F.col(k).rlike(WILDCARD), F.lit(False)) for k in keys])
+            parts.append(
+                rows.agg(
+                    F.lit(name).alias("name"),
+                    F.count(F.lit(1)).alias("n"),
+                    F.count_if(present).alias("keyed"),
+                    F.countDistinct(F.when(present, F.struct(*keys))).alias("different"),
+                    F.count_if(wild & F.lit(literal)).alias("wild"),
+                )
+            )
+        found = reduce(DataFrame.unionAll, parts).collect()
+        for row in found:
+            keys, _ = self.KEYS[row["name"]]
+            if row["n"] > limit:
+                assert_unique(getattr(self, row["name"]), keys, row["name"])
+            elif row["keyed"] != row["different"]:
+                raise ValueError(f"{row['name']}: the key {keys} repeats")
+            if row["wild"]:
+                raise ValueError(f"{row['name']} holds wildcards; place repair takes literal names")
+        return self.marked(all(row["n"] <= limit for row in found))
 
 
 def combine_feeds(finals: dict[str, DataFrame], distinct: bool = True, methods: DataFrame | None = None) -> DataFrame:
@@ -93,52 +140,58 @@ def fix_place(df: DataFrame, fix_state: DataFrame, fix_location: DataFrame) -> D
 
 
 def add_geography(df: DataFrame, municipalities: DataFrame, macroregions: DataFrame) -> DataFrame:
-    """Official names and codes of a place; the two dimensions are joined to each other first."""
+    """Official names and codes of a place."""
     areas = macroregions.select(
         F.col("CO_UF").alias("__uf"),
         F.col("ADM2_PCODE").alias("__code"),
         F.col("DS_NOMEPAD_macsaud").alias("macroregion"),
         F.col("CO_MACSAUD").alias("macroregion_code"),
     )
-    places = municipalities.join(
-        areas,
-        (F.col("CD_UF") == F.col("__uf")) & (F.concat(F.lit("BR"), F.col("CD_MUN").cast("string")) == F.col("__code")),
-        "left",
-    ).select(
+    places = municipalities.select(
         F.col("NM_MUN_NORM").alias("__place"),
         F.col("NM_UF_NORM").alias("__state"),
         F.col("NM_MUN").alias("location"),
         F.col("NM_UF").alias("state"),
         region_name("REGIAO").alias("region"),
-        "macroregion",
-        "macroregion_code",
         F.col("SIGLA_UF").alias("state_code"),
         F.col("CD_UF").alias("state_ibge_code"),
         F.col("CD_MUN").alias("location_ibge_code"),
+        F.concat(F.lit("BR"), F.col("CD_MUN").cast("string")).alias("__area"),
         "lat",
         "long",
     )
     rows = df.withColumnsRenamed({"location": "__raw_place", "state": "__raw_state"})
-    joined = rows.join(
+    located = rows.join(
         places, (F.col("__raw_place") == F.col("__place")) & (F.col("__raw_state") == F.col("__state")), "left"
     )
-    return joined.withColumn("country", F.lit(vocab.COUNTRY)).drop("__raw_place", "__raw_state", "__place", "__state")
-
-
-def enrich(rows: DataFrame, dims: Dimensions) -> DataFrame:
-    """Unioned finals -> combined, one plan without a shuffle while the dimensions stay small."""
-    if dims.check:
-        assert_unique(dims.municipalities, ["NM_MUN_NORM", "NM_UF_NORM"], "municipalities")
-        assert_unique(dims.macroregions, ["CO_UF", "ADM2_PCODE"], "macroregions")
-        assert_unique(dims.fix_state, ["source_state"], "fix_state")
-        assert_unique(dims.fix_location, ["source_location", "source_state"], "fix_location")
-        if has_wildcards(dims.fix_state, ["source_state"]) or has_wildcards(
-            dims.fix_location, ["source_location", "source_state"]
-        ):
-            raise ValueError("place repair tables hold literal names only; use pattern_join for wildcards")
-    out = add_epiweek(add_age_group(rows, dims.age_groups))
-    out = fix_place(out, dims.fix_state, dims.fix_location)
-    return add_geography(out, dims.municipalities, dims.macroregions)
+    joined = located.join(
+        areas, (F.col("state_ibge_code") == F.col("__uf")) & (F.col("__area") == F.col("__code")), "left"
+    )
+    return joined.withColumn("country", F.lit(vocab.COUNTRY)).drop(
+        "__raw_place", "__raw_state", "__place", "__state", "__area", "__uf", "__code"
+    )
+
+
+def enrich(rows: DataFrame, dims: Dimensions, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Unioned finals -> combined.
+
+    With small dimensions this is one pass without a shuffle. Otherwise the distinct place names
+    are enriched and joined back, so a place that holds much of the data is never one task.
+    """
+    facts = add_epiweek(add_age_group(rows, dims.age_groups))
+    dims = dims.verified(limit)
+    if dims.small:
+        return add_geography(
+            fix_place(facts, dims.fix_state, dims.fix_location), dims.municipalities, dims.macroregions
+        )
+    named = facts.withColumnsRenamed({"location": "__place_name", "state": "__state_name"})
+    keys = ["__place_name", "__state_name"]
+    places = named.groupBy(*keys).agg(F.count(F.lit(1)).alias("__lines"))
+    texts = places.withColumns({"location": F.col("__place_name"), "state": F.col("__state_name")})
+    known = add_geography(
+        fix_place(texts, dims.fix_state, dims.fix_location), dims.municipalities, dims.macroregions
+    )
+    return join_back(named, known, keys, "__lines").drop(*keys, "__lines")
 
 
 def combine(finals: dict[str, DataFrame], dims: Dimensions, distinct: bool = False) -> DataFrame:

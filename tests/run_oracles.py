@@ -12,7 +12,7 @@ from labwatch.session import build_session  # noqa: E402
 
 
 def main(folder: str, prefixes: list[str]) -> int:
-    spark = build_session("local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+    spark = build_session("local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     queries, oracles = entry.queries(), entry.oracle_sql()
     bad = 0
