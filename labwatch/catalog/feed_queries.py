@@ -208,8 +208,9 @@ RAW: dict[str, dict[str, str]] = {
 
 
 def raw_feed(t: Tables, lab: str):
-    exprs = RAW[lab]
-    return wide_lines(t).select(*[F.expr(e).alias(h) for h, e in exprs.items()], F.expr(FILE).alias("file_name"))
+    """The delivery as plain columns, as if read from files."""
+    columns = [F.expr(e).alias(h) for h, e in RAW[lab].items()]
+    return wide_lines(t).select(F.inline(F.array(F.struct(*columns, F.expr(FILE).alias("file_name")))))
 
 
 def raw_sql(spec: LabSpec) -> str:

@@ -17,8 +17,9 @@ from labwatch.functions.results import (
     cutoff_result,
     lookup,
     plausible_age,
+    prefix_pattern,
 )
-from labwatch.functions.text import drop_punctuation, normalize_sex, state_name, strip_accents
+from labwatch.functions.text import drop_punctuation, normalize_sex, plain_upper, state_name
 from labwatch.operators.shaping import any_present, none_of
 
 POS, NEG = vocab.POSITIVE, vocab.NEGATIVE
@@ -200,40 +201,48 @@ SABIN_ALLOWED = [
 ]
 
 
+# Codes that decide the kit alone.
+SABIN_KITS = {
+    **dict.fromkeys(SABIN_IGG, "igg_serum"),
+    **dict.fromkeys(SABIN_IGM, "igm_serum"),
+    **dict.fromkeys(SABIN_NS1, "ns1_antigen"),
+    **dict.fromkeys(SABIN_CHIKV_PCR, "chikv_pcr"),
+    **dict.fromkeys(SABIN_ZIKV_PCR, "zikv_pcr"),
+    **dict.fromkeys(SABIN_OROV_PCR, "orov_pcr"),
+    **dict.fromkeys(SABIN_MAYV_PCR, "mayv_pcr"),
+}
+SABIN_WORDS = {**dict.fromkeys(SABIN_POSITIVE, POS), **dict.fromkeys(SABIN_NEGATIVE, NEG)}
+
+
 def sabin_kit() -> Column:
-    code = "detalhe_exame"
+    code = F.col("detalhe_exame")
+    dengue = F.lit(False)
+    for own, exam in SABIN_DENV_PCR:
+        dengue = dengue | ((code == own) & no_case("exame", exam))
     return classify(
         [
-            (one_of(code, *SABIN_MULTIPLEX_CODES) & no_case("exame", SABIN_MULTIPLEX), "arbo_pcr_3"),
-            (one_of(code, *SABIN_IGG), "igg_serum"),
-            (one_of(code, *SABIN_IGM), "igm_serum"),
-            (one_of(code, *SABIN_NS1), "ns1_antigen"),
-            *[((F.col(code) == own) & no_case("exame", exam), "denv_pcr") for own, exam in SABIN_DENV_PCR],
-            (one_of(code, *SABIN_CHIKV_PCR), "chikv_pcr"),
-            (one_of(code, *SABIN_ZIKV_PCR), "zikv_pcr"),
-            (one_of(code, *SABIN_OROV_PCR), "orov_pcr"),
-            (one_of(code, *SABIN_MAYV_PCR), "mayv_pcr"),
-            ((F.col(code) == SABIN_YFV[0]) & (F.col("exame") == SABIN_YFV[1]), "yfv_pcr"),
+            (code.isin(*SABIN_MULTIPLEX_CODES) & no_case("exame", SABIN_MULTIPLEX), "arbo_pcr_3"),
+            (dengue, "denv_pcr"),
+            ((code == SABIN_YFV[0]) & (F.col("exame") == SABIN_YFV[1]), "yfv_pcr"),
         ],
-        UNKNOWN_KIT,
+        lookup(code, SABIN_KITS, UNKNOWN_KIT),
     )
 
 
 def plain_result(raw: Column) -> Column:
-    return strip_accents(F.upper(F.btrim(raw, F.lit(" "))))
+    return plain_upper(F.btrim(raw, F.lit(" ")))
 
 
 def sabin_result() -> Column:
     text = F.col("result")
     legacy = F.col("date_testing") < floor_date(SABIN_LEGACY_END)
-    return classify(
-        [
-            (text.isin(*SABIN_POSITIVE), POS),
-            (text.isin(*SABIN_NEGATIVE), NEG),
-            (text.rlike("^[0-9,.]"), cutoff_result(text, SABIN_CUTOFF)),
-            *[(legacy & text.ilike(pattern), code) for pattern, code in SABIN_LEGACY],
-        ],
-        vocab.UNRECOGNISED,
+    negative, positive = ([p for p, code in SABIN_LEGACY if code == kind] for kind in (NEG, POS))
+    return F.coalesce(
+        lookup(text, SABIN_WORDS),
+        cutoff_result(text, SABIN_CUTOFF),
+        F.when(legacy & text.rlike(prefix_pattern(negative)), NEG),
+        F.when(legacy & text.rlike(prefix_pattern(positive)), POS),
+        F.lit(vocab.UNRECOGNISED),
     )
 
 
@@ -349,9 +358,11 @@ def fleury_result() -> Column:
     text = F.col("result")
     indexed = one_of("exame", *FLEURY_INDEX_EXAMS)
     number = indexed & text.rlike("^[0-9]+(,[0-9]+)?$")
+    negative, positive = ([p for p, code in FLEURY_RESULTS if code == kind] for kind in (NEG, POS))
     return classify(
         [
-            *[(text.ilike(p) if p.endswith("%") else text == p, code) for p, code in FLEURY_RESULTS],
+            (text.rlike(prefix_pattern(negative)), NEG),
+            (text.rlike(prefix_pattern(positive)), POS),
             (indexed & text.isin(*FLEURY_INDEX_BELOW), NEG),
             (number, band_result(comma_number(text), *FLEURY_INDEX_BAND, between=None)),
         ],
@@ -361,9 +372,7 @@ def fleury_result() -> Column:
 
 def fleury_keep() -> Column:
     text = F.col("result")
-    void = text.isin(*FLEURY_VOID_RESULTS)
-    for pattern in FLEURY_VOID_PATTERNS:
-        void = void | text.ilike(pattern)
+    void = text.rlike(prefix_pattern([*FLEURY_VOID_RESULTS, *FLEURY_VOID_PATTERNS]))
     zika_index = one_of("pathogen", "ZIKA VIRUS - IGM", "ZIKA VIRUS - IGG") & text.rlike("^[0-9]+,[0-9]+$")
     return (
         F.col("date_testing").isNotNull()

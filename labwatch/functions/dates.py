@@ -16,13 +16,10 @@ def try_date(c: Column | str, *formats: str) -> Column:
 
 def completed_years(later: Column | str, earlier: Column | str) -> Column:
     """Completed years between two dates, truncated toward zero when the order is reversed."""
-    later, earlier = col(later), col(earlier)
+    def number(d: Column) -> Column:
+        return F.year(d) * 10000 + F.month(d) * 100 + F.day(d)
 
-    def full(a: Column, b: Column) -> Column:
-        before = (F.month(a) * 100 + F.day(a)) < (F.month(b) * 100 + F.day(b))
-        return F.year(a) - F.year(b) - before.cast("int")
-
-    return F.when(later >= earlier, full(later, earlier)).otherwise(-full(earlier, later))
+    return ((number(col(later)) - number(col(earlier))) / 10000).cast("int")
 
 
 def week_start(d: Column | str) -> Column:

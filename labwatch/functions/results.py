@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from labwatch import vocab
-from labwatch.functions.text import col, replace_first
+from labwatch.functions.text import col
 
 
 def classify(rules: Iterable[tuple[Column, object]], default: object = None) -> Column:
@@ -32,12 +33,8 @@ def lookup(c: Column | str, table: dict[str, object], default: object = None) ->
 
 
 def comma_number(c: Column | str) -> Column:
-    """Decimal text with a comma; only the first comma counts. NULL where it is no number."""
-    return _try_double(replace_first(c, ",", "."))
-
-
-def _try_double(c: Column) -> Column:
-    return c.try_cast("double")
+    """Decimal text with a comma; NULL where it is no number (as with a second separator)."""
+    return F.replace(col(c), F.lit(","), F.lit(".")).try_cast("double")
 
 
 def cutoff_result(c: Column | str, cutoff: float = 0.80) -> Column:
@@ -46,18 +43,15 @@ def cutoff_result(c: Column | str, cutoff: float = 0.80) -> Column:
     Text that starts with a separator loses that sign and counts in hundredths (``,5`` is 0.05).
     """
     c = col(c)
-    plain = comma_number(c)
-    dotted = replace_first(c, ",", ".")
-    hundredths = _try_double(F.substring(dotted, F.lit(2), F.length(dotted))) / 100
-
-    def code(number: Column) -> Column:
-        return (
-            F.when(number.isNull(), vocab.UNRECOGNISED)
-            .when(number < cutoff, vocab.NEGATIVE)
-            .otherwise(vocab.POSITIVE)
-        )
-
-    return F.when(c.rlike("^[0-9]"), code(plain)).when(c.rlike("^[,.]"), code(hundredths))
+    number = F.when(c.rlike("^[0-9]"), comma_number(c)).otherwise(comma_number(F.substring(c, 2, 2**31 - 1)) / 100)
+    code = F.coalesce((number >= cutoff).cast("int"), F.lit(vocab.UNRECOGNISED))
+    return F.when(c.rlike("^[0-9,.]"), code)
+
+
+def prefix_pattern(patterns: Iterable[str]) -> str:
+    """LIKE patterns that are literal texts, or literal prefixes ending in ``%``, as one regex."""
+    parts = [re.escape(p[:-1]) if p.endswith("%") else re.escape(p) + "$" for p in patterns]
+    return f"^(?:{'|'.join(parts)})"
 
 
 def band_result(number: Column, low: float, high: float, between: int | None, other: int | None = None) -> Column:

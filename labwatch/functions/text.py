@@ -19,8 +19,8 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-@lru_cache(maxsize=1)
-def _accent_pairs() -> tuple[str, str]:
+@lru_cache(maxsize=2)
+def _accent_pairs(upper_only: bool = False) -> tuple[str, str]:
     source, target = [], []
     for code in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]:
         letter = chr(code)
@@ -31,31 +31,39 @@ def _accent_pairs() -> tuple[str, str]:
     for letter, base in STROKED.items():
         source.append(letter)
         target.append(base)
-    return "".join(source), "".join(target)
+    kept = [i for i, x in enumerate(source) if not upper_only or x == x.upper()]
+    return "".join(source[i] for i in kept), "".join(target[i] for i in kept)
 
 
 def strip_accents(c: Column | str) -> Column:
-    source, target = _accent_pairs()
-    out = F.translate(col(c), source, target)
+    out = F.translate(col(c), *_accent_pairs())
     for ligature, letters in LIGATURES.items():
         out = F.replace(out, F.lit(ligature), F.lit(letters))
     return out
 
 
+def plain_upper(c: Column | str) -> Column:
+    """Upper case without accents. Upper-casing first leaves half of the letters to replace."""
+    out = F.translate(F.upper(col(c)), *_accent_pairs(True))
+    for ligature, letters in LIGATURES.items():
+        if ligature == ligature.upper():
+            out = F.replace(out, F.lit(ligature), F.lit(letters))
+    return out
+
+
 def normalize_text(c: Column | str) -> Column:
     """Unaccented, upper case, outer spaces off, then outer backslashes and ``t`` off."""
-    return F.btrim(F.btrim(F.upper(strip_accents(c)), F.lit(" ")), F.lit("\\t"))
+    return F.btrim(F.btrim(plain_upper(c), F.lit(" ")), F.lit("\\t"))
 
 
 def drop_punctuation(c: Column | str) -> Column:
     """Upper case without accents; every sign that is neither letter, digit nor space is deleted."""
-    return F.regexp_replace(F.upper(strip_accents(c)), r"(?U)[^\w\s]", "")
+    return F.regexp_replace(plain_upper(c), r"(?U)[^\w\s]", "")
 
 
 def place_key(c: Column | str) -> Column:
     """Upper case ASCII place name: hyphens become spaces, other signs are deleted."""
-    spaced = F.replace(F.upper(col(c)), F.lit("-"), F.lit(" "))
-    return F.regexp_replace(strip_accents(spaced), "[^a-zA-Z0-9 ]", "")
+    return F.regexp_replace(F.replace(plain_upper(c), F.lit("-"), F.lit(" ")), "[^A-Z0-9 ]", "")
 
 
 def replace_first(c: Column | str, text: str, by: str) -> Column:
@@ -85,8 +93,9 @@ def label(*parts: Column | str) -> Column:
 
 
 def normalize_sex(c: Column | str, unknown: str | None = None) -> Column:
-    c = col(c)
-    return F.when(c.ilike("F%"), "F").when(c.ilike("M%"), "M").otherwise(F.lit(unknown).cast("string"))
+    """F or M by the first letter."""
+    first = F.upper(F.substring(col(c), 1, 1))
+    return F.when(first.isin("F", "M"), first).otherwise(F.lit(unknown).cast("string"))
 
 
 def plain_name(name: str) -> str:
