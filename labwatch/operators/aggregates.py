@@ -60,6 +60,8 @@ def pivot_fixed(
     for item, name in values.items():
         out = fn(F.when(F.col(pivot) == F.lit(item), F.col(value)))
         columns.append((out if fill is None else F.coalesce(out, F.lit(fill))).alias(name))
+    if not columns:
+        return df.select(*keys).distinct()
     return df.groupBy(*keys).agg(*columns)
 
 

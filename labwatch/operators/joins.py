@@ -174,18 +174,17 @@ def dense_grid(
 ) -> DataFrame:
     """Every entity at every axis value, measures summed, ``fill`` where there are no facts.
 
-    The axis (weeks, quarters) is a short calendar list, exploded per entity; the facts are stacked
-    on the grid and summed, so there is neither a cross join nor a second join.
+    ``facts`` are aggregated already (about one row per entity and axis value) and the axis is a
+    short calendar list. Each entity's cells are gathered once, blank cells of the whole axis are
+    added, and both are summed on the partitioning that is there: no cross join, no second pass
+    over the facts, one shuffle.
     """
-    points = axis_values.select(F.col(axis)).agg(F.collect_set(axis)).scalar()
-    grid = facts.select(*entity).distinct().withColumn(axis, F.explode(points))
     types = dict(facts.dtypes)
-    blanks = grid.select(axis, *entity, *[F.lit(fill).cast(types[m]).alias(m) for m in measures])
-    return (
-        blanks.unionByName(facts.select(axis, *entity, *measures))
-        .groupBy(axis, *entity)
-        .agg(*[F.sum(m).alias(m) for m in measures])
-    )
+    blank = F.struct(F.col(axis), *[F.lit(fill).cast(types[m]).alias(m) for m in measures])
+    blanks = axis_values.select(axis).agg(F.collect_set(blank)).scalar()
+    cells = facts.groupBy(*entity).agg(F.collect_list(F.struct(axis, *measures)).alias("__cells"))
+    spread = cells.select(*entity, F.inline(F.concat("__cells", blanks)))
+    return spread.groupBy(*entity, axis).agg(*[F.sum(m).alias(m) for m in measures])
 
 
 def assert_unique(dim: DataFrame, keys: list[str], name: str = "dimension") -> DataFrame:

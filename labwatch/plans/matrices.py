@@ -28,6 +28,7 @@ from labwatch.operators.aggregates import (
 from labwatch.operators.joins import dense_grid
 from labwatch.operators.shaping import tested
 from labwatch.operators.windows import last_period, recent_days, recent_periods, running_total
+from labwatch.session import stored
 
 # Display names.
 WEEKS = "Semanas epidemiológicas"
@@ -198,12 +199,11 @@ def total_by_region(s: Summary, pathogen: str, period: str) -> DataFrame:
 def week_by_state(s: Summary, pathogen: str = "DENV") -> DataFrame:
     """Positivity per week, one column per state filled in enough weeks."""
     rates = metrics(s, direct(s, pathogen), pathogen, ["epiweek_enddate", "state_code"])
-    rates = rates.select("epiweek_enddate", "state_code", percent().alias("rate"))
+    # The labels are needed before the pivot can be planned; the facts are read once for both.
+    rates = stored(rates.select("epiweek_enddate", "state_code", percent().alias("rate")), "week-by-state")
     filled = fill_rate(rates, "state_code", "epiweek_enddate", F.col("rate") > 0)
     states = observed_values(filled.filter(F.col("fill_rate") >= s.state_fill), "state_code")
     reported = rates.filter(known("state_code")).withColumnRenamed("epiweek_enddate", WEEKS)
-    if not states:
-        return reported.select(WEEKS).distinct()
     return pivot_fixed(reported, [WEEKS], "state_code", {c: c for c in states}, "rate")
 
 
@@ -457,15 +457,20 @@ def counts_by_lab(s: Summary) -> DataFrame:
 
 @dataclass(frozen=True)
 class Table:
-    build: Callable[[Summary], DataFrame]
-    order: tuple[str, ...] = ()
+    """A summary: its rows, the order of its export, and columns used only for that order."""
+
+    rows: Callable[[Summary], DataFrame]
+    order: tuple[str, ...]
     exported: bool = True
+    hidden: tuple[str, ...] = ()
+
+    def build(self, s: Summary) -> DataFrame:
+        return self.rows(s).drop(*self.hidden)
 
     def ordered(self, s: Summary) -> DataFrame:
         """Rows in export order; a leading ``-`` sorts descending."""
-        df = self.build(s)
-        keys = [F.col(f"`{c.lstrip('-')}`") for c in self.order]
-        return df.orderBy(*[k.desc() if c.startswith("-") else k.asc() for k, c in zip(keys, self.order)])
+        keys = [(F.col(f"`{c.lstrip('-')}`"), c.startswith("-")) for c in self.order]
+        return self.rows(s).orderBy(*[k.desc() if down else k.asc() for k, down in keys]).drop(*self.hidden)
 
 
 def _recent(build: Callable[[Summary], DataFrame], date: str, days: int) -> Callable[[Summary], DataFrame]:
@@ -497,12 +502,9 @@ def _tables() -> dict[str, Table]:
     by_quality = ("semanas_epidemiologicas", "Estado")
     labelled = two_pathogens_label
 
-    def unlabelled(days: int | None) -> Callable[[Summary], DataFrame]:
-        def build(s: Summary) -> DataFrame:
-            df = labelled(s) if days is None else recent_days(labelled(s), "epiweek_enddate", days)
-            return df.drop("epiweek_enddate")
-
-        return build
+    def unlabelled(days: int | None) -> Table:
+        rows = labelled if days is None else _recent(labelled, "epiweek_enddate", days)
+        return Table(rows, ("epiweek_enddate",), hidden=("epiweek_enddate",))
 
     return {
         "01_DENV_line_posrate_direct_week_country_years": Table(_of(week_by_year, "DENV"), ("year",)),
@@ -566,9 +568,9 @@ def _tables() -> dict[str, Table]:
         "26_DENV_CHIKV_line_posrate_direct_week_country_years": Table(
             labelled, ("epiweek_enddate",), exported=False
         ),
-        "26_DENV_CHIKV_line_posrate_direct_week_country_years_h": Table(unlabelled(None)),
-        "26_DENV_CHIKV_line_posrate_direct_week_country_years_r": Table(unlabelled(YEAR_DAYS)),
-        "26_DENV_CHIKV_line_posrate_direct_week_country_years_c": Table(unlabelled(SHORT_DAYS)),
+        "26_DENV_CHIKV_line_posrate_direct_week_country_years_h": unlabelled(None),
+        "26_DENV_CHIKV_line_posrate_direct_week_country_years_r": unlabelled(YEAR_DAYS),
+        "26_DENV_CHIKV_line_posrate_direct_week_country_years_c": unlabelled(SHORT_DAYS),
         "matrix_ALL_count_by_labid_testkit_pathogen_result": Table(
             counts_by_lab, ("lab_id", "test_kit", "pathogen", "result")
         ),

@@ -2,28 +2,23 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from labwatch.plans.combine import city_report, estimates_by_week, summary_rows
 from labwatch.plans.matrices import Summary, exported_tables, summary_cube
-from labwatch.session import scratch_dir
+from labwatch.session import stored
 from labwatch.sources.sinks import publish, release_name, write_delimited
 
 
-def prepare(
-    spark: SparkSession, combined: DataFrame, estimates: DataFrame, macroregions: DataFrame, as_of: str, **params
-) -> Summary:
+def prepare(combined: DataFrame, estimates: DataFrame, macroregions: DataFrame, as_of: str, **params) -> Summary:
     """Aggregate the combined table once into a cube table that every summary reads."""
-    path = scratch_dir(spark, "cube")
-    summary_cube(summary_rows(combined, as_of)).write.parquet(path)
-    s = Summary(spark.read.parquet(path), weight="n", macroregions=macroregions, **params)
-    return replace(s, estimates=estimates_by_week(estimates, as_of))
+    cube = stored(summary_cube(summary_rows(combined, as_of)), "cube")
+    weekly = estimates_by_week(estimates, as_of)
+    return Summary(cube, weight="n", macroregions=macroregions, estimates=weekly, **params)
 
 
 def make_release(
-    spark: SparkSession, s: Summary, combined: DataFrame, releases: DataFrame, internal: str, public: str, as_of: str
+    s: Summary, combined: DataFrame, releases: DataFrame, internal: str, public: str, as_of: str
 ) -> str:
     """Write all summaries, the combined table and the city report under the next release name."""
     name = release_name(releases, as_of).collect()[0]["release"]
