@@ -30,6 +30,9 @@ def upsert(
     """MERGE by key: matched rows updated except ``keep``, new rows inserted, other rows kept.
 
     A NULL in a key never matches. With ``strict`` a repeated source key raises, as a MERGE would.
+
+    Both passes over the target only ask for the source's keys, so a batch small enough for
+    broadcast (Spark checks) leaves the target unshuffled.
     """
     complete = F.lit(True)
     for key in keys:
@@ -39,10 +42,12 @@ def upsert(
         repeated = keyed.groupBy(*keys).count().filter("count > 1").limit(1).collect()
         if repeated:
             raise ValueError(f"upsert source repeats key {tuple(repeated[0][k] for k in keys)}")
-    untouched = target.join(keyed.select(*keys), keys, "left_anti")
+    touched = keyed.select(*keys)
+    untouched = target.join(touched, keys, "left_anti").select(*target.columns)
     held = [c for c in keep if c in target.columns]
-    found = F.lit(True).alias("__found")
-    before = target.select(*keys, *[F.col(c).alias(f"__{c}") for c in held], found)
+    before = target.join(touched, keys, "left_semi").select(
+        *keys, *[F.col(c).alias(f"__{c}") for c in held], F.lit(True).alias("__found")
+    )
     merged = keyed.join(before, keys, "left").select(
         *[
             F.when(F.col("__found"), F.col(f"__{c}")).otherwise(F.col(c)).alias(c) if c in held else F.col(c)

@@ -22,7 +22,7 @@ def make_release(
 ) -> str:
     """Write all summaries, the combined table and the city report under the next release name."""
     name = release_name(releases, as_of).collect()[0]["release"]
-    publish(exported_tables(s), internal, public, name)
+    publish(combined.sparkSession, exported_tables(s), internal, public, name)
     write_delimited(combined, f"{internal}/{name}/combined", compression="gzip")
     write_delimited(city_report(combined), f"{internal}/{name}/report")
     return name

@@ -79,16 +79,30 @@ def release_name(releases: DataFrame, as_of: str, project: str = "Arbo", name: s
     )
 
 
+def copy_tables(
+    spark: SparkSession, exported: list[tuple[str, str, int]], base: str, public_only: bool = False
+) -> list[tuple[str, str, int]]:
+    """Copies of exported tables, read from their files rather than computed again."""
+    files = {name: path for name, path, _ in exported}
+    tables = {name: (lambda p=path: spark.read.option("header", "true").csv(p)) for name, path in files.items()}
+    return export_tables(tables, base, public_only)
+
+
 def publish(
-    tables: Mapping[str, DataFrame | Callable[[], DataFrame]], internal: str, public: str, release: str
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame | Callable[[], DataFrame]],
+    internal: str,
+    public: str,
+    release: str,
 ) -> dict[str, list]:
     """Versioned and ``current`` copies; the public side gets digit-named tables under the week label."""
     week = re.search(r"SE\d+\.\d+", release).group()
+    done = export_tables(tables, f"{internal}/{release}/matrices/csv")
     return {
-        "release": export_tables(tables, f"{internal}/{release}/matrices/csv"),
-        "current": export_tables(tables, f"{internal}/current/matrices/csv"),
-        "public": export_tables(tables, f"{public}/{week}/matrices/csv", public_only=True),
-        "public_current": export_tables(tables, f"{public}/current/matrices/csv", public_only=True),
+        "release": done,
+        "current": copy_tables(spark, done, f"{internal}/current/matrices/csv"),
+        "public": copy_tables(spark, done, f"{public}/{week}/matrices/csv", public_only=True),
+        "public_current": copy_tables(spark, done, f"{public}/current/matrices/csv", public_only=True),
     }
 
 

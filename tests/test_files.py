@@ -127,8 +127,9 @@ def test_publish_and_release_names(spark, tmp_path):
     assert (name.version, name.release) == (3, "2026-01-07_09h05_Arbo_SE53.2025_V3")
     assert sinks.release_name(releases, "2026-01-12 09:05:00").first().release.endswith("_SE01.2026_V1")
     assert sinks.release_name(releases.limit(0), "2026-01-07 09:05:00").first().version == 1
-    done = sinks.publish(tables, str(tmp_path / "in"), str(tmp_path / "pub"), name.release)
+    done = sinks.publish(spark, tables, str(tmp_path / "in"), str(tmp_path / "pub"), name.release)
     assert [(t, n) for t, _, n in done["release"]] == [("01_a", 3), ("matrix_ALL", 2)]
+    assert [(t, n) for t, _, n in done["public"]] == [("01_a", 3)]
     assert sorted(os.listdir(tmp_path / "pub")) == ["SE53.2025", "current"]
     assert os.listdir(tmp_path / "pub" / "current" / "matrices" / "csv") == ["01_a"]
     assert sorted(os.listdir(tmp_path / "in" / "current" / "matrices" / "csv")) == ["01_a", "matrix_ALL"]
