@@ -298,6 +298,25 @@ def _(t: Tables):
     return sinks.release_name(releases, "1998-02-10 09:30:00")
 
 
+@query(
+    "S23_publish",
+    on_long(f"""SELECT "Semanas epidemiológicas"::VARCHAR AS week, "Negativos"::VARCHAR AS neg FROM ({week_country("denv")})"""),
+)
+def _(t: Tables):
+    base = scratch_dir(t.spark, "publish")
+    s = summary(t)
+    names = [
+        "02_DENV_line_bar_posrate_posneg_direct_week_country_h",
+        "matrix_ALL_count_by_labid_testkit_pathogen_result",
+    ]
+    tables = {n: (lambda n=n: TABLES[n].ordered(s)) for n in names}
+    done = sinks.publish(t.spark, tables, f"{base}/in", f"{base}/public", "2026-12-31_10h00_Arbo_SE51.2026_V1")
+    # Only the digit-named table reaches the public side.
+    (_, path, _), = done["public_current"]
+    back = readers.read_delimited(t.spark, path, _WEEK)
+    return back.select(F.col(_WEEK[0]).alias("week"), F.col("Negativos").alias("neg"))
+
+
 @query("S24_used_files", f"SELECT DISTINCT {FILE} AS file_name FROM lineitem")
 def _(t: Tables):
     return readers.used_files(t.lineitem.selectExpr(f"{FILE} as file_name"))

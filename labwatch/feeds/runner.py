@@ -12,6 +12,7 @@ from labwatch.functions.text import normalize_text, sample_key
 from labwatch.operators.shaping import normalise_id, one_hot, result_text
 from labwatch.operators.windows import collapse_samples, dedupe, drop_redundant, propagate
 from labwatch.schema import CARRIED, LAB_COLUMNS
+from labwatch.session import stored
 
 
 def _stage_one(spec: LabSpec) -> dict:
@@ -69,16 +70,26 @@ def rejects(raw: DataFrame, spec: LabSpec) -> DataFrame:
 
 
 def fix_values(typed: DataFrame, spec: LabSpec) -> DataFrame:
-    """Stage 02: key and cleaned values in one select, so every rule reads stage-01 values."""
+    """Stage 02: key and cleaned values in one select, so every rule reads stage-01 values.
+
+    Lines of analytes that another line of the test repeats are left out.
+    """
+    if spec.redundant and (spec.code in spec.rules or "test_id" in spec.rules):
+        raise ValueError(f"{spec.lab_id}: redundant analytes are told by columns that a rule replaces")
     sample_id = sample_key(*spec.key())
     if spec.first_line_only:
         keyed = typed.withColumn("__key", sample_id)
         typed = dedupe(keyed, ["__key"], [c for c in typed.columns]).drop("__key")
+    lines = typed.filter(spec.keep())
+    if spec.redundant:
+        # The analytes of a test decide which lines stay: the cleaned lines are read several times,
+        # so they are stored once, and the rules then run on the lines that stay.
+        lines = drop_redundant(stored(lines, spec.lab_id.lower()), "test_id", spec.code, list(spec.redundant))
     rules = {name: rule() for name, rule in spec.rules.items()}
     passed = [F.col(c) for c in typed.columns if c not in rules]
     result = rules.pop("result", None)
     once = [] if result is None else [F.inline(F.array(F.struct(result.alias("result"))))]
-    out = typed.filter(spec.keep()).select(
+    out = lines.select(
         sample_id.alias("sample_id"),
         *passed,
         *[value.alias(name) for name, value in rules.items()],
@@ -90,8 +101,6 @@ def fix_values(typed: DataFrame, spec: LabSpec) -> DataFrame:
 
 def pivot_results(fixed: DataFrame, spec: LabSpec) -> DataFrame:
     """Stage 03: one column per pathogen."""
-    if spec.redundant:
-        fixed = drop_redundant(fixed, "test_id", spec.code, list(spec.redundant))
     if spec.wide:
         own = [F.col(spec.wide[p]) if p in spec.wide else F.lit(vocab.NOT_TESTED) for p in vocab.PATHOGENS]
         columns = [c.cast("int").alias(vocab.RESULT_OF[p]) for p, c in zip(vocab.PATHOGENS, own)]
@@ -121,7 +130,10 @@ def stamp(samples: DataFrame, as_of: str | None = None) -> DataFrame:
 
 
 def run_feed(raw: DataFrame, spec: LabSpec, as_of: str | None = None, strict: bool = False) -> DataFrame:
-    """Raw rows of one laboratory -> LabResult, as a single lazy plan."""
+    """Raw rows of one laboratory -> LabResult.
+
+    A single lazy plan, except that a feed with redundant analytes stores its cleaned lines first.
+    """
     typed = convert_types(raw, spec, strict)
     return stamp(collapse(pivot_results(fix_values(typed, spec), spec), spec), as_of)
 

@@ -28,6 +28,10 @@ def build_session(master: str | None = None, app: str = "labwatch", **conf) -> S
     return builder.getOrCreate()
 
 
+# Temporary folders of applications without a shared folder (tests).
+_TEMPORARY: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -35,8 +39,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="labwatch-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        application = spark.sparkContext.applicationId
+        if application not in _TEMPORARY:
+            _TEMPORARY[application] = tempfile.mkdtemp(prefix="labwatch-")
+        base = _TEMPORARY[application]
     return f"{base.rstrip('/')}/labwatch/{label}-{uuid.uuid4().hex}"
 
 

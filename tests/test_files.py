@@ -183,3 +183,23 @@ def test_stream_of_two_deliveries(spark, tmp_path):
     run("2025-02-05 00:00:00")
     archived = [f for _, _, files in os.walk(archive) for f in files]
     assert "a.csv" in archived
+
+
+def test_scratch_folder(spark):
+    from labwatch import session
+
+    class Bare:
+        """A session whose cluster names no shared folder."""
+
+        sparkContext = spark.sparkContext
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    one, two = session.scratch_dir(Bare, "x"), session.scratch_dir(Bare, "x")
+    assert one != two and os.path.dirname(one) == os.path.dirname(two)
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        assert session.scratch_dir(spark, "x").startswith(shared)
