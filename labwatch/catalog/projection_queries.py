@@ -38,12 +38,12 @@ def _(t: Tables):
 
 @query(
     "P01_rejected_rows",
-    f"SELECT {KEYS_SQL}, ['age'] AS rejected_columns FROM lineitem WHERE l_linenumber = 3",
+    f"SELECT {KEYS_SQL}, 'age' AS rejected_columns FROM lineitem WHERE l_linenumber = 3",
 )
 def _(t: Tables):
     rows = t.lineitem.selectExpr(*LINE_KEYS, f"{DIRTY} as age_text", "cast(l_orderkey as string) as id_text")
     bad = S.rejected_rows(rows, {"test_id": ("id_text", "bigint"), "age": ("age_text", "int")})
-    return bad.select(*LINE_KEYS, "rejected_columns")
+    return bad.select(*LINE_KEYS, F.concat_ws(",", "rejected_columns").alias("rejected_columns"))
 
 
 @query("P02_normalise_id", "SELECT c_custkey, CAST(c_custkey AS VARCHAR) AS id FROM customer")
