@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,21 +27,14 @@ def build_session(master: str | None = None, app: str = "labwatch", **conf) -> S
     return builder.getOrCreate()
 
 
-# Temporary folders of applications without a shared folder (tests).
-_TEMPORARY: dict[str, str] = {}
-
-
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    A temporary local folder is used only where the setting is absent (tests).
+    Where the setting is absent it lies below the warehouse, which driver and executors share as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir", None)
     if not base:
-        application = spark.sparkContext.applicationId
-        if application not in _TEMPORARY:
-            _TEMPORARY[application] = tempfile.mkdtemp(prefix="labwatch-")
-        base = _TEMPORARY[application]
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return f"{base.rstrip('/')}/labwatch/{label}-{uuid.uuid4().hex}"
 
 
