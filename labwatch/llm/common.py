@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labwatch.session import scratch_dir
 
@@ -46,14 +47,43 @@ def binary_column(batch: pa.RecordBatch, name: str) -> list[bytes]:
     return [v if v is not None else b"" for v in values.to_pylist()]
 
 
-def arrow_map(
-    df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
+def arrow_append(
+    df: DataFrame, carry: list[str], added: str, function: Callable[[pa.RecordBatch], list[pa.Array]]
 ) -> DataFrame:
-    """``function`` over every record batch of ``df``."""
+    """The columns ``carry`` and the ones that ``function`` makes of each record batch (``added``, as DDL).
+
+    An input column that is called like an added one is replaced.
+    """
+    new = T.StructType.fromDDL(added)
+    carry = [c for c in carry if c not in new.names]
+    schema = T.StructType([df.schema[c] for c in carry] + new.fields)
+    names = schema.names
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                kept = [batch.column(batch.schema.get_field_index(c)) for c in carry]
+                yield pa.RecordBatch.from_arrays(kept + function(batch), names=names)
+
+    return df.mapInArrow(task, schema)
+
+
+def arrow_explode(
+    df: DataFrame, carry: list[str], added: str, function: Callable[[pa.RecordBatch], tuple[np.ndarray, list[pa.Array]]]
+) -> DataFrame:
+    """As ``arrow_append``, for functions that make any number of rows of a row: they also return its index."""
+    new = T.StructType.fromDDL(added)
+    carry = [c for c in carry if c not in new.names]
+    schema = T.StructType([df.schema[c] for c in carry] + new.fields)
+    names = schema.names
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows and (out := function(batch)) is not None:
-                yield out
+            if batch.num_rows:
+                rows, made = function(batch)
+                if len(rows):
+                    at = pa.array(rows, pa.int64())
+                    kept = [batch.column(batch.schema.get_field_index(c)).take(at) for c in carry]
+                    yield pa.RecordBatch.from_arrays(kept + made, names=names)
 
     return df.mapInArrow(task, schema)

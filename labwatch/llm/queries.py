@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from labwatch.llm.common import table
+from labwatch.llm.common import crc_remainder, table
+from labwatch.llm.language import fit_languages, identify_languages
 from labwatch.llm.licenses import TEMPLATES, bigrams, normalised_words, scan_licenses
 from labwatch.llm.mixing import mix_sources
+from labwatch.llm.packing import pack, tokenize_pieces
+from labwatch.llm.toxicity import fit_toxicity, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +28,21 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op1_language_id")
+def language_id(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = crc_remainder("doc_id", 4) == 2
+    model = fit_languages(docs.where(~held_out))
+    found = identify_languages(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 @query(
     "op2_mixing",
     """
@@ -84,3 +103,26 @@ def _license_sql() -> str:
 @query("op8_license_scan", _license_sql())
 def license_scan(spark, folder):
     return scan_licenses(table(spark, folder, "documents"), threshold=0.8, unit="line")
+
+
+@query("op7_packing")
+def packing(spark, folder):
+    pieces = tokenize_pieces(table(spark, folder, "documents"), tokenizer_path(), capacity=4096, end_id=1)
+    digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return pack(digests, capacity=4096).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
+@query("op10_toxicity")
+def toxicity(spark, folder):
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = fit_toxicity(docs, labels.where(crc_remainder("doc_id", 5) != 0))
+    scored = score_toxicity(docs, model)
+    return scored.select(
+        "doc_id",
+        (crc_remainder("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        "predicted",
+        F.size("segments").alias("n_segments"),
+    )
