@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labwatch.llm.common import crc_remainder, table
+from labwatch.llm.embedding_dedup import near_duplicates
 from labwatch.llm.language import fit_languages, identify_languages
 from labwatch.llm.licenses import TEMPLATES, bigrams, normalised_words, scan_licenses
 from labwatch.llm.mixing import mix_sources
 from labwatch.llm.packing import pack, tokenize_pieces
+from labwatch.llm.topk import top_k
 from labwatch.llm.toxicity import fit_toxicity, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,6 +107,31 @@ def license_scan(spark, folder):
     return scan_licenses(table(spark, folder, "documents"), threshold=0.8, unit="line")
 
 
+@query(
+    "op3_exact_topk",
+    """
+    WITH vectors AS (
+      SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS q
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+    ), scored AS (
+      SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+      FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0
+    ), ranked AS (
+      SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+    )
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
+)
+def exact_topk(spark, folder):
+    return top_k(table(spark, folder, "embeddings"), k=20, query_divisor=20, scale=64.0)
+
+
+@query("op5_embedding_dedup")
+def embedding_dedup(spark, folder):
+    return near_duplicates(table(spark, folder, "embeddings"), threshold=0.98, trees=3)
+
+
 @query("op7_packing")
 def packing(spark, folder):
     pieces = tokenize_pieces(table(spark, folder, "documents"), tokenizer_path(), capacity=4096, end_id=1)
