@@ -87,3 +87,15 @@ def arrow_explode(
                     yield pa.RecordBatch.from_arrays(kept + made, names=names)
 
     return df.mapInArrow(task, schema)
+
+
+def arrow_map(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
+    """``function`` over every record batch of ``df``; None stands for no rows."""
+    names = T.StructType.fromDDL(schema).names
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows and (out := function(batch)) is not None:
+                yield out.rename_columns(names)
+
+    return df.mapInArrow(task, schema)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from labwatch.llm.common import crc_remainder, table
 from labwatch.llm.embedding_dedup import near_duplicates
+from labwatch.llm.jaccard import jaccard_components
 from labwatch.llm.language import fit_languages, identify_languages
 from labwatch.llm.licenses import TEMPLATES, bigrams, normalised_words, scan_licenses
 from labwatch.llm.mixing import mix_sources
@@ -132,6 +133,42 @@ def embedding_dedup(spark, folder):
     return near_duplicates(table(spark, folder, "embeddings"), threshold=0.98, trees=3)
 
 
+_JACCARD_SQL = """
+    WITH RECURSIVE words AS (
+      SELECT doc_id, list_filter(string_split_regex(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
+        lambda w: w <> '') AS w
+      FROM documents
+    ), sets AS (
+      SELECT doc_id, CASE
+        WHEN w IS NULL OR len(w) = 0 THEN []
+        WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+        END AS s
+      FROM words
+    ), grams AS (
+      SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
+    ), shared AS (
+      SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS n_both
+      FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id AND a.n * 100 >= b.n * 90 AND b.n * 100 >= a.n * 90
+      GROUP BY a.doc_id, b.doc_id
+    ), links AS (
+      SELECT a, b FROM shared WHERE 100 * n_both >= 90 * (na + nb - n_both)
+    ), reached(start, doc_id) AS (
+      SELECT doc_id, doc_id FROM documents
+      UNION
+      SELECT r.start, l.b FROM reached r JOIN links l ON r.doc_id = l.a
+    )
+    SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r.doc_id) AS component_id
+    FROM sets s JOIN reached r ON r.start = s.doc_id GROUP BY s.doc_id, s.s
+"""
+
+
+@query("op6_jaccard_join", _JACCARD_SQL)
+def jaccard_join(spark, folder):
+    return jaccard_components(table(spark, folder, "documents"), size=3, num=90, den=100)
+
+
 @query("op7_packing")
 def packing(spark, folder):
     pieces = tokenize_pieces(table(spark, folder, "documents"), tokenizer_path(), capacity=4096, end_id=1)
