@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 from functools import cache
+from struct import pack as pack_ids
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -13,11 +15,18 @@ from pyspark.sql import types as T
 
 from labwatch.llm.common import arrow_explode, binary_column, stored
 
-# Distinct words a worker remembers; beyond it the memory is emptied, which changes time but no result.
-REMEMBERED_WORDS = 400_000
+# Distinct words of one of a worker's two generations; what leaves the older one is encoded again when it comes back.
+REMEMBERED_WORDS = 300_000
 ID_BYTES = 4
 
 
+def byte_alphabet() -> dict[int, int]:
+    """The printable character that byte-level vocabularies write for each byte: itself, or the next one from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return dict(zip(plain, plain)) | {b: 256 + n for n, b in enumerate(others)}
+
+
 class WordIds(dict):
     """Ids of words between ASCII blanks, as little-endian 32-bit integers.
 
@@ -29,35 +38,66 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.older: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_str(definition)
+        self.alphabet = byte_alphabet()
+        self.by_letters = self.letters_agree()
+
+    def letters_agree(self) -> bool:
+        """Whether the vocabulary alone encodes lower-case words of letters as the whole tokenizer does."""
+        words = ["a", "the", "idea", "zqxv", "été", "größe", "señor", "łódź"]
+        whole = [c.ids for c in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        return whole == [self.letter_ids(w.encode()) for w in words]
+
+    def letter_ids(self, word: bytes) -> list[int]:
+        return [t.id for t in self.tokenizer.model.tokenize(word.decode("latin-1").translate(self.alphabet))]
 
     def encode(self, words: list[bytes]) -> None:
-        texts = [w.decode("utf-8") for w in words]
-        for word, coded in zip(words, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            self[word] = np.asarray(coded.ids, "<u4").tobytes()
+        others = []
+        for word in words:
+            if word.isalpha():
+                letters = word.islower()
+            else:
+                text = word.decode("utf-8")
+                letters = text.isalpha() and text == text.lower() and is_normalized("NFC", text)
+            if letters and self.by_letters:
+                ids = self.letter_ids(word)
+                self[word] = pack_ids(f"<{len(ids)}I", *ids)
+            else:
+                others.append(word)
+        texts = [w.decode("utf-8") for w in others]
+        for word, coded in zip(others, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            self[word] = pack_ids(f"<{len(coded.ids)}I", *coded.ids)
 
     def learn(self, words: set[bytes]) -> None:
+        """Make sure that all ``words`` have ids here."""
         if len(self) > REMEMBERED_WORDS:
+            self.older = dict(self)
             self.clear()
-        new = words.difference(self)
-        plain, split = {}, {}
-        for word in new:
+        new, split = {}, {}
+        for word in words.difference(self):
+            if (known := self.older.get(word)) is not None:
+                self[word] = known
+                continue
             # A full stop or comma after an ASCII letter or digit is a token of its own; ASCII case is folded.
-            # What looks like a special token is left whole.
+            # What may be a special token is left whole.
             stem = word
             if word[-1:] in b".," and word[-2:-1].isalnum():
                 stem = word[:-1]
             if stem.isascii() and b"<" not in stem:
                 stem = stem.lower()
             if stem == word:
-                plain[word] = None
+                new[word] = None
             else:
                 split[word] = stem
-        plain.update(dict.fromkeys(s for s in split.values() if s not in self))
-        if split:
-            plain.update(dict.fromkeys(p for p in (b".", b",") if p not in self))
-        if plain:
-            self.encode(list(plain))
+        for word in [*split.values(), *([b".", b","] if split else [])]:
+            if word not in self:
+                if (known := self.older.get(word)) is not None:
+                    self[word] = known
+                else:
+                    new[word] = None
+        if new:
+            self.encode(list(new))
         for word, stem in split.items():
             self[word] = self[stem] + (self[word[-1:]] if len(word) > len(stem) else b"")
 
