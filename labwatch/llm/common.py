@@ -99,3 +99,47 @@ def arrow_map(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch
                 yield out.rename_columns(names)
 
     return df.mapInArrow(task, schema)
+
+
+FILTER_BITS = 1 << 24
+
+
+def few_of(ids: DataFrame) -> Callable[[np.ndarray], np.ndarray]:
+    """A test that all 64-bit ids of the one column of ``ids`` pass, and most others don't.
+
+    It is a bitmap of fixed size (2 MB), made on the executors; with very many ids it lets more pass, so a join must
+    decide.
+    """
+    name = ids.columns[0]
+    # From 1 on, so that the bitmaps' buckets start at 1 and their bits at 0.
+    place = F.pmod(F.col(name), F.lit(FILTER_BITS)) + 1
+    bitmaps = ids.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
+    )
+    marked = np.zeros(FILTER_BITS // 8, np.uint8)
+    for bucket, bits in bitmaps.collect():  # FILTER_BITS bits at most
+        begin = (bucket - 1) * len(bits)
+        marked[begin : begin + len(bits)] = np.frombuffer(bits, np.uint8)
+
+    def passes(values: np.ndarray) -> np.ndarray:
+        at = values % FILTER_BITS
+        return (marked[at // 8] >> (at % 8).astype(np.uint8) & 1).astype(bool)
+
+    return passes
+
+
+def texts_of(texts: DataFrame, needed: DataFrame) -> DataFrame:
+    """``text_id, text`` once for each id of ``needed`` (one column of that name); few other texts are shuffled."""
+    passes = few_of(needed)
+
+    def picked(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        ids = np.asarray(batch.column(0))
+        rows = np.nonzero(passes(ids))[0]
+        if not len(rows):
+            return None
+        _, once = np.unique(ids[rows], return_index=True)
+        return batch.take(pa.array(rows[once]))
+
+    few = arrow_map(texts.select("text_id", "text"), picked, "text_id long, text string")
+    kept = few.join(needed, F.col("text_id") == F.col("needed"), "left_semi")
+    return kept.groupBy("text_id").agg(F.first("text").alias("text"))

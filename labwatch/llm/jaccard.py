@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labwatch.llm.common import arrow_append, arrow_explode, arrow_map, binary_column, stored
+from labwatch.llm.common import arrow_append, arrow_explode, arrow_map, binary_column, few_of, stored
 from labwatch.llm.components import connected_components
 from labwatch.llm.shingles import (
     Bands,
@@ -24,7 +24,6 @@ from labwatch.llm.shingles import (
 # Members of one key that a task compares at once; larger keys are compared block by block.
 KEY_ROWS = 2048
 PAIRS_AT_ONCE = 1 << 18
-FILTER_BITS = 1 << 24
 
 
 def whole_runs(batches: Iterator[pa.RecordBatch], columns: int, most: int = 1 << 16) -> Iterator[tuple[list[pa.Array], bool]]:
@@ -168,26 +167,13 @@ class _Join:
         return stored(arrow_map(narrow, allowed, "a long, b long, text_id_a long, text_id_b long"), "close-pairs")
 
     def sets_of(self, pairs: DataFrame) -> DataFrame:
-        """``text_id, shingles`` of the texts that ``pairs`` need.
-
-        A bitmap of fixed size (2 MB) keeps most other texts out of the tasks; the join with the needed ones decides.
-        """
+        """``text_id, shingles`` of the texts that ``pairs`` need."""
         needed = pairs.select(F.explode(F.array("text_id_a", "text_id_b")).alias("needed")).distinct()
-        # From 1 on, so that the bitmaps' buckets start at 1 and their bits at 0.
-        place = F.pmod(F.col("needed"), F.lit(FILTER_BITS)) + 1
-        bitmaps = needed.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
-            F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
-        )
-        marked = np.zeros(FILTER_BITS // 8, np.uint8)
-        for bucket, bits in bitmaps.collect():  # FILTER_BITS bits at most
-            begin = (bucket - 1) * len(bits)
-            marked[begin : begin + len(bits)] = np.frombuffer(bits, np.uint8)
-        size = self.size
+        passes, size = few_of(needed), self.size
 
         def shingled(batch: pa.RecordBatch) -> tuple[np.ndarray, list[pa.Array]]:
             ids = np.asarray(batch.column(0))
-            place = ids % FILTER_BITS
-            wanted = np.nonzero(marked[place // 8] >> (place % 8).astype(np.uint8) & 1)[0]
+            wanted = np.nonzero(passes(ids))[0]
             _, once = np.unique(ids[wanted], return_index=True)
             rows = wanted[once]
             texts = binary_column(batch.take(pa.array(rows)), "text")

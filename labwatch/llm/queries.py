@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from labwatch.llm.common import crc_remainder, table
 from labwatch.llm.embedding_dedup import near_duplicates
+from labwatch.llm.hmm import score_texts
 from labwatch.llm.jaccard import jaccard_components
 from labwatch.llm.language import fit_languages, identify_languages
 from labwatch.llm.licenses import TEMPLATES, bigrams, normalised_words, scan_licenses
 from labwatch.llm.mixing import mix_sources
 from labwatch.llm.packing import pack, tokenize_pieces
+from labwatch.llm.suffix_dedup import removal_digests
 from labwatch.llm.topk import top_k
 from labwatch.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -128,6 +130,12 @@ def exact_topk(spark, folder):
     return top_k(table(spark, folder, "embeddings"), k=20, query_divisor=20, scale=64.0)
 
 
+@query("op4_hmm_lm")
+def hmm_lm(spark, folder):
+    docs = table(spark, folder, "documents")
+    return score_texts(docs, crc_remainder("doc_id", 7) == 2)
+
+
 @query("op5_embedding_dedup")
 def embedding_dedup(spark, folder):
     return near_duplicates(table(spark, folder, "embeddings"), threshold=0.98, trees=3)
@@ -178,6 +186,11 @@ def packing(spark, folder):
     )
 
 
+@query("op9_suffix_dedup")
+def suffix_dedup(spark, folder):
+    return removal_digests(table(spark, folder, "documents"), length=400)
+
+
 @query("op10_toxicity")
 def toxicity(spark, folder):
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
