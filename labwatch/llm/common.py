@@ -21,6 +21,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Where the public tokenizers' package keeps a file; read on the driver only."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once below the shared folder and read back; cuts the lineage and survives lost executors."""
     path = scratch_dir(df.sparkSession, label)
@@ -89,9 +96,11 @@ def arrow_explode(
     return df.mapInArrow(task, schema)
 
 
-def arrow_map(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
+def arrow_map(
+    df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | T.StructType
+) -> DataFrame:
     """``function`` over every record batch of ``df``; None stands for no rows."""
-    names = T.StructType.fromDDL(schema).names
+    names = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).names
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -208,7 +208,9 @@ class _Join:
 def jaccard_components(
     docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """``key, n_shingles, component_id`` of every row of ``docs``.
+    """``key, n_shingles, component_id, text_id, root`` of every row of ``docs``.
+
+    ``text_id`` is a hash of the row's text, ``root`` one of its group (null without shingles), to join either back.
 
     A text's set is its distinct shingles of ``size`` words (fewer words: all of them as one). Two sets link when
     ``den * shared >= num * all``; ``component_id`` is the smallest key reachable by links. Equal sets are one node.
@@ -315,11 +317,55 @@ def jaccard_components(
         nodes.select("node", "least_key")
         .join(components.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
         .join(least, F.col("root") == F.col("of_root"), "left")
-        .select(F.col("node").alias("named"), F.coalesce("component_id", "least_key").alias("component_id"))
+        .select(
+            F.col("node").alias("named"),
+            F.coalesce("root", "node").alias("root"),
+            F.coalesce("component_id", "least_key").alias("component_id"),
+        )
     )
-    out = rows.select("key", "node", "n").join(named, F.col("node") == F.col("named"), "left")
+    out = rows.select("key", "node", "n", "text_id").join(named, F.col("node") == F.col("named"), "left")
     return out.select(
         F.col("key").alias(key),
         F.col("n").alias("n_shingles"),
         F.when(F.col("node").isNull(), F.col("key")).otherwise(F.col("component_id")).alias("component_id"),
+        "text_id",
+        "root",
+    )
+
+
+def one_of_each(
+    docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``docs`` with one row of each group of linked texts: the one with the smallest key, nulls last.
+
+    Rows without shingles belong to no group and stay. All columns are kept; only rows whose text may have to go
+    are shuffled.
+    """
+    found = stored(jaccard_components(docs.select(key, text), size, num, den, key, text), "groups")
+    ranked = found.where("root is not null").select(
+        "root", "text_id", F.struct(F.col(key).isNull(), F.col(key), "text_id").alias("rank")
     )
+    first = ranked.groupBy("root").agg(F.min("rank").alias("rank"))
+    kept = first.select(F.col(f"rank.{key}").alias("kept_key"), F.col("rank.text_id").alias("kept_text"))
+    groups = found.groupBy("root").count().where("root is not null and count > 1").select(F.col("root").alias("shared"))
+    passes = few_of(found.join(groups, F.col("root") == F.col("shared"), "left_semi").select("text_id").distinct())
+
+    marked = docs.withColumn("_text_id", F.xxhash64(F.col(text)))
+    place = len(docs.columns)
+
+    def side(wanted: bool):
+        def chosen(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+            rows = np.nonzero(passes(np.asarray(batch.column(place))) == wanted)[0]
+            return batch.take(pa.array(rows)) if len(rows) else None
+
+        return chosen
+
+    schema = marked.schema
+    alone = arrow_map(marked, side(False), schema).drop("_text_id")
+    grouped = arrow_map(marked, side(True), schema)
+    # A text whose id only looks like a shared one is the only one of its group, or has no shingles.
+    empty = found.where("root is null").select(F.col("text_id").alias("bare")).distinct()
+    bare = grouped.join(empty, F.col("_text_id") == F.col("bare"), "left_semi")
+    same = F.col(key).eqNullSafe(F.col("kept_key")) & (F.col("_text_id") == F.col("kept_text"))
+    winners = grouped.join(kept, same, "left_semi").dropDuplicates([key, "_text_id"])
+    return alone.unionByName(bare.drop("_text_id")).unionByName(winners.drop("_text_id"))

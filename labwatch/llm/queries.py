@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labwatch.llm.common import crc_remainder, table
+from labwatch.llm.common import crc_remainder, table, tokenizer_path
 from labwatch.llm.embedding_dedup import near_duplicates
 from labwatch.llm.hmm import score_texts
 from labwatch.llm.jaccard import jaccard_components
@@ -33,12 +33,6 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def tokenizer_path() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
-
-
 @query("op1_language_id")
 def language_id(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
@@ -174,7 +168,8 @@ _JACCARD_SQL = """
 
 @query("op6_jaccard_join", _JACCARD_SQL)
 def jaccard_join(spark, folder):
-    return jaccard_components(table(spark, folder, "documents"), size=3, num=90, den=100)
+    found = jaccard_components(table(spark, folder, "documents"), size=3, num=90, den=100)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 @query("op7_packing")

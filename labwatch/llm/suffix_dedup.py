@@ -11,7 +11,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from labwatch.llm.common import arrow_append, arrow_explode, binary_column, mix64, stored, texts_of
+from labwatch.llm.common import (
+    arrow_append,
+    arrow_explode,
+    arrow_map,
+    binary_column,
+    few_of,
+    mix64,
+    stored,
+    texts_of,
+)
 from labwatch.llm.jaccard import whole_runs
 from labwatch.llm.suffixes import repeated_windows
 
@@ -298,26 +307,40 @@ def removal_digests(docs: DataFrame, length: int = 400, key: str = "doc_id", tex
     )
 
 
-def cut_repeats(docs: DataFrame, length: int = 400, text: str = "text") -> DataFrame:
+def cut_repeats(docs: DataFrame, length: int = 400, text: str = "text", chars: str | None = None) -> DataFrame:
     """``docs`` with every text's repeated strings taken out, all columns and rows kept.
 
-    A span that begins or ends within a character takes all of that character. Null texts stay null.
+    Bytes of a character that a cut leaves incomplete go as well. Null texts stay null. A column ``chars`` is set to
+    the number of characters left. Only texts that are cut are shuffled.
     """
     marked = docs.withColumn("_text_id", F.xxhash64(F.col(text)))
     texts = marked.select(F.col("_text_id").alias("text_id"), F.col(text).alias("text"))
     spans = repeated_spans(texts, length).select(F.col("text_id").alias("_of"), F.col("spans").alias("_spans"))
-    joined = marked.join(spans, F.col("_text_id") == F.col("_of"), "left").drop("_text_id", "_of")
+    passes = few_of(spans.select("_of"))
+    place = len(docs.columns)
+
+    def side(wanted: bool):
+        def chosen(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+            rows = np.nonzero(passes(np.asarray(batch.column(place))) == wanted)[0]
+            return batch.take(pa.array(rows)) if len(rows) else None
+
+        return chosen
+
+    whole = arrow_map(marked, side(False), marked.schema).drop("_text_id")
+    touched = arrow_map(marked, side(True), marked.schema)
+    joined = touched.join(spans, F.col("_text_id") == F.col("_of"), "left").drop("_text_id", "_of")
 
     def kept(batch: pa.RecordBatch) -> list[pa.Array]:
-        texts_ = batch.column(batch.schema.get_field_index(text))
         own = batch.column(batch.schema.get_field_index("_spans")).to_pylist()
-        raw = binary_column(batch, text)
+        valid = batch.column(batch.schema.get_field_index(text)).is_valid().to_pylist()
         out = [
-            None if not t.is_valid else (without(v, s).decode("utf-8", "ignore") if s else v.decode("utf-8"))
-            for t, v, s in zip(texts_, raw, own)
+            without(value, spans or []).decode("utf-8", "ignore") if there else None
+            for value, spans, there in zip(binary_column(batch, text), own, valid)
         ]
         return [pa.array(out, pa.string())]
 
-    order = docs.columns
-    names = [c for c in order if c != text]
-    return arrow_append(joined, names, f"`{text}` string", kept).select(*[F.col(f"`{c}`") for c in order])
+    cut = arrow_append(joined, [c for c in docs.columns if c != text] + ["_spans"], f"`{text}` string", kept)
+    if chars:
+        count = F.when(F.col("_spans").isNotNull(), F.char_length(F.col(text)).cast(docs.schema[chars].dataType))
+        cut = cut.withColumn(chars, F.coalesce(count, F.col(chars)))
+    return whole.unionByName(cut.select(*docs.columns))
