@@ -387,7 +387,7 @@ EVENT = ["event_id", "user_id", "event_type", "value"]
 def _(t: Tables):
     base = scratch_dir(t.spark, "upsert")
     stream = ingest.stream_files(t.spark, event_batches(t), t.events.schema, "parquet", files_per_batch=2)
-    ingest.run_available(stream.select(*EVENT), ingest.upsert_step(f"{base}/table", ["event_id"]), f"{base}/checkpoint")
+    ingest.run_available(stream.select(*EVENT), ingest.upsert_step(f"{base}/table", ["event_id"], "events"), f"{base}/checkpoint")
     return sinks.read_snapshot(t.spark, f"{base}/table")
 
 
@@ -401,15 +401,38 @@ def _(t: Tables):
         t.events.select("event_id", "user_id", change.alias("event_type"), F.lit(run).alias("created_at")).write.parquet(path)
         schema = t.spark.read.parquet(path).schema
         stream = ingest.stream_files(t.spark, path, schema, "parquet").drop("file_name")
-        offset = 0 if run == "first" else 1000
-
-        def step(batch, number, offset=offset):
-            sinks.merge_into(t.spark, batch, f"{base}/table", ["event_id"], ingest.batch_version(number + offset))
-
+        step = ingest.upsert_step(f"{base}/table", ["event_id"], run)
         ingest.run_available(stream, step, f"{base}/checkpoint-{run}")
     return sinks.read_snapshot(t.spark, f"{base}/table").select(*columns, "created_at")
 
 
+@query("X03_load_then_two_streams", f"SELECT {', '.join(EVENT)} FROM events")
+def _(t: Tables):
+    """A first load, then two streams with checkpoints of their own, all into one table; then compaction."""
+    table = scratch_dir(t.spark, "loaded")
+    stale = t.events.select(*EVENT).filter("event_id % 3 = 0").withColumn("value", F.lit(-1.0))
+    sinks.merge_into(t.spark, stale, table, ["event_id"], "load 20260107")
+    for name, part in (("early", "event_id % 2 = 0"), ("late", "event_id % 2 = 1")):
+        path = scratch_dir(t.spark, f"loaded-{name}")
+        t.events.select(*EVENT).filter(part).repartition(2, "event_id").write.parquet(path)
+        stream = ingest.stream_files(t.spark, path, t.events.select(*EVENT).schema, "parquet", files_per_batch=1)
+        ingest.run_available(stream.select(*EVENT), ingest.upsert_step(table, ["event_id"], name), f"{path}-checkpoint")
+    sinks.compact_snapshot(t.spark, table)
+    return sinks.read_snapshot(t.spark, table)
+
+
+@query("X02_consumed_files", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
+def _(t: Tables):
+    """Delivered files move to an archive once a later run has committed; rows come from what the stream read."""
+    base, inbox, archive = (scratch_dir(t.spark, f"consumed-{n}") for n in ("table", "inbox", "archive"))
+    for part in ("event_id % 2 = 0", "event_id % 2 = 1"):
+        t.events.select(*EVENT).filter(part).coalesce(1).write.mode("append").parquet(inbox)
+        stream = ingest.stream_files(t.spark, inbox, t.events.select(*EVENT).schema, "parquet", "*.parquet", archive)
+        step = ingest.upsert_step(base, ["event_id"], "consumed")
+        ingest.run_available(stream.select(*EVENT), step, f"{base}-checkpoint")
+    return sinks.read_snapshot(t.spark, base).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("X05_refresh", "SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1")
 def _(t: Tables):
     base = scratch_dir(t.spark, "refresh")
@@ -422,7 +445,7 @@ def _(t: Tables):
         sinks.replace_table(totals, f"{base}/totals")
 
     stream = ingest.stream_files(t.spark, event_batches(t), t.events.schema, "parquet", files_per_batch=2)
-    step = ingest.upsert_step(f"{base}/table", ["event_id"], then=rebuild)
+    step = ingest.upsert_step(f"{base}/table", ["event_id"], "events", then=rebuild)
     ingest.run_available(stream.select(*EVENT), step, f"{base}/checkpoint")
     return t.spark.read.parquet(f"{base}/totals")
 
@@ -436,11 +459,33 @@ def _(t: Tables):
     base = scratch_dir(t.spark, "weekly")
     stream = ingest.stream_files(t.spark, event_batches(t), t.events.schema, "parquet", files_per_batch=1)
     counts = ingest.weekly_counts(stream.withColumn("ts", F.col("ts").cast("timestamp")), "ts", ["event_type"])
-    step = ingest.upsert_step(f"{base}/table", ["week_start", "event_type"])
+    step = ingest.upsert_step(f"{base}/table", ["week_start", "event_type"], "weekly")
     ingest.run_available(counts, step, f"{base}/checkpoint", mode="update")
     return sinks.read_snapshot(t.spark, f"{base}/table")
 
 
+@query(
+    "X06_weekly_counts_watermark",
+    f"""WITH weekly AS ({WEEKLY}) SELECT * FROM weekly WHERE week_end < (SELECT CAST(max(ts) AS DATE) - 2 FROM events)""",
+)
+def _(t: Tables):
+    """Append mode: a week comes out once, when the watermark two days behind the latest event has passed it."""
+    base = scratch_dir(t.spark, "watermark")
+    path = scratch_dir(t.spark, "watermark-in")
+    t.events.withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1).sortWithinPartitions("ts").write.parquet(path)
+    stream = ingest.stream_files(t.spark, path, t.spark.read.parquet(path).schema, "parquet").drop("file_name")
+    counts = ingest.weekly_counts(stream, "ts", ["event_type"], late="2 days")
+    query_ = (
+        counts.writeStream.format("parquet")
+        .option("path", f"{base}/out")
+        .option("checkpointLocation", f"{base}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query_.awaitTermination()
+    return t.spark.read.parquet(f"{base}/out")
+
+
 @query("X06_weekly_counts_batch", WEEKLY)
 def _(t: Tables):
     return ingest.weekly_counts(t.events.withColumn("ts", F.col("ts").cast("timestamp")), "ts", ["event_type"])

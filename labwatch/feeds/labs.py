@@ -283,6 +283,7 @@ def sabin(month_first: bool = True) -> LabSpec:
         format="workbook",
         glob="*.xlsx",
         drop_footer=True,
+        all_sheets=True,
     )
 
 

@@ -44,6 +44,8 @@ class LabSpec:
     separator: str = ","
     encoding: str = "UTF-8"
     sheet: str | None = None
+    # Every sheet of a workbook instead of the first.
+    all_sheets: bool = False
     glob: str = "*.csv"
     aliases: dict[str, tuple[str, ...]] = field(default_factory=dict)
     tagged_prefix: str | None = None

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +25,7 @@ def text_options(separator: str = ",", encoding: str = "UTF-8", glob: str | None
 
 def read_delimited(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     columns: list[str],
     separator: str = ",",
     encoding: str = "UTF-8",
@@ -45,22 +47,42 @@ def read_header(spark: SparkSession, path: str, separator: str, encoding: str, g
     return spark.read.options(**text_options(separator, encoding, glob)).csv(path).columns
 
 
+def headers_by_file(
+    spark: SparkSession, path: str, separator: str, encoding: str, glob: str | None
+) -> list[tuple[list[str], list[str]]]:
+    """(column names, files) for every different header among the files: first lines only reach the driver."""
+    reader = spark.read.format("text").option("encoding", encoding)
+    lines = (reader.option("pathGlobFilter", glob) if glob else reader).load(path)
+    first = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    heads = first.where("at = 0").groupBy("file").agg(F.first("value").alias("line"))
+    found = heads.groupBy("line").agg(F.array_sort(F.collect_list("file")).alias("files")).orderBy("line").collect()
+    return [(read_header(spark, r["files"][0], separator, encoding, None), r["files"]) for r in found]
+
+
+def workbook_feed(rows: DataFrame, spec: LabSpec) -> DataFrame:
+    """Parsed workbook rows as the laboratory's raw columns."""
+    if spec.drop_footer:
+        rows = rows.filter(~F.col("is_last"))
+    if spec.tagged_prefix:
+        rows = tagged_columns(rows, spec.tagged_prefix)
+    return named_columns(rows, spec.raw_headers(), spec.aliases)
+
+
 def read_feed(spark: SparkSession, path: str, spec: LabSpec) -> DataFrame:
-    """Raw rows of one laboratory from all its files under ``path``."""
-    wanted = spec.raw_headers()
+    """Raw rows of one laboratory from all its files under ``path``; delimited files may differ in their headers."""
     if spec.format == "workbook":
-        rows = read_workbooks(spark, path, spec.sheet, glob=spec.glob)
-        if spec.drop_footer:
-            rows = rows.filter(~F.col("is_last"))
-        if spec.tagged_prefix:
-            rows = tagged_columns(rows, spec.tagged_prefix)
-        return named_columns(rows, wanted, spec.aliases)
-    present = read_header(spark, path, spec.separator, spec.encoding, spec.glob)
-    missing = [c for c in wanted if c not in present]
-    if missing:
-        raise ValueError(f"{spec.lab_id}: columns missing in {path}: {missing}")
-    raw = read_delimited(spark, path, present, spec.separator, spec.encoding, spec.glob)
-    return raw.select(*[F.col(f"`{c}`") for c in wanted], "file_name")
+        return workbook_feed(read_workbooks(spark, path, spec.sheet, spec.all_sheets, spec.glob), spec)
+    wanted = spec.raw_headers()
+    parts = []
+    for present, files in headers_by_file(spark, path, spec.separator, spec.encoding, spec.glob):
+        missing = [c for c in wanted if c not in present]
+        if missing:
+            raise ValueError(f"{spec.lab_id}: columns missing in {files[0]}: {missing}")
+        raw = read_delimited(spark, files, present, spec.separator, spec.encoding)
+        parts.append(raw.select(*[F.col(f"`{c}`") for c in wanted], "file_name"))
+    if not parts:
+        raise ValueError(f"{spec.lab_id}: no files in {path}")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_estimates(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:

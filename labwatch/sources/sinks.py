@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from labwatch.functions.dates import epi_label
 from labwatch.functions.text import label
 from labwatch.operators.merge import upsert
+from labwatch.session import stored
 
 
 def replace_table(df: DataFrame, path: str) -> int:
@@ -79,13 +82,19 @@ def release_name(releases: DataFrame, as_of: str, project: str = "Arbo", name: s
     )
 
 
-def copy_tables(
-    spark: SparkSession, exported: list[tuple[str, str, int]], base: str, public_only: bool = False
-) -> list[tuple[str, str, int]]:
-    """Copies of exported tables, read from their files rather than computed again."""
-    files = {name: path for name, path, _ in exported}
-    tables = {name: (lambda p=path: spark.read.option("header", "true").csv(p)) for name, path in files.items()}
-    return export_tables(tables, base, public_only)
+def clear_others(spark: SparkSession, base: str, names: Collection[str]) -> None:
+    """Empty what an earlier export left below ``base`` and this one doesn't write; its list is kept beside."""
+    listed = f"{base.rstrip('/')}-tables"
+    try:
+        before = {r["name"] for r in spark.read.schema("name string").json(listed).collect()}
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        before = set()
+    for name in sorted(before - set(names)):
+        spark.createDataFrame([], "gone string").write.mode("overwrite").csv(f"{base.rstrip('/')}/{name}")
+    rows = [(name,) for name in names]
+    spark.createDataFrame(rows, "name string").coalesce(1).write.mode("overwrite").json(listed)
 
 
 def publish(
@@ -95,56 +104,128 @@ def publish(
     public: str,
     release: str,
 ) -> dict[str, list]:
-    """Versioned and ``current`` copies; the public side gets digit-named tables under the week label."""
+    """Versioned and ``current`` copies; the public side gets digit-named tables under the week label.
+
+    A table is computed once and stored; each place is written from the stored, ordered rows, so order and empty
+    texts are the same everywhere. Tables that ``current`` no longer has are emptied.
+    """
     week = re.search(r"SE\d+\.\d+", release).group()
-    done = export_tables(tables, f"{internal}/{release}/matrices/csv")
+    held = {name: stored((table() if callable(table) else table), "published") for name, table in tables.items()}
+    shown = {name: df for name, df in held.items() if is_public(name)}
+    clear_others(spark, f"{internal}/current/matrices/csv", held)
+    clear_others(spark, f"{public}/current/matrices/csv", shown)
     return {
-        "release": done,
-        "current": copy_tables(spark, done, f"{internal}/current/matrices/csv"),
-        "public": copy_tables(spark, done, f"{public}/{week}/matrices/csv", public_only=True),
-        "public_current": copy_tables(spark, done, f"{public}/current/matrices/csv", public_only=True),
+        "release": export_tables(held, f"{internal}/{release}/matrices/csv"),
+        "current": export_tables(held, f"{internal}/current/matrices/csv"),
+        "public": export_tables(shown, f"{public}/{week}/matrices/csv"),
+        "public_current": export_tables(shown, f"{public}/current/matrices/csv"),
     }
 
 
-# A snapshot table is a folder of snapshots ``v=<version>``; the greatest finished one is current.
+# A snapshot table is a folder of numbered parts: the first is a base, later ones hold merged rows only. A part
+# counts once the manifest names it; the manifest also tells which writer's batch it was.
 
+MANIFEST = "version long, kind string, writer string, batch long, keys array<string>"
 
-def _finished(spark: SparkSession, table: str) -> list[str]:
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/v=*/_SUCCESS")
-    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
-    return sorted(s.getPath().getParent().getName()[2:] for s in fs.globStatus(pattern) or [])
 
+def manifest(spark: SparkSession, table: str) -> list[Row]:
+    """The finished parts of a snapshot table in order; empty before its first write."""
+    try:
+        return sorted(spark.read.schema(MANIFEST).json(f"{table}/manifest").collect(), key=lambda r: r["version"])
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
 
-def snapshot_version(spark: SparkSession, table: str) -> str | None:
-    versions = _finished(spark, table)
-    return versions[-1] if versions else None
 
+def snapshot_version(spark: SparkSession, table: str) -> int | None:
+    parts = manifest(spark, table)
+    return parts[-1]["version"] if parts else None
 
-def read_snapshot(spark: SparkSession, table: str, version: str | None = None) -> DataFrame | None:
-    """Rows of a snapshot table, or None before its first write."""
-    version = version or snapshot_version(spark, table)
-    return None if version is None else spark.read.parquet(f"{table}/v={version}")
 
+def _part(table: str, version: int) -> str:
+    return f"{table}/part-{version:012d}"
+
+
+def _commit(spark: SparkSession, table: str, version: int, kind: str, writer: str, batch: int | None, keys: list[str]):
+    spark.createDataFrame([(version, kind, writer, batch, keys)], MANIFEST).coalesce(1).write.mode("append").json(
+        f"{table}/manifest"
+    )
 
-def merge_into(
-    spark: SparkSession, source: DataFrame, table: str, keys: list[str], version: str, strict: bool = True
-) -> None:
-    """Upsert ``source`` into a snapshot table as ``version`` (versions sort as text).
 
-    A snapshot counts once its writer has finished, so a lost job leaves the table as it was and a
-    replayed batch writes the same snapshot again from the same predecessor.
+def read_snapshot(
+    spark: SparkSession, table: str, version: int | None = None, keep: tuple[str, ...] = ("created_at",)
+) -> DataFrame | None:
+    """Rows of a snapshot table, or None before its first write: the latest row of each key.
+
+    The merged parts are folded among themselves and then upserted into the base, so the base is only asked for the
+    keys they touch. Columns ``keep`` stay as a key's first row had them.
+    """
+    parts = [p for p in manifest(spark, table) if version is None or p["version"] <= version]
+    if not parts:
+        return None
+    start = max(i for i, p in enumerate(parts) if p["kind"] == "base")
+    base = spark.read.parquet(_part(table, parts[start]["version"]))
+    later = parts[start + 1 :]
+    if not later:
+        return base
+    keys = later[-1]["keys"]
+    merged = [spark.read.parquet(_part(table, p["version"])).withColumn("__part", F.lit(p["version"])) for p in later]
+    rows = reduce(DataFrame.unionByName, merged)
+    complete = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys])
+    newest_first = Window.partitionBy(*keys).orderBy(F.desc("__part"))
+    whole = newest_first.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    held = {c: F.last(c).over(whole) for c in keep if c in rows.columns}
+    folded = rows.filter(complete).withColumn("__place", F.row_number().over(newest_first)).withColumns(held)
+    folded = folded.filter("__place = 1").select(*base.columns)
+    return upsert(base, folded.unionByName(rows.filter(~complete).select(*base.columns)), keys, keep, strict=False)
+
+
+def merge_into(
+    spark: SparkSession,
+    source: DataFrame,
+    table: str,
+    keys: list[str],
+    writer: str = "load",
+    batch: int | None = None,
+    strict: bool = True,
+    checks: Callable[[DataFrame], None] | None = None,
+) -> int | None:
+    """Upsert ``source`` into a snapshot table; returns the table's version afterwards.
+
+    Versions count up, whoever writes. Only the source is written, once; ``checks`` and the key check (``strict``)
+    read what was written, and only then the manifest names it. A lost job leaves the table as it was. A writer's
+    ``batch`` that is in the manifest already is not merged again; an empty source makes no version.
     """
-    before = [v for v in _finished(spark, table) if v < version]
-    merged = source
-    if before:
-        merged = upsert(spark.read.parquet(f"{table}/v={before[-1]}"), source, keys, strict=strict)
-    merged.write.mode("overwrite").parquet(f"{table}/v={version}")
-
-
-def prune_snapshots(spark: SparkSession, table: str, keep: int = 2) -> list[str]:
-    """Drop all but the newest ``keep`` finished snapshots."""
-    old = _finished(spark, table)[: -keep or None]
-    for version in old:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/v={version}")
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    return old
+    parts = manifest(spark, table)
+    last = parts[-1]["version"] if parts else None
+    if batch is not None and any(p["writer"] == writer and p["batch"] == batch for p in parts):
+        return last
+    version = (last or 0) + 1
+    rows = replace_table(source, _part(table, version))
+    written = spark.read.schema(source.schema).parquet(_part(table, version))
+    if not rows and parts:
+        return last
+    if checks is not None:
+        checks(written)
+    if strict:
+        complete = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys])
+        repeated = written.filter(complete).groupBy(*keys).count().filter("count > 1").limit(1).collect()
+        if repeated:
+            raise ValueError(f"upsert source repeats key {tuple(repeated[0][k] for k in keys)}")
+    _commit(spark, table, version, "merged" if parts else "base", writer, batch, keys)
+    return version
+
+
+def compact_snapshot(spark: SparkSession, table: str) -> int | None:
+    """Write the current rows as a new base and empty the parts before it."""
+    parts = manifest(spark, table)
+    if not parts or parts[-1]["kind"] == "base":
+        return parts[-1]["version"] if parts else None
+    version = parts[-1]["version"] + 1
+    current = read_snapshot(spark, table)
+    replace_table(current, _part(table, version))
+    _commit(spark, table, version, "base", "compaction", None, list(parts[-1]["keys"]))
+    for part in parts:
+        replace_table(spark.createDataFrame([], current.schema), _part(table, part["version"]))
+    return version

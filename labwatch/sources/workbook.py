@@ -1,4 +1,4 @@
-"""Spreadsheet workbooks (zip of XML): one task per file, rows streamed out in batches."""
+"""Spreadsheet workbooks (zip of XML): one task per file, rows streamed out."""
 
 from __future__ import annotations
 
@@ -9,11 +9,10 @@ import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import types as T
 
 SCHEMA = "file_name string, sheet string, row_no long, is_last boolean, cells map<string,string>"
-BATCH = 5_000
 # Built-in date number formats, and the day serial numbers count from.
 DATE_FORMATS = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
 EPOCH = dt.datetime(1899, 12, 30)
@@ -139,6 +138,16 @@ def workbook_rows(content: bytes, sheet: str | None, all_sheets: bool) -> Iterat
             yield (name, held[0], True, held[1])
 
 
+BINARY_FILE = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("modificationTime", T.TimestampType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("content", T.BinaryType()),
+    ]
+)
+
+
 def read_workbooks(
     spark: SparkSession,
     path: str,
@@ -150,20 +159,19 @@ def read_workbooks(
 
     ``sheet`` picks one sheet by name; without it the first sheet, or every sheet with ``all_sheets``.
     """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    return parse_workbooks(files, sheet, all_sheets)
+
+
+def parse_workbooks(files: DataFrame, sheet: str | None = None, all_sheets: bool | None = None) -> DataFrame:
+    """Rows of workbooks given as ``path, content``, one file at a time."""
     every = bool(all_sheets)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
-
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["file_name", "sheet", "row_no", "is_last", "cells"]
-        for batch in batches:
-            for name, content in zip(batch["path"], batch["content"]):
-                block = []
-                for row in workbook_rows(content, sheet, every):
-                    block.append((name, *row))
-                    if len(block) >= BATCH:
-                        yield pd.DataFrame(block, columns=columns)
-                        block = []
-                if block:
-                    yield pd.DataFrame(block, columns=columns)
-
-    return files.mapInPandas(parse, SCHEMA)
+
+    def parse(files: Iterator[Row]) -> Iterator[tuple]:
+        for name, content in files:
+            for row in workbook_rows(content, sheet, every):
+                yield (name, *row)
+
+    # Python rows instead of Arrow batches: a batch would hold as many whole workbooks as it has rows.
+    rows = files.select("path", "content").rdd.mapPartitions(parse)
+    return files.sparkSession.createDataFrame(rows, SCHEMA)

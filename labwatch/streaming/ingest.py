@@ -12,8 +12,9 @@ from pyspark.sql.streaming import StreamingQuery
 from labwatch.feeds.runner import run_feed
 from labwatch.feeds.spec import LabSpec
 from labwatch.schema import strings
-from labwatch.sources.readers import text_options
-from labwatch.sources.sinks import merge_into
+from labwatch.sources.readers import text_options, workbook_feed
+from labwatch.sources.sinks import merge_into, snapshot_version
+from labwatch.sources.workbook import BINARY_FILE, parse_workbooks
 
 Step = Callable[[DataFrame, int], None]
 
@@ -55,19 +56,24 @@ def run_available(stream: DataFrame, step: Step, checkpoint: str, mode: str = "a
     return query
 
 
-def batch_version(batch: int) -> str:
-    return f"{batch:012d}"
-
+def upsert_step(
+    table: str,
+    keys: list[str],
+    writer: str,
+    then: Callable[[SparkSession, str], None] | None = None,
+    checks: Callable[[DataFrame], None] | None = None,
+) -> Step:
+    """Merge each batch by key; ``then`` (rebuilding what depends on it) runs when the table changed.
 
-def upsert_step(table: str, keys: list[str], then: Callable[[SparkSession, str], None] | None = None) -> Step:
-    """Merge each batch by key; ``then`` (rebuilding what depends on it) runs for non-empty batches."""
+    ``writer`` names the stream, and a new checkpoint needs a new name: its batches count from 0 again, and a batch
+    number that a writer has merged is a replay.
+    """
 
     def step(batch: DataFrame, number: int) -> None:
-        if batch.isEmpty():
-            return
         spark = batch.sparkSession
-        merge_into(spark, batch, table, keys, batch_version(number))
-        if then is not None:
+        before = snapshot_version(spark, table)
+        after = merge_into(spark, batch, table, keys, writer, number, checks=checks)
+        if then is not None and after != before:
             then(spark, table)
 
     return step
@@ -84,16 +90,17 @@ def stream_feed(
     checks: Callable[[DataFrame], None] | None = None,
     then: Callable[[SparkSession, str], None] | None = None,
 ) -> StreamingQuery:
-    """New delimited files of one laboratory, upserted by sample into a snapshot table."""
-    options = text_options(spec.separator, spec.encoding)
-    raw = stream_files(spark, path, strings(*spec.raw_headers()), "csv", spec.glob, archive, **options)
-    merge = upsert_step(table, ["sample_id"], then)
+    """New files of one laboratory, delimited or workbooks, upserted by sample into a snapshot table."""
+    if spec.format == "workbook":
+        raw = stream_files(spark, path, BINARY_FILE, "binaryFile", spec.glob, archive)
+    else:
+        options = text_options(spec.separator, spec.encoding)
+        raw = stream_files(spark, path, strings(*spec.raw_headers()), "csv", spec.glob, archive, **options)
+    merge = upsert_step(table, ["sample_id"], checkpoint, then, checks)
 
     def step(batch: DataFrame, number: int) -> None:
-        results = run_feed(batch, spec, as_of)
-        if checks is not None:
-            checks(results)
-        merge(results, number)
+        rows = workbook_feed(parse_workbooks(batch, spec.sheet, spec.all_sheets), spec) if spec.format == "workbook" else batch
+        merge(run_feed(rows, spec, as_of), number)
 
     return run_available(raw, step, checkpoint)
 

@@ -10,11 +10,12 @@ from labwatch.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
-        "local[8]",
+        "local[4]",
         **{
             "spark.sql.shuffle.partitions": "4",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.driver.memory": "6g",
             "spark.ui.showConsoleProgress": "false",
         },

@@ -139,15 +139,42 @@ def test_snapshots_survive_a_replay_and_a_lost_job(spark, tmp_path):
     table = str(tmp_path / "t")
     assert sinks.read_snapshot(spark, table) is None
     rows = lambda *r: spark.createDataFrame(list(r), "k int, v string, created_at string")
-    sinks.merge_into(spark, rows((1, "a", "x"), (2, "b", "x")), table, ["k"], "0001")
+    now = lambda: sorted((tuple(r) for r in sinks.read_snapshot(spark, table).collect()), key=str)
+    assert sinks.merge_into(spark, rows((1, "a", "x"), (2, "b", "x")), table, ["k"], "20260107") == 1
     for _ in range(2):
-        sinks.merge_into(spark, rows((2, "c", "y"), (3, "d", "y")), table, ["k"], "0002")
-    assert sorted(tuple(r) for r in sinks.read_snapshot(spark, table).collect()) == [(1, "a", "x"), (2, "c", "x"), (3, "d", "y")]
-    # A snapshot without the writer's success mark does not count.
-    os.makedirs(tmp_path / "t" / "v=0003")
-    assert sinks.snapshot_version(spark, table) == "0002"
-    assert sinks.prune_snapshots(spark, table, keep=1) == ["0001"]
-    assert sinks.read_snapshot(spark, table).count() == 3
+        assert sinks.merge_into(spark, rows((2, "c", "y"), (3, "d", "y")), table, ["k"], "stream", 0) == 2
+    assert now() == [(1, "a", "x"), (2, "c", "x"), (3, "d", "y")]
+    # Another writer counts its batches from 0 too; the same key in two merged parts keeps the first stamp.
+    assert sinks.merge_into(spark, rows((3, "e", "z"), (None, "n", "z")), table, ["k"], "other", 0) == 3
+    assert [r for r in now() if r[0] == 3] == [(3, "e", "y")] and len(now()) == 4
+    # A part that no manifest line names does not count, and a failed check leaves none.
+    os.makedirs(tmp_path / "t" / "part-000000000004")
+    with pytest.raises(ValueError):
+        sinks.merge_into(spark, rows((5, "p", "z"), (5, "q", "z")), table, ["k"], "other", 1)
+    assert sinks.snapshot_version(spark, table) == 3
+    assert sinks.read_snapshot(spark, table, 1).count() == 2
+    before = now()
+    assert sinks.compact_snapshot(spark, table) == 4 and now() == before
+    assert sinks.merge_into(spark, rows().limit(0), table, ["k"], "other", 2) == 4
+
+
+def test_sabin_reads_every_sheet(spark, tmp_path):
+    spec = FEEDS["SABIN"]
+    headers = spec.raw_headers()
+    line = lambda n: [f"{n}-{i}" for i in range(len(headers))]
+    workbook(tmp_path / "a.xlsx", s1=[headers, line(1), line(2), ["total"]], s2=[headers, line(3), ["total"]])
+    rows = readers.read_feed(spark, str(tmp_path), spec).select(f"`{headers[0]}`").collect()
+    assert sorted(r[0] for r in rows) == ["1-0", "2-0", "3-0"]
+
+
+def test_deliveries_with_different_headers(spark, tmp_path):
+    spec = FEEDS["HILAB"]
+    headers = spec.raw_headers()
+    (tmp_path / "a.csv").write_text(",".join(headers) + "\n" + ",".join(f"a{i}" for i in range(len(headers))) + "\n")
+    other = ["extra", *reversed(headers)]
+    (tmp_path / "b.csv").write_text(",".join(other) + "\n" + ",".join(["?"] + [f"b{i}" for i in reversed(range(len(headers)))]) + "\n")
+    rows = readers.read_feed(spark, str(tmp_path), spec).drop("file_name").collect()
+    assert sorted(tuple(r) for r in rows) == [tuple(f"{n}{i}" for i in range(len(headers))) for n in "ab"]
 
 
 def drop(folder, name, spec: LabSpec, *rows):
@@ -198,8 +225,8 @@ def test_scratch_folder(spark):
             def get(key, default=None):
                 return default
 
-    one, two = session.scratch_dir(Bare, "x"), session.scratch_dir(Bare, "x")
-    assert one != two and os.path.dirname(one) == os.path.dirname(two)
+    with pytest.raises(ValueError):
+        session.scratch_dir(Bare, "x")
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         assert session.scratch_dir(spark, "x").startswith(shared)
