@@ -82,29 +82,41 @@ def _(t: Tables):
     return A.pivot_fixed(sizes, ["p_brand"], "p_type", {"STANDARD": "standard", "NONE": "absent"}, "p_size", "sum", 0)
 
 
+def melted(df, keys: list[str], dtype: str):
+    """A wide table as plain rows (keys, label, value), so that a fixed statement can state it."""
+    labels = [c for c in df.columns if c not in keys]
+    if not labels:
+        return df.limit(0).select(*keys, F.lit(None).cast("string").alias("label"), F.lit(None).cast(dtype).alias("value"))
+    pairs = F.array(*[F.struct(F.lit(c).alias("label"), F.col(f"`{c}`").cast(dtype).alias("value")) for c in labels])
+    return df.select(*[F.col(f"`{k}`") for k in keys], F.inline(pairs))
+
+
+_PART_GRID = """(SELECT DISTINCT p_brand FROM part) b CROSS JOIN (SELECT DISTINCT p_type AS label FROM part WHERE p_type IS NOT NULL) y"""
+
+
 @query(
     "A05_pivot_observed",
-    "FROM (PIVOT (SELECT p_brand, p_type, p_size FROM part) ON p_type USING coalesce(sum(p_size), 0)::BIGINT GROUP BY p_brand)",
+    f"""SELECT b.p_brand, label, coalesce(sum(p_size), 0)::BIGINT AS value FROM {_PART_GRID}
+        LEFT JOIN part p ON p.p_brand = b.p_brand AND p.p_type = label GROUP BY ALL""",
 )
 def _(t: Tables):
     sizes = t.part.withColumn("p_size", F.col("p_size").cast("long"))
-    return A.pivot_observed(sizes, ["p_brand"], "p_type", "p_size", "sum", 0)
+    return melted(A.pivot_observed(sizes, ["p_brand"], "p_type", "p_size", "sum", 0), ["p_brand"], "long")
 
 
 @query(
     "A06_pivot_well_filled",
-    """WITH cells AS (SELECT p_brand, p_type, max(p_size) AS top FROM part GROUP BY 1, 2),
+    f"""WITH cells AS (SELECT p_brand, p_type, max(p_size) AS top FROM part GROUP BY 1, 2),
         good AS (SELECT p_type FROM cells GROUP BY 1
             HAVING count(*) FILTER (top > 40) / (SELECT count(DISTINCT p_brand) FROM cells) >= 0.8)
-        SELECT b.p_brand, q.* EXCLUDE (p_brand) FROM (SELECT DISTINCT p_brand FROM cells) b LEFT JOIN
-            (PIVOT (SELECT * FROM cells WHERE p_type IN (SELECT p_type FROM good)) ON p_type USING max(top) GROUP BY p_brand) q
-            ON q.p_brand = b.p_brand""",
+        SELECT b.p_brand, label, max(top)::INTEGER AS value FROM {_PART_GRID} JOIN good g ON g.p_type = label
+        LEFT JOIN cells c ON c.p_brand = b.p_brand AND c.p_type = label GROUP BY ALL""",
 )
 def _(t: Tables):
     cells = t.part.groupBy("p_brand", "p_type").agg(F.max("p_size").alias("top"))
     filled = A.fill_rate(cells, "p_type", "p_brand", F.col("top") > 40)
     labels = A.observed_values(filled.filter("fill_rate >= 0.8"), "p_type")
-    return A.pivot_observed(cells, ["p_brand"], "p_type", "top", labels=labels)
+    return melted(A.pivot_observed(cells, ["p_brand"], "p_type", "top", labels=labels), ["p_brand"], "int")
 
 
 @query(

@@ -108,16 +108,8 @@ def samples(t: Tables) -> DataFrame:
     return collapse_samples(coded_lines(t), "sample_id", SAMPLE_COLUMNS)
 
 
-# Folders whose dimensions this application has verified already, and what was found.
-_SMALL: dict[tuple[str, str], bool] = {}
-
-
 def dimensions(t: Tables) -> Dimensions:
-    key = (t.spark.sparkContext.applicationId, t.folder)
-    dims = _dimensions(t)
-    if key not in _SMALL:
-        _SMALL[key] = dims.verified().small
-    return dims.marked(_SMALL[key])
+    return _dimensions(t).verified()
 
 
 def _dimensions(t: Tables) -> Dimensions:

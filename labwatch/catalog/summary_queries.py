@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from labwatch.catalog.aggregate_queries import melted
 from labwatch.catalog.base import Tables, query
 from labwatch.catalog.bridge import AS_OF, MIN_TESTS, raw_estimates, sql, summary
 from labwatch.plans.combine import estimates_by_week
-from labwatch.plans.matrices import TABLES, Summary, summary_from_cube
+from labwatch.plans.matrices import TABLES, WEEKS, Summary, summary_from_cube
 from labwatch.sources.readers import cast_estimates
 
 KITS = {"denv": "('arbo_pcr_3', 'ns1_antigen', 'denv_pcr')", "chikv": "('arbo_pcr_3', 'chikv_pcr', 'igm_serum')"}
@@ -146,11 +147,10 @@ def state_cells() -> str:
 
 
 def week_states() -> str:
-    return """SELECT w.epiweek_enddate AS "Semanas epidemiológicas", q.* EXCLUDE (epiweek_enddate)
-        FROM (SELECT DISTINCT epiweek_enddate FROM cells WHERE state_code <> 'NOT REPORTED') w LEFT JOIN
-        (PIVOT (SELECT epiweek_enddate, state_code, CASE WHEN state_code <> 'NOT REPORTED' THEN rate END AS rate
-            FROM cells WHERE state_code IN (SELECT state_code FROM good)) ON state_code USING max(rate) GROUP BY epiweek_enddate) q
-        ON q.epiweek_enddate = w.epiweek_enddate"""
+    return """SELECT w.epiweek_enddate AS "Semanas epidemiológicas", g.state_code AS label,
+        max(CASE WHEN c.state_code <> 'NOT REPORTED' THEN rate END) AS value
+        FROM (SELECT DISTINCT epiweek_enddate FROM cells WHERE state_code <> 'NOT REPORTED') w CROSS JOIN good g
+        LEFT JOIN cells c ON c.epiweek_enddate = w.epiweek_enddate AND c.state_code = g.state_code GROUP BY ALL"""
 
 
 GOOD_STATES = f"""SELECT state_code FROM cells GROUP BY 1
@@ -174,23 +174,27 @@ def state_quality() -> str:
 
 
 def against_estimates(p: str, disease: str, suffix: str) -> str:
-    regional = ", ".join(
-        f"""{rate(p, where=f" AND region = '{r}'")} AS "{r} (Positividade)" """ for r in REGIONS
-    )
-    sums = ", ".join(
-        f"""coalesce(sum(casos_estimados) FILTER (region = '{r}' AND disease = '{disease}'), 0)::BIGINT AS "{r} (InfoDengue)" """
-        for r in REGIONS
-    )
-    states = f"""(PIVOT (SELECT epiweek_enddate, state_code || '{suffix}' AS label,
-        CASE WHEN disease = '{disease}' THEN casos_estimados ELSE 0 END AS n FROM estimates_weekly)
-        ON label USING coalesce(sum(n), 0)::BIGINT GROUP BY epiweek_enddate)"""
-    lab = f'SELECT epiweek_enddate, {rate(p)} AS "Brasil (Positividade)", {regional} {direct(p)} GROUP BY 1'
+    """Plain rows (week, label, value) of what the wide table has as columns."""
     week = "Semanas epidemiológicas"
-    return f"""SELECT * FROM (SELECT coalesce(l.epiweek_enddate, e.epiweek_enddate) AS "{week}", l.* EXCLUDE (epiweek_enddate),
-        coalesce(COLUMNS(e.* EXCLUDE (epiweek_enddate)), 0)
-        FROM ({lab}) l FULL JOIN (SELECT r.*, s.* EXCLUDE (epiweek_enddate) FROM (SELECT epiweek_enddate, {sums}
-            FROM estimates_weekly WHERE epiweek_enddate IN (SELECT epiweek_enddate FROM estimates_weekly WHERE disease = '{disease}')
-            GROUP BY 1) r JOIN {states} s ON s.epiweek_enddate = r.epiweek_enddate) e ON e.epiweek_enddate = l.epiweek_enddate)"""
+    rates = {"Brasil": rate(p)} | {r: rate(p, where=f" AND region = '{r}'") for r in REGIONS}
+    lab = ", ".join(f'{body} AS "{name}"' for name, body in rates.items())
+    lab = f"SELECT epiweek_enddate, {lab} {direct(p)} GROUP BY 1"
+    shown = " UNION ALL ".join(
+        f"""SELECT w.epiweek_enddate, '{name} (Positividade)' AS label, CAST("{name}" AS DOUBLE) AS value
+            FROM weeks w LEFT JOIN lab l ON l.epiweek_enddate = w.epiweek_enddate"""
+        for name in rates
+    )
+    cases = f"""SELECT epiweek_enddate, region, state_code, casos_estimados AS n FROM estimates_weekly WHERE disease = '{disease}'"""
+    labels = " UNION ALL ".join(f"SELECT '{r} (InfoDengue)' AS label, '{r}' AS region, NULL AS state_code" for r in REGIONS)
+    states = f"SELECT DISTINCT concat(state_code, '{suffix}') AS label, NULL AS region, state_code FROM estimates_weekly WHERE state_code IS NOT NULL"
+    return f"""SELECT epiweek_enddate AS "{week}", label, value FROM (
+        WITH lab AS ({lab}), cases AS ({cases}),
+        weeks AS (SELECT epiweek_enddate FROM lab UNION SELECT epiweek_enddate FROM cases),
+        labels AS ({labels} UNION ALL {states})
+        {shown} UNION ALL
+        SELECT w.epiweek_enddate, l.label, CAST(coalesce(sum(c.n), 0) AS DOUBLE) AS value FROM weeks w CROSS JOIN labels l
+        LEFT JOIN cases c ON c.epiweek_enddate = w.epiweek_enddate AND (c.region = l.region OR c.state_code = l.state_code)
+        GROUP BY 1, 2)"""
 
 
 TWO = """FROM long WHERE epiweek_enddate >= DATE '2022-01-08' AND CASE
@@ -298,7 +302,7 @@ for _id, _pathogen, _prefix in (("M11", "denv", "11_DENV"), ("M12", "chikv", "12
 @query("M04_week_states", on_long(week_states(), cells=state_cells(), good=GOOD_STATES))
 def _(t: Tables):
     s = summary(t, min_tests=STATE_MIN, state_fill=STATE_FILL)
-    return TABLES["04_DENV_line_posrate_direct_weeks_states"].build(s)
+    return melted(TABLES["04_DENV_line_posrate_direct_weeks_states"].build(s), [WEEKS], "double")
 
 
 _quality = state_quality()
@@ -322,12 +326,14 @@ def _with_estimates(t: Tables) -> Summary:
 
 @query("M22_against_estimates", on_long(against_estimates("denv", "dengue", ""), "estimates_weekly"))
 def _(t: Tables):
-    return TABLES["22_DENV_line_posrate_bar_pos_direct_week_country_infodengue"].build(_with_estimates(t))
+    table = TABLES["22_DENV_line_posrate_bar_pos_direct_week_country_infodengue"]
+    return melted(table.build(_with_estimates(t)), [WEEKS], "double")
 
 
 @query("M23_against_estimates", on_long(against_estimates("chikv", "chikungunya", " (InfoDengue)"), "estimates_weekly"))
 def _(t: Tables):
-    return TABLES["23_CHIKV_line_posrate_bar_pos_direct_week_country_infodengue"].build(_with_estimates(t))
+    table = TABLES["23_CHIKV_line_posrate_bar_pos_direct_week_country_infodengue"]
+    return melted(table.build(_with_estimates(t)), [WEEKS], "double")
 
 
 @query("MCUBE_week_from_cube", on_long(week_country("denv")))

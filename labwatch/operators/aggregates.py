@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 from labwatch import vocab
 from labwatch.functions.text import col
 
-# Most columns a data-driven pivot may create.
-MAX_PIVOT_COLUMNS = 500
 
 
 def count_where(condition: Column, weight: Column | str | None = None) -> Column:
@@ -65,12 +63,13 @@ def pivot_fixed(
     return df.groupBy(*keys).agg(*columns)
 
 
-def observed_values(df: DataFrame, column: str, limit: int = MAX_PIVOT_COLUMNS) -> list:
-    """Sorted distinct non-NULL labels for a pivot; refuses more labels than columns make sense."""
-    rows = df.filter(F.col(column).isNotNull()).select(column).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} values; it cannot become columns")
-    return sorted(row[0] for row in rows)
+def observed_values(df: DataFrame, column: str) -> list:
+    """Sorted distinct non-NULL labels for a pivot.
+
+    Each becomes a column; take the labels from a dimension where there is one, and keep the long form where there
+    are too many to read.
+    """
+    return sorted(row[0] for row in df.filter(F.col(column).isNotNull()).select(column).distinct().collect())
 
 
 def pivot_observed(

@@ -19,8 +19,6 @@ HOT_FLOOR = 200_000
 
 # Signs that make a LIKE pattern more than a literal.
 WILDCARD = r"[%_\\]"
-# Most wildcard patterns a pattern table may hold.
-MAX_PATTERNS = 5_000
 
 
 def same_key(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
@@ -107,60 +105,41 @@ def interval_join(
     return out.drop("__day", "__low", "__high")
 
 
-def has_wildcards(dim: DataFrame, columns: list[str]) -> bool:
-    found = F.lit(False)
-    for c in columns:
-        found = found | F.coalesce(F.col(c).rlike(WILDCARD), F.lit(False))
-    return not dim.filter(found).isEmpty()
+def literal_prefix(pattern: Column) -> Column:
+    """What stands before a LIKE pattern's first wildcard."""
+    return F.regexp_extract(pattern, r"^[^%_\\]*", 0)
 
 
 def pattern_join(
-    df: DataFrame,
-    dim: DataFrame,
-    pairs: Mapping[str, str],
-    how: str = "left",
-    ignore_case: bool = True,
-    literal: bool | None = None,
+    df: DataFrame, dim: DataFrame, pairs: Mapping[str, str], how: str = "left", ignore_case: bool = True
 ) -> DataFrame:
     """``df.value [I]LIKE dim.pattern`` for every pair ``{value: pattern}``.
 
-    Patterns without wildcards are plain keys: an equi-join. A table with wildcards must be small
-    (``MAX_PATTERNS``, checked); it becomes one array literal that each row filters, without a join.
+    The distinct values meet the patterns by equi-joins, on the first pair's literal prefix in each of the prefix
+    lengths that occur, and LIKE decides; the matches then join back on the values. So the work follows the distinct
+    values, and only patterns that begin with a wildcard meet all of them.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be left or inner")
-    if literal is None:
-        literal = not has_wildcards(dim, list(pairs.values()))
-    if literal:
-        fold: Callable[[Column], Column] = F.upper if ignore_case else (lambda c: c)
-        condition = F.lit(True)
-        for value, pattern in pairs.items():
-            condition = condition & (fold(F.col(f"f.{value}")) == fold(F.col(f"d.{pattern}")))
-        return (
-            df.alias("f")
-            .join(dim.alias("d"), condition, how)
-            .select(*[F.col(f"f.{c}") for c in df.columns], *[F.col(f"d.{c}") for c in dim.columns])
-        )
-    rows = dim.limit(MAX_PATTERNS + 1).collect()
-    if len(rows) > MAX_PATTERNS:
-        raise ValueError(f"pattern table holds more than {MAX_PATTERNS} wildcard rows")
-    types = {f.name: f.dataType for f in dim.schema.fields}
-    table = F.array(
-        *[F.struct(*[F.lit(row[c]).cast(types[c]).alias(c) for c in dim.columns]) for row in rows]
-    )
-
-    def matches(row: Column) -> Column:
-        out = F.lit(True)
-        for value, pattern in pairs.items():
-            left, right = F.col(value), row[pattern]
-            if ignore_case:
-                left, right = F.upper(left), F.upper(right)
-            out = out & F.call_function("like", left, right)
-        return F.coalesce(out, F.lit(False))
-
-    spread = F.explode_outer if how == "left" else F.explode
-    return df.withColumn("__match", spread(F.filter(table, matches))).select(
-        *df.columns, *[F.col("__match")[c].alias(c) for c in dim.columns]
+    fold: Callable[[Column], Column] = F.upper if ignore_case else (lambda c: c)
+    first = next(iter(pairs))
+    patterns = dim.withColumn("__prefix", literal_prefix(fold(F.col(pairs[first]))))
+    lengths = patterns.where("__prefix is not null").agg(F.collect_set(F.length("__prefix"))).scalar()
+    values = df.select(*[F.col(v).alias(f"__{v}") for v in pairs]).distinct().where(F.col(f"__{first}").isNotNull())
+    text = fold(F.col(f"__{first}"))
+    spread = values.select("*", text.alias("__text")).select("*", F.explode(lengths).alias("__length"))
+    keyed = spread.where("length(__text) >= __length").withColumn("__start", F.expr("substring(__text, 1, __length)"))
+    met = keyed.join(patterns, F.col("__start") == F.col("__prefix"))
+    for value, pattern in pairs.items():
+        met = met.where(F.call_function("like", fold(F.col(f"__{value}")), fold(F.col(pattern))))
+    matches = met.select(*[f"__{v}" for v in pairs], *dim.columns)
+    condition = F.lit(True)
+    for value in pairs:
+        condition = condition & (F.col(f"f.{value}") == F.col(f"m.__{value}"))
+    return (
+        df.alias("f")
+        .join(matches.alias("m"), condition, how)
+        .select(*[F.col(f"f.{c}") for c in df.columns], *[F.col(f"m.{c}") for c in dim.columns])
     )
 
 

@@ -5,32 +5,47 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from labwatch import vocab
 from labwatch.functions.dates import epi_number, week_end, year_month
 from labwatch.functions.text import kit_method, normalize_text, region_name
-from labwatch.operators.joins import WILDCARD, assert_unique, band_join, join_back
+from labwatch.operators.joins import WILDCARD, band_join
 from labwatch.operators.merge import union_feeds
 from labwatch.operators.shaping import completed_weeks, or_missing, unpivot_results
 from labwatch.schema import LAB_COLUMNS
 
 
-# Dimensions up to this many rows (checked) are broadcast; larger ones take the way over distinct places.
-MAX_BROADCAST_ROWS = 100_000
+def guarded(df: DataFrame, keys: list[str], name: str, literal: bool) -> DataFrame:
+    """``df``, failing where it is used if a key repeats or, with ``literal``, holds a wildcard.
+
+    All rows are checked, in the plan that reads them; rows whose whole key is NULL match nothing and may repeat.
+    """
+    present = F.coalesce(*[F.col(k).cast("string") for k in keys]).isNotNull()
+    repeats = present & (F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1)
+    wild = reduce(lambda x, y: x | y, [F.coalesce(F.col(k).cast("string").rlike(WILDCARD), F.lit(False)) for k in keys])
+    fault = F.when(repeats, F.lit(f"{name}: the key {keys} repeats"))
+    if literal:
+        fault = fault.when(wild, F.lit(f"{name} holds wildcards; place repair takes literal names"))
+    first, dtype = keys[0], df.schema[keys[0]].dataType
+    checked = df.withColumn("__fault", fault)
+    value = F.when(F.col("__fault").isNotNull(), F.raise_error(F.col("__fault")).cast(dtype)).otherwise(F.col(first))
+    return checked.withColumn(first, value).select(*df.columns)
 
 
 @dataclass(frozen=True)
 class Dimensions:
+    """The lookup tables of the combined table; Spark's own size threshold decides how each is joined."""
+
     municipalities: DataFrame
     macroregions: DataFrame
     fix_state: DataFrame
     fix_location: DataFrame
     # Without them the fixed bands and the calendar arithmetic are used.
     age_groups: DataFrame | None = None
-    # Set by ``verified``: whether every table is small enough for broadcast.
-    small: bool | None = None
+    # Set by ``verified``.
+    checked: bool = False
 
     # Table -> (key columns, whether the keys are names that must hold no wildcards).
     KEYS = {
@@ -40,40 +55,12 @@ class Dimensions:
         "fix_location": (["source_location", "source_state"], True),
     }
 
-    def marked(self, small: bool) -> Dimensions:
-        """The verified dimensions, marked for broadcast when they are small."""
-        if not small:
-            return replace(self, small=False)
-        return replace(self, small=True, **{name: F.broadcast(getattr(self, name)) for name in self.KEYS})
-
-    def verified(self, limit: int = MAX_BROADCAST_ROWS) -> Dimensions:
-        """Check sizes, key uniqueness and wildcards in one job; once per set of dimension tables."""
-        if self.small is not None:
+    def verified(self) -> Dimensions:
+        """The same tables with checks of keys and wildcards in their plans."""
+        if self.checked:
             return self
-        parts = []
-        for name, (keys, literal) in self.KEYS.items():
-            rows = getattr(self, name).select(*keys).limit(limit + 1)
-            present = F.coalesce(*[F.col(k).cast("string") for k in keys]).isNotNull()
-            wild = reduce(lambda x, y: x | y, [F.coalesce(F.col(k).rlike(WILDCARD), F.lit(False)) for k in keys])
-            parts.append(
-                rows.agg(
-                    F.lit(name).alias("name"),
-                    F.count(F.lit(1)).alias("n"),
-                    F.count_if(present).alias("keyed"),
-                    F.countDistinct(F.when(present, F.struct(*keys))).alias("different"),
-                    F.count_if(wild & F.lit(literal)).alias("wild"),
-                )
-            )
-        found = reduce(DataFrame.unionAll, parts).collect()
-        for row in found:
-            keys, _ = self.KEYS[row["name"]]
-            if row["n"] > limit:
-                assert_unique(getattr(self, row["name"]), keys, row["name"])
-            elif row["keyed"] != row["different"]:
-                raise ValueError(f"{row['name']}: the key {keys} repeats")
-            if row["wild"]:
-                raise ValueError(f"{row['name']} holds wildcards; place repair takes literal names")
-        return self.marked(all(row["n"] <= limit for row in found))
+        tables = {n: guarded(getattr(self, n), keys, n, literal) for n, (keys, literal) in self.KEYS.items()}
+        return replace(self, checked=True, **tables)
 
 
 def combine_feeds(finals: dict[str, DataFrame], distinct: bool = True, methods: DataFrame | None = None) -> DataFrame:
@@ -172,26 +159,16 @@ def add_geography(df: DataFrame, municipalities: DataFrame, macroregions: DataFr
     )
 
 
-def enrich(rows: DataFrame, dims: Dimensions, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Unioned finals -> combined.
+def enrich(rows: DataFrame, dims: Dimensions) -> DataFrame:
+    """Unioned finals -> combined: equi-joins with the dimensions, whatever their size.
 
-    With small dimensions this is one pass without a shuffle. Otherwise the distinct place names
-    are enriched and joined back, so a place that holds much of the data is never one task.
+    Dimensions below Spark's threshold are broadcast and the facts aren't shuffled; otherwise adaptive execution
+    splits a place that holds much of the data.
     """
+    dims = dims.verified()
     facts = add_epiweek(add_age_group(rows, dims.age_groups))
-    dims = dims.verified(limit)
-    if dims.small:
-        return add_geography(
-            fix_place(facts, dims.fix_state, dims.fix_location), dims.municipalities, dims.macroregions
-        )
-    named = facts.withColumnsRenamed({"location": "__place_name", "state": "__state_name"})
-    keys = ["__place_name", "__state_name"]
-    places = named.groupBy(*keys).agg(F.count(F.lit(1)).alias("__lines"))
-    texts = places.withColumns({"location": F.col("__place_name"), "state": F.col("__state_name")})
-    known = add_geography(
-        fix_place(texts, dims.fix_state, dims.fix_location), dims.municipalities, dims.macroregions
-    )
-    return join_back(named, known, keys, "__lines").drop(*keys, "__lines")
+    fixed = fix_place(facts, dims.fix_state, dims.fix_location)
+    return add_geography(fixed, dims.municipalities, dims.macroregions)
 
 
 def combine(finals: dict[str, DataFrame], dims: Dimensions, distinct: bool = False) -> DataFrame:
