@@ -40,6 +40,7 @@ HEADLINE = [
     "W06_drop_redundant",
     "W09_collapse_samples",
     "X06_weekly_counts_batch",
+    "MCUBE_week_from_cube",
 ]
 
 

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+from xml.sax.saxutils import escape
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from labwatch import vocab
@@ -26,6 +31,7 @@ from labwatch.plans.combine import ReportCity, city_report
 from labwatch.plans.matrices import TABLES
 from labwatch.session import scratch_dir
 from labwatch.sources import readers, repair, sinks
+from labwatch.sources.workbook import parse_workbooks
 from labwatch.streaming import ingest
 
 CUSTOMER = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
@@ -317,6 +323,64 @@ def _(t: Tables):
     return back.select(F.col(_WEEK[0]).alias("week"), F.col("Negativos").alias("neg"))
 
 
+def workbook_bytes(sheets: dict[str, list[list]]) -> bytes:
+    """A minimal workbook of text cells; empty cells are left out."""
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    office = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as book:
+        names = "".join(f'<sheet name="{n}" sheetId="{i}" r:id="rId{i}"/>' for i, n in enumerate(sheets, 1))
+        book.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{office}"><sheets>{names}</sheets></workbook>')
+        links = "".join(f'<Relationship Id="rId{i}" Target="worksheets/sheet{i}.xml"/>' for i in range(1, len(sheets) + 1))
+        package = "http://schemas.openxmlformats.org/package/2006/relationships"
+        book.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="{package}">{links}</Relationships>')
+        for i, rows in enumerate(sheets.values(), 1):
+            body = ""
+            for r, row in enumerate(rows, 1):
+                cells = (
+                    f'<c r="{chr(65 + c)}{r}" t="inlineStr"><is><t>{escape(str(v))}</t></is></c>'
+                    for c, v in enumerate(row)
+                    if v is not None
+                )
+                body += f'<row r="{r}">{"".join(cells)}</row>'
+            book.writestr(f"xl/worksheets/sheet{i}.xml", f'<worksheet xmlns="{main}"><sheetData>{body}</sheetData></worksheet>')
+    return out.getvalue()
+
+
+def customer_workbooks(t: Tables):
+    """One workbook per nation: a note, the customers of each half in a sheet with a blank line first and a footer."""
+
+    def build(pdf):
+        head = ["id", "name", "name", "segment"]
+        rows = [[r.c_custkey, r.c_name, r.c_name[::-1], r.c_mktsegment] for r in pdf.sort_values("c_custkey").itertuples()]
+        parts = {f"part{n}": [[None, "x"], head, *rows[n::2], ["total"]] for n in (0, 1)}
+        content = workbook_bytes({**parts, "note": [["text"], ["a"], ["b"]]})
+        return pd.DataFrame({"path": [f"nation-{pdf.c_nationkey.iloc[0]}.xlsx"], "content": [content]})
+
+    return t.customer.groupBy("c_nationkey").applyInPandas(build, "path string, content binary")
+
+
+@query("S05_workbook_sheet", "SELECT concat('nation-', c_nationkey, '.xlsx') AS file, unnest(['a', 'b']) AS text FROM (SELECT DISTINCT c_nationkey FROM customer)")
+def _(t: Tables):
+    return parse_workbooks(customer_workbooks(t), "note").select(F.col("file_name").alias("file"), F.col("cells.text").alias("text"))
+
+
+@query("S06_all_sheets", "SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS segment FROM customer")
+def _(t: Tables):
+    rows = parse_workbooks(customer_workbooks(t), all_sheets=True).filter("sheet <> 'note' AND NOT is_last")
+    return rows.select("cells.id", "cells.name", "cells.segment")
+
+
+@query(
+    "S07_blank_line_and_repeated_headers",
+    """SELECT CAST(c_custkey AS VARCHAR) AS id, reverse(c_name) AS second FROM
+        (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS n FROM customer) WHERE n % 2 = 1""",
+)
+def _(t: Tables):
+    rows = parse_workbooks(customer_workbooks(t)).filter("NOT is_last")
+    return rows.select("cells.id", F.col("cells")["name.1"].alias("second"))
+
+
 @query("S24_used_files", f"SELECT DISTINCT {FILE} AS file_name FROM lineitem")
 def _(t: Tables):
     return readers.used_files(t.lineitem.selectExpr(f"{FILE} as file_name"))

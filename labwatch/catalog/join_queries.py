@@ -65,16 +65,14 @@ def _(t: Tables):
 
 @query(
     "J02_band_join_wide_bands",
-    """SELECT o_orderkey, p.p_partkey FROM orders JOIN part p
-        ON o_totalprice BETWEEN p.p_retailprice * 100 AND p.p_retailprice * 100 + p.p_size""",
+    """SELECT o_orderkey, n_name FROM orders JOIN nation
+        ON o_totalprice BETWEEN n_nationkey * 20000 AND n_nationkey * 20000 + 30000""",
 )
 def _(t: Tables):
-    prices = t.part.select(
-        "p_partkey",
-        (F.col("p_retailprice") * 100).alias("low"),
-        (F.col("p_retailprice") * 100 + F.col("p_size")).alias("high"),
-    )
-    return band_join(t.orders, prices, "o_totalprice", "low", "high", "inner", width=50).select("o_orderkey", "p_partkey")
+    """Bands that overlap, but each price lies in two at most: the output grows with the orders only."""
+    low = F.col("n_nationkey") * 20000
+    bands = t.nation.select("n_name", low.alias("low"), (low + 30000).alias("high"))
+    return band_join(t.orders, bands, "o_totalprice", "low", "high", "inner", width=10_000).select("o_orderkey", "n_name")
 
 
 @query(

@@ -43,12 +43,16 @@ def strip_accents(c: Column | str) -> Column:
 
 
 def plain_upper(c: Column | str) -> Column:
-    """Upper case without accents. Upper-casing first leaves half of the letters to replace."""
-    out = F.translate(F.upper(col(c)), *_accent_pairs(True))
+    """Upper case without accents. Upper-casing first leaves half of the letters to replace.
+
+    A text with as many bytes as characters has none; it skips the replacing.
+    """
+    c = col(c)
+    out = F.translate(F.upper(c), *_accent_pairs(True))
     for ligature, letters in LIGATURES.items():
         if ligature == ligature.upper():
             out = F.replace(out, F.lit(ligature), F.lit(letters))
-    return out
+    return F.when(F.octet_length(c) == F.char_length(c), F.upper(c)).otherwise(out)
 
 
 def normalize_text(c: Column | str) -> Column:

@@ -383,7 +383,8 @@ def against_estimates(s: Summary, pathogen: str, suffix: str = "") -> DataFrame:
     lab = cells.groupBy(F.col("epiweek_enddate").alias(WEEKS)).agg(
         country.alias("Brasil (Positividade)"), *regional
     )
-    dated = s.estimates.filter(start)
+    # The labels are needed before the pivot can be planned; the estimates are read once for both.
+    dated = stored(s.estimates.filter(start), "estimates")
     states = observed_values(dated, "state_code")
     cases = F.col("casos_estimados").cast("long")
 

@@ -10,6 +10,11 @@ from labwatch.session import stored
 from labwatch.sources.sinks import publish, release_name, write_delimited
 
 
+def hold(combined: DataFrame) -> DataFrame:
+    """The combined table stored once; summaries, export and report of a release read the stored rows."""
+    return stored(combined, "combined")
+
+
 def prepare(combined: DataFrame, estimates: DataFrame, macroregions: DataFrame, as_of: str, **params) -> Summary:
     """Aggregate the combined table once into a cube table that every summary reads."""
     cube = stored(summary_cube(summary_rows(combined, as_of)), "cube")
@@ -20,9 +25,14 @@ def prepare(combined: DataFrame, estimates: DataFrame, macroregions: DataFrame,
 def make_release(
     s: Summary, combined: DataFrame, releases: DataFrame, internal: str, public: str, as_of: str
 ) -> str:
-    """Write all summaries, the combined table and the city report under the next release name."""
+    """Write all summaries, the combined table and the city report under the next release name and as ``current``.
+
+    ``combined`` is read several times: pass the rows that ``hold`` stored.
+    """
     name = release_name(releases, as_of).collect()[0]["release"]
     publish(combined.sparkSession, exported_tables(s), internal, public, name)
-    write_delimited(combined, f"{internal}/{name}/combined", compression="gzip")
-    write_delimited(city_report(combined), f"{internal}/{name}/report")
+    report = city_report(combined)
+    for folder in (name, "current"):
+        write_delimited(combined, f"{internal}/{folder}/combined", compression="gzip")
+        write_delimited(report, f"{internal}/{folder}/report")
     return name
