@@ -171,7 +171,7 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 def fit_vocabulary(texts: DataFrame, listed: int, own: int, endings: int) -> LanguageModel:
-    """Counts of all words of all training texts; the ``listed`` most frequent ones come to the driver."""
+    """Counts of all words of all training texts; at most ``listed`` of the most frequent come to the driver."""
 
     def counted(batch: pa.RecordBatch) -> tuple[np.ndarray, list[pa.Array]]:
         found = Counter(chain.from_iterable(map(words_of, binary_column(batch, "text"))))
@@ -185,18 +185,40 @@ def fit_vocabulary(texts: DataFrame, listed: int, own: int, endings: int) -> Lan
     partial = arrow_explode(texts, [], "word binary, n long, ending int", counted)
     counts = stored(partial.groupBy("word", "ending").agg(F.sum("n").alias("n")), "word-counts")
     ends = texts.count()
-    frequent = counts.orderBy(F.desc("n"), "word").limit(listed).select("word", "n").collect()  # listed rows at most
+    frequent = _most_frequent(counts, listed)
     tokens, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     vocabulary = Vocabulary(
-        [bytes(r[0]) for r in frequent], [r[1] for r in frequent], own, endings, (tokens + ends, types + (ends > 0)), ends
+        [word for word, _ in frequent], [n for _, n in frequent], own, endings, (tokens + ends, types + (ends > 0)), ends
     )
     for ending, n, kinds in counts.groupBy("ending").agg(F.sum("n"), F.count("*")).collect():  # endings rows at most
         vocabulary.class_sizes[ending] += n + kinds
     for word, n in frequent[:own]:
-        vocabulary.class_sizes[ending_of(bytes(word), endings)] -= n + 1
+        vocabulary.class_sizes[ending_of(word, endings)] -= n + 1
     return LanguageModel(vocabulary, counts)
 
 
+def _most_frequent(counts: DataFrame, listed: int) -> list[tuple[bytes, int]]:
+    """The most frequent words down to a count that at most ``listed`` words reach, by falling count, then word.
+
+    Counts are first summed up by levels (each number up to 1024, then 64 for every doubling), so that only words
+    above the level come to the driver.
+    """
+    n = F.col("n").cast("double")
+    level = F.when(n <= 1024, n).otherwise(F.lit(1024.0) + F.floor(64 * F.log2(n / 1024))).cast("long")
+    leveled = counts.withColumn("level", level)
+    found, least = 0, None
+    for at, words in sorted(leveled.groupBy("level").count().collect(), reverse=True):  # a few thousand levels
+        found += words
+        if found > listed:
+            break
+        least = at
+    if least is None:
+        return []
+    table = leveled.where(F.col("level") >= least).select("word", "n").toArrow()
+    rows = zip(table["word"].to_pylist(), table["n"].to_pylist())
+    return sorted(rows, key=lambda r: (-r[1], r[0]))
+
+
 def coded(texts: DataFrame, vocabulary: Vocabulary, carry: list[str]) -> DataFrame:
     """Texts as class numbers with the parts of the scores that the listed words decide, and the other words.
 
@@ -294,7 +316,7 @@ def fit_hmm(
 def score_texts(
     docs: DataFrame,
     held_out: Column,
-    listed: int = 1 << 18,
+    listed: int = 1 << 17,
     own: int = 1 << 13,
     endings: int = 1 << 10,
     states: int = 6,
