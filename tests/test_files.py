@@ -230,3 +230,26 @@ def test_scratch_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         assert session.scratch_dir(spark, "x").startswith(shared)
+
+
+STREAMED = {
+    "EINSTEIN": ("itps_dengue", {"accession": "007", "exame": "PCR MULTIPLEX ZIKA, DENGUE E CHIKUNGUNYA", "detalhe_exame": "Vírus Dengue:", "resultado": "DETECTADO", "dh_coleta": "05/09/2025", "sexo": "fem", "idade": "5", "municipio": "Ji-Paraná", "estado": "Rondônia"}, "accession"),
+    "SABIN": ("s1", {"OS": "1", "Descricao": "x", "Parametro": "DENGIGM", "DataAtendimento": "02/03/2024", "DataNascimento": "02/04/2000", "Resultado": "reagente 1:200"}, "OS"),
+    "HLAGYN": ("s", {"Pedido": "1", "Data Coleta": "2025-02-01", "Idade": "4", "Sexo": "Masc", "UF": "GO", "Cidade": "Natal", "Dengue vírus": "Detectado", "Zika vírus": "ND"}, "Pedido"),
+}
+
+
+@pytest.mark.parametrize("lab", list(STREAMED))
+def test_stream_of_workbooks(spark, tmp_path, lab):
+    spec = FEEDS[lab]
+    sheet, row, key = STREAMED[lab]
+    headers = spec.raw_headers()
+    inbox, table, checkpoint = tmp_path / "inbox", str(tmp_path / "table"), str(tmp_path / "cp")
+    inbox.mkdir()
+    for number, name in enumerate(("a", "b"), 1):
+        lines = [[{**row, key: str(number)}.get(h) for h in headers]]
+        footer = [["total"]] if spec.drop_footer else []
+        more = {"s2": [headers, [{**row, key: "9"}.get(h) for h in headers], *footer]} if spec.all_sheets and number == 2 else {}
+        workbook(inbox / f"{name}.xlsx", **{sheet: [headers, *lines, *footer]}, **more)
+        ingest.stream_feed(spark, str(inbox), spec, table, checkpoint, as_of="2026-02-01 10:00:00")
+    assert {r.test_id for r in sinks.read_snapshot(spark, table).collect()} == {"1", "2"} | ({"9"} if spec.all_sheets else set())
