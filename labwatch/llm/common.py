@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -54,6 +55,26 @@ def binary_column(batch: pa.RecordBatch, name: str) -> list[bytes]:
     return [v if v is not None else b"" for v in values.to_pylist()]
 
 
+# Rows that a task's Python side holds at once, where rows don't depend on each other.
+ROWS_AT_ONCE = 2048
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system: Spark keeps Python workers for the tasks of later stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def parts_of(batches: Iterator[pa.RecordBatch], rows: int | None) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows or max(batch.num_rows, 1)):
+            yield batch.slice(at, rows)
+    give_back()
+
+
 def arrow_append(
     df: DataFrame, carry: list[str], added: str, function: Callable[[pa.RecordBatch], list[pa.Array]]
 ) -> DataFrame:
@@ -67,7 +88,7 @@ def arrow_append(
     names = schema.names
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches, ROWS_AT_ONCE):
             if batch.num_rows:
                 kept = [batch.column(batch.schema.get_field_index(c)) for c in carry]
                 yield pa.RecordBatch.from_arrays(kept + function(batch), names=names)
@@ -76,16 +97,23 @@ def arrow_append(
 
 
 def arrow_explode(
-    df: DataFrame, carry: list[str], added: str, function: Callable[[pa.RecordBatch], tuple[np.ndarray, list[pa.Array]]]
+    df: DataFrame,
+    carry: list[str],
+    added: str,
+    function: Callable[[pa.RecordBatch], tuple[np.ndarray, list[pa.Array]]],
+    rows_at_once: int | None = None,
 ) -> DataFrame:
-    """As ``arrow_append``, for functions that make any number of rows of a row: they also return its index."""
+    """As ``arrow_append``, for functions that make any number of rows of a row: they also return its index.
+
+    Functions that sum over their rows get whole batches unless ``rows_at_once`` is given.
+    """
     new = T.StructType.fromDDL(added)
     carry = [c for c in carry if c not in new.names]
     schema = T.StructType([df.schema[c] for c in carry] + new.fields)
     names = schema.names
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches, rows_at_once):
             if batch.num_rows:
                 rows, made = function(batch)
                 if len(rows):
@@ -103,7 +131,7 @@ def arrow_map(
     names = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).names
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches, ROWS_AT_ONCE):
             if batch.num_rows and (out := function(batch)) is not None:
                 yield out.rename_columns(names)
 

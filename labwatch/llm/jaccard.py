@@ -179,7 +179,7 @@ class _Join:
             texts = binary_column(batch.take(pa.array(rows)), "text")
             return rows, [pa.array([shingle_set(t, size).tobytes() for t in texts], pa.binary())]
 
-        sets = arrow_explode(self.texts.where("text is not null"), ["text_id"], "shingles binary", shingled)
+        sets = arrow_explode(self.texts.where("text is not null"), ["text_id"], "shingles binary", shingled, 4096)
         kept = sets.join(needed, F.col("text_id") == F.col("needed"), "left_semi")
         return stored(kept.dropDuplicates(["text_id"]), "shingles")
 
@@ -266,7 +266,7 @@ def jaccard_components(
         ),
         "shingle-nodes",
     )
-    entries = arrow_explode(texts.select("text"), [], "key long, node long", keyed)
+    entries = arrow_explode(texts.select("text"), [], "key long, node long", keyed, 4096)
     meet = stored(
         entries.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_met, "key long, node long, size long"),
         "segments",

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-from functools import cache
 from struct import pack as pack_ids
 from unicodedata import is_normalized
 
@@ -15,8 +14,8 @@ from pyspark.sql import types as T
 
 from labwatch.llm.common import arrow_explode, binary_column, stored
 
-# Distinct words of one of a worker's two generations; what leaves the older one is encoded again when it comes back.
-REMEMBERED_WORDS = 300_000
+# Distinct words of one of a task's two generations; what leaves the older one is encoded again when it comes back.
+REMEMBERED_WORDS = 200_000
 ID_BYTES = 4
 
 
@@ -102,12 +101,6 @@ class WordIds(dict):
             self[word] = self[stem] + (self[word[-1:]] if len(word) > len(stem) else b"")
 
 
-@cache
-def word_ids(definition: str) -> WordIds:
-    """One memory per worker process and tokenizer."""
-    return WordIds(definition)
-
-
 def tokenize_pieces(
     docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int = 1, text: str = "text", carry: tuple = ("doc_id",)
 ) -> DataFrame:
@@ -121,13 +114,17 @@ def tokenize_pieces(
         definition = file.read()
     end = np.asarray([end_id], "<u4").tobytes()
     step = capacity * ID_BYTES
+    # Filled by the first batch of a task, and gone with it.
+    memories: list[WordIds] = []
 
     def pieces(batch: pa.RecordBatch) -> tuple[np.ndarray, list[pa.Array]]:
-        memory = word_ids(definition)
+        if not memories:
+            memories.append(WordIds(definition))
+        memory = memories[0]
         split = [value.split() for value in binary_column(batch, text)]
         rows, piece, start, length, ids = [], [], [], [], []
-        for first in range(0, len(split), 512):
-            block = split[first : first + 512]
+        for first in range(0, len(split), 256):
+            block = split[first : first + 256]
             memory.learn(set().union(*block))
             for row, words in enumerate(block, first):
                 whole = b"".join(map(memory.__getitem__, words)) + end
@@ -146,7 +143,7 @@ def tokenize_pieces(
         ]
 
     docs = docs.select(*carry, text) if text not in carry else docs.select(*carry)
-    return arrow_explode(docs, list(carry), "piece int, start long, length long, ids binary", pieces)
+    return arrow_explode(docs, list(carry), "piece int, start long, length long, ids binary", pieces, 1024)
 
 
 def lower_bound(counts: np.ndarray, capacity: int) -> int:

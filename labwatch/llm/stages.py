@@ -15,9 +15,17 @@ from labwatch.llm.toxicity import fit_toxicity, score_toxicity
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+# Rows of an Arrow batch: whole texts are long, and each task holds several batches on both sides.
+BATCH_ROWS = "1024"
+
+
 def _apart(docs: DataFrame) -> tuple[DataFrame, list[str]]:
-    """``docs`` with all columns beyond those of the documents renamed, so that none clashes; and the old names."""
+    """``docs`` with all columns beyond those of the documents renamed, so that none clashes; and the old names.
+
+    The session's Arrow batches are made smaller for whole texts; that changes memory, no result.
+    """
     names = docs.columns
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return docs.toDF(*[c if c in COLUMNS else f"_extra_{i}" for i, c in enumerate(names)]), names
 
 
@@ -50,6 +58,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all documents' tokens in sequences of 4096."""
-    pieces = tokenize_pieces(docs, tokenizer_path(), capacity=4096, end_id=1)
+    plain, _ = _apart(docs)
+    pieces = tokenize_pieces(plain, tokenizer_path(), capacity=4096, end_id=1)
     digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return pack(digests, capacity=4096)

@@ -27,7 +27,7 @@ from labwatch.llm.suffixes import repeated_windows
 GRAM = 32
 CELLS = 4
 # Strings that a task sorts at once, and members of one key that it takes; larger keys are counted window by window.
-SORTED_AT_ONCE = 2500
+SORTED_AT_ONCE = 1500
 KEY_ROWS = 20_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -156,11 +156,23 @@ def repeated_spans(texts: DataFrame, length: int = 400) -> DataFrame:
             times.append(np.full(len(cells[0]), len(own)))
             parts.append(cells)
         key, whole, begin, size = (np.concatenate(p) for p in zip(*parts))
+        row, times = np.concatenate(rows), np.concatenate(times)
+        # Of equal cells one stands for all under their key; the others are repeated anyway and go under keys of
+        # their own, so that a cell which many texts share is a few rows per task.
+        order = np.lexsort((whole, key))
+        new = np.concatenate(([True], (np.diff(key[order]) != 0) | (np.diff(whole[order]) != 0)))[: len(order)]
+        group = np.cumsum(new) - 1
+        total = np.bincount(group, weights=times[order]).astype(np.int64)
+        first = order[new]
+        times[first] = total
+        later = order[~new]
+        key[later] = mix64((row[later] << 32).astype(np.uint64) + begin[later].astype(np.uint64) + LETTER[1]).view(np.int64)
+        times[later] = 2
         columns = [pa.array(c, pa.int64()) for c in (key, whole)] + [pa.array(c, pa.int32()) for c in (begin, size)]
-        return np.concatenate(rows), [*columns, pa.array(np.concatenate(times), pa.int32())]
+        return row, [*columns, pa.array(np.minimum(times, 2), pa.int32())]
 
     known = texts.where("text is not null")
-    cells = arrow_explode(known, ["text_id"], "key long, whole long, begin int, size int, times int", entered)
+    cells = arrow_explode(known, ["text_id"], "key long, whole long, begin int, size int, times int", entered, 4096)
     by_key, by_whole = Window.partitionBy("key"), Window.partitionBy("key", "whole")
     met = cells.select(
         "*",
@@ -196,6 +208,7 @@ def repeated_spans(texts: DataFrame, length: int = 400) -> DataFrame:
             ["text_id"],
             "key long, begin int, twice boolean, large boolean, string binary",
             cut,
+            512,
         ),
         "strings",
     )

@@ -15,7 +15,7 @@ from labwatch.llm.common import arrow_append, arrow_explode, binary_column, stor
 BUCKETS = 1 << 20
 PREFIXES = range(3, 8)
 # Distinct words a task remembers; beyond it the memory is emptied, which changes time but no result.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 200_000
 EDGES = b".,;:!?\"'()[]"
 
 
