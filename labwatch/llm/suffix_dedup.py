@@ -72,7 +72,10 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.n
         place = (least[change] & LOW).astype(np.int64)
         last = np.append(change[1:], len(least)) - 1
         parts.append((place + begin, hashes[place], change + begin, last + begin))
-    return tuple(np.concatenate(p) for p in zip(*parts))
+    place, hashes, first, last = (np.concatenate(p) for p in zip(*parts))
+    # An anchor that windows on both sides of a block's end choose is one anchor.
+    new = np.concatenate(([True], place[1:] != place[:-1]))
+    return place[new], hashes[new], first[new], last[np.append(new[1:], True)]
 
 
 class Substrings:

@@ -3,7 +3,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from labwatch.llm import suffixes
+from labwatch.llm import suffix_dedup, suffixes
 from labwatch.llm.common import few_of, texts_of
 from labwatch.llm.components import connected_components
 from labwatch.llm.hmm import Hmm
@@ -63,6 +63,16 @@ def test_repeated_windows(cuts, alphabet, seed):
     assert {(i, q) for i, b, e in got for q in range(b, e)} == expected
 
 
+@pytest.mark.parametrize("block", [1, 7, 150, 300, 999])
+def test_anchors_do_not_depend_on_blocks(monkeypatch, block):
+    text = np.random.default_rng(block).integers(97, 123, 3000).astype(np.uint8)
+    whole = [c.tolist() for c in suffix_dedup.anchors(text, 100)]
+    monkeypatch.setattr(suffix_dedup, "BLOCK", block)
+    assert [c.tolist() for c in suffix_dedup.anchors(text, 100)] == whole
+    key, same, _, _ = suffix_dedup.cells_of(text.tobytes(), 100)
+    assert len(set(zip(key.tolist(), same.tolist()))) == len(key)
+
+
 def test_two_stage_order_is_sorted():
     data = b"mississippi banana\x00\xff aaaaaaaaaabbbb"
     numbers = np.frombuffer(data, np.uint8)

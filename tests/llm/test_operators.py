@@ -16,7 +16,7 @@ from labwatch.llm.language import fit_languages, identify_languages
 from labwatch.llm.licenses import bigrams, normalised_words, scan_licenses
 from labwatch.llm.mixing import mix_sources
 from labwatch.llm.packing import best_fit_decreasing, pack, tokenize_pieces
-from labwatch.llm.suffix_dedup import cut_repeats, removal_digests
+from labwatch.llm.suffix_dedup import BLOCK, cut_repeats, removal_digests
 from labwatch.llm.topk import top_k
 from labwatch.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -291,6 +291,15 @@ def test_repeats(spark, documents, monkeypatch):
     assert removal_digests(docs.limit(0), 100).count() == 0 and cut_repeats(docs.select("doc_id", "text").limit(0)).count() == 0
 
 
+def test_repeats_in_texts_longer_than_a_block(spark, documents):
+    # Nothing repeats in the long text but the passage across its first block's end, which another text holds too.
+    text = np.random.default_rng(3).integers(97, 123, 2 * BLOCK + 9000).astype(np.uint8).tobytes().decode()
+    rows = [(1, text), (2, text[BLOCK - 300 : BLOCK + 400])]
+    got = {r.doc_id: (r.n_removed, r.n_spans, r.kept_sha256) for r in removal_digests(documents(*rows), 400).collect()}
+    kept = text[: BLOCK - 300] + text[BLOCK + 400 :]
+    assert got == {1: (700, 1, hashlib.sha256(kept.encode()).hexdigest()), 2: (700, 1, hashlib.sha256(b"").hexdigest())}
+
+
 def test_toxicity(spark, documents):
     random = np.random.default_rng(8)
     bad = ["vile", "scum", "trashy", "idiotic"]
