@@ -121,7 +121,11 @@ class ToxicityModel:
             self.words = Remembered(self.word_score)
         numbers, sizes = self.words.numbers(texts)
         scores = np.array(self.words.values_of, np.float64)[numbers]
-        scores[1:][numbers[1:] == numbers[:-1]] = -self.drift
+        again = np.zeros(len(numbers), bool)
+        again[1:] = numbers[1:] == numbers[:-1]
+        # A text's first token has none before it, whatever text stands before it in the batch.
+        again[(np.cumsum(sizes) - sizes)[sizes > 0]] = False
+        scores[again] = -self.drift
         return scores, sizes
 
     def evidence(self, texts: list[bytes]) -> tuple[np.ndarray, list[list[tuple[int, int, float, float]]]]:

@@ -11,7 +11,7 @@ from labwatch.llm.language import codewords
 from labwatch.llm.packing import best_fit_decreasing, lower_bound
 from labwatch.llm.shingles import Bands, fold_to, folded_sketch, segment_keys, shingle_set, similar_enough
 from labwatch.llm.topk import search_cell
-from labwatch.llm.toxicity import all_segments, best_segments
+from labwatch.llm.toxicity import ToxicityModel, all_segments, best_segments, word_features
 
 
 def test_components(spark):
@@ -176,6 +176,21 @@ def test_segments(texts):
         assert all(a[1] <= b[0] for a, b in zip(found, found[1:]))
 
 
+def test_token_scores_do_not_depend_on_neighbours():
+    odds = np.zeros(1 << 20, np.float32)
+    odds[word_features(b"vile")] = 3.0
+    model = ToxicityModel(odds, 0.5, 1.0, 1.0, np.array([-3.0, 1.0, 0.0, 0.0]), 0.05)
+    texts = [b"vile"] * 3 + [b""] + [b"vile so vile"] * 3 + [b"vile vile so", b"", b"so", b"vile", b" "]
+    alone = [model.token_scores([t])[0].tolist() for t in texts]
+    assert alone[0] == [2.5] and alone[4] == [2.5, -0.5, 2.5] and alone[7] == [2.5, -0.5, -0.5]
+    for order in (np.arange(len(texts)), np.arange(len(texts))[::-1], np.random.default_rng(0).permutation(len(texts))):
+        scores, sizes = model.token_scores([texts[i] for i in order])
+        assert [s.tolist() for s in np.split(scores, np.cumsum(sizes)[:-1])] == [alone[i] for i in order]
+        features, _ = model.evidence([texts[i] for i in order])
+        assert np.allclose(features, [model.evidence([texts[i]])[0][0] for i in order])
+    assert model.token_scores([b"", b" "])[0].tolist() == [] and model.token_scores([])[0].tolist() == []
+
+
 @pytest.mark.parametrize("classes", [0, 1, 2, 4, 5, 12])
 def test_codewords_differ(classes):
     code = codewords(classes)
