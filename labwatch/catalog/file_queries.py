@@ -8,6 +8,7 @@ from xml.sax.saxutils import escape
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from labwatch import vocab
 from labwatch.catalog.base import Tables, query
@@ -347,22 +348,52 @@ def workbook_bytes(sheets: dict[str, list[list]]) -> bytes:
     return out.getvalue()
 
 
-def customer_workbooks(t: Tables):
-    """One workbook per nation: a note, the customers of each half in a sheet with a blank line first and a footer."""
+def customer_workbooks(t: Tables, keys: int = 10_000):
+    """Workbooks of a nation's customers, each of ``keys`` adjacent keys: every other customer in a sheet of its own.
+
+    Sheets have a blank line first and a footer; a nation's first workbook has a note as well. So files grow in number
+    with the table, not in size.
+    """
+    customers = t.customer.select("*", F.floor(F.col("c_custkey") / keys).alias("block"))
+    nation = Window.partitionBy("nation").orderBy("range")
+    # How many customers a nation has in earlier workbooks tells which sheet goes on.
+    files = customers.groupBy(F.col("c_nationkey").alias("nation"), F.col("block").alias("range")).count()
+    files = files.select(
+        "nation",
+        "range",
+        F.coalesce(F.sum("count").over(nation.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("earlier"),
+    )
+    placed = customers.join(
+        files, F.col("c_nationkey").eqNullSafe(F.col("nation")) & F.col("block").eqNullSafe(F.col("range"))
+    ).drop("nation", "range")
 
     def build(pdf):
         head = ["id", "name", "name", "segment"]
         rows = [[r.c_custkey, r.c_name, r.c_name[::-1], r.c_mktsegment] for r in pdf.sort_values("c_custkey").itertuples()]
-        parts = {f"part{n}": [[None, "x"], head, *rows[n::2], ["total"]] for n in (0, 1)}
-        content = workbook_bytes({**parts, "note": [["text"], ["a"], ["b"]]})
-        return pd.DataFrame({"path": [f"nation-{pdf.c_nationkey.iloc[0]}.xlsx"], "content": [content]})
+        nation, block, earlier = (pdf[c].iloc[0] for c in ("c_nationkey", "block", "earlier"))
+        parts = {f"part{n}": [[None, "x"], head, *rows[(n + earlier) % 2 :: 2], ["total"]] for n in (0, 1)}
+        if not earlier:
+            parts["note"] = [["text"], ["a"], ["b"]]
+        path = f"nation-{nation}-{block}.xlsx" if earlier else f"nation-{nation}.xlsx"
+        return pd.DataFrame({"path": [path], "noted": [not earlier], "content": [workbook_bytes(parts)]})
 
-    return t.customer.groupBy("c_nationkey").applyInPandas(build, "path string, content binary")
+    return placed.groupBy("c_nationkey", "block").applyInPandas(build, "path string, noted boolean, content binary")
 
 
 @query("S05_workbook_sheet", "SELECT concat('nation-', c_nationkey, '.xlsx') AS file, unnest(['a', 'b']) AS text FROM (SELECT DISTINCT c_nationkey FROM customer)")
 def _(t: Tables):
-    return parse_workbooks(customer_workbooks(t), "note").select(F.col("file_name").alias("file"), F.col("cells.text").alias("text"))
+    noted = customer_workbooks(t).filter("noted")
+    return parse_workbooks(noted, "note").select(F.col("file_name").alias("file"), F.col("cells.text").alias("text"))
+
+
+@query(
+    "S05_workbook_sheet_of_rows",
+    """SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS segment FROM
+        (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS n FROM customer) WHERE n % 2 = 0""",
+)
+def _(t: Tables):
+    rows = parse_workbooks(customer_workbooks(t), "part1").filter("NOT is_last")
+    return rows.select("cells.id", "cells.name", "cells.segment")
 
 
 @query("S06_all_sheets", "SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS segment FROM customer")

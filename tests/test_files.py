@@ -5,10 +5,12 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from labwatch.catalog.base import Tables
+from labwatch.catalog.file_queries import customer_workbooks
 from labwatch.feeds import FEEDS, LabSpec
 from labwatch.schema import AGE_GROUPS, EPIWEEKS
 from labwatch.sources import readers, repair, sinks
-from labwatch.sources.workbook import read_workbooks
+from labwatch.sources.workbook import parse_workbooks, read_workbooks
 from labwatch.streaming import ingest
 
 
@@ -253,3 +255,20 @@ def test_stream_of_workbooks(spark, tmp_path, lab):
         workbook(inbox / f"{name}.xlsx", **{sheet: [headers, *lines, *footer]}, **more)
         ingest.stream_feed(spark, str(inbox), spec, table, checkpoint, as_of="2026-02-01 10:00:00")
     assert {r.test_id for r in sinks.read_snapshot(spark, table).collect()} == {"1", "2"} | ({"9"} if spec.all_sheets else set())
+
+
+def test_customer_workbooks_grow_in_number(spark):
+    tables = Tables(spark, "")
+    # One nation holds nearly all rows; its keys leave out some files.
+    rows = [(k, f"name{k}", 7 if k % 10 else 3, "AUTO") for k in range(1, 100) if not 40 <= k < 55]
+    tables.customer = spark.createDataFrame(rows, "c_custkey long, c_name string, c_nationkey int, c_mktsegment string")
+    files = customer_workbooks(tables, 10)
+    cells = parse_workbooks(files, all_sheets=True).filter("NOT is_last AND sheet <> 'note'").collect()
+    sizes = {}
+    for r in cells:
+        sizes[r.file_name] = sizes.get(r.file_name, 0) + 1
+    assert max(sizes.values()) <= 10 and len(sizes) > 10
+    for n in (0, 1):
+        want = {k for nation in (3, 7) for k in [k for k, _, c, _ in rows if c == nation][n::2]}
+        assert sorted(int(r.cells["id"]) for r in cells if r.sheet == f"part{n}") == sorted(want)
+    assert {r.path for r in files.filter("noted").collect()} == {"nation-3.xlsx", "nation-7.xlsx"}
