@@ -12,7 +12,7 @@ from labwatch.llm.embedding_dedup import near_duplicates
 from labwatch.llm.hmm import score_texts
 from labwatch.llm.jaccard import jaccard_components
 from labwatch.llm.language import fit_languages, identify_languages
-from labwatch.llm.licenses import TEMPLATES, bigrams, normalised_words, scan_licenses
+from labwatch.llm.licenses import TEMPLATES, bigrams, normalised_words, scan_licenses, scan_passages
 from labwatch.llm.mixing import mix_sources
 from labwatch.llm.packing import pack, tokenize_pieces
 from labwatch.llm.suffix_dedup import removal_digests
@@ -101,7 +101,9 @@ def _license_sql() -> str:
 
 @query("op8_license_scan", _license_sql())
 def license_scan(spark, folder):
-    return scan_licenses(table(spark, folder, "documents"), threshold=0.8, unit="line")
+    docs = table(spark, folder, "documents")
+    # The SQL has the lines; where notices and licence texts go over lines or stand within one, there are rows beyond it.
+    return scan_licenses(docs, threshold=0.8, unit="line").unionByName(scan_passages(docs, threshold=0.8))
 
 
 @query(

@@ -13,7 +13,7 @@ from labwatch.llm.embedding_dedup import near_duplicates
 from labwatch.llm.hmm import score_texts
 from labwatch.llm.jaccard import jaccard_components, one_of_each
 from labwatch.llm.language import fit_languages, identify_languages
-from labwatch.llm.licenses import bigrams, normalised_words, scan_licenses
+from labwatch.llm.licenses import BODIES, bigrams, normalised_words, scan_licenses, scan_passages
 from labwatch.llm.mixing import mix_sources
 from labwatch.llm.packing import best_fit_decreasing, pack, tokenize_pieces
 from labwatch.llm.suffix_dedup import BLOCK, cut_repeats, removal_digests
@@ -251,6 +251,26 @@ def test_licenses(spark, documents):
     assert scan_licenses(docs, {}).count() == 0 and scan_licenses(docs.limit(0)).count() == 0
 
 
+def test_license_passages(spark, documents):
+    prose_ = "Some words before.\nAnd a second line"
+    rows = [(10 + i, f"{prose_}\n\n{body.strip()}\nThe end of it all") for i, body in enumerate(BODIES.values())]
+    rows += [
+        (30, "Intro.\nReleased under\nthe MIT License.\nEnd"),
+        (31, "x\nWe wrote all of this ourselves. Released under the MIT License."),
+        (32, "Intro.\nReleased under the MIT License.\nEnd"),
+        (33, "see the license of the software"),
+        (34, " ".join(BODIES["mit"].split())),
+        (35, "Released under the MIT\n\nLicense. Licensed under CC\nBY 4.0.\n" * 2),
+        *ODD_ROWS,
+    ]
+    got = sorted((r.doc_id, r.unit_no, r.license, r.dice) for r in scan_passages(documents(*rows)).collect())
+    want = [(10 + i, 3, name, 1.0) for i, name in enumerate(BODIES)]
+    want += [(30, 1, "mit", 1.0), (31, 1, "mit", 1.0), (34, 0, "mit", 1.0)]
+    want += [(35, n, name, 1.0) for n, name in ((0, "mit"), (2, "cc-by-4.0"), (4, "mit"), (6, "cc-by-4.0"))]
+    assert got == sorted(want)
+    assert scan_passages(documents(*rows), {}, {}).count() == 0
+
+
 def removal_by_hand(rows, length):
     texts = [(t or "").encode() for _, t in rows]
     places = {}
