@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+from concurrent.futures import ThreadPoolExecutor
 from xml.sax.saxutils import escape
 
 import pandas as pd
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from labwatch import vocab
-from labwatch.catalog.base import Tables, query
+from labwatch.catalog.base import ORACLES, Tables, query
 from labwatch.catalog.bridge import (
     STAMP,
     combined,
@@ -31,7 +32,7 @@ from labwatch.operators.merge import upsert
 from labwatch.plans.combine import ReportCity, city_report
 from labwatch.plans.matrices import TABLES
 from labwatch.session import scratch_dir
-from labwatch.sources import readers, repair, sinks
+from labwatch.sources import readers, repair, sinks, snapshots
 from labwatch.sources.workbook import parse_workbooks
 from labwatch.streaming import ingest
 
@@ -208,6 +209,38 @@ def _(t: Tables):
     return upsert(old.drop("date_testing"), new.drop("date_testing"), ["sample_id"])
 
 
+UPSERTED = ["sample_id", "test_kit", "sex", "created_at", "updated_at"]
+
+
+def _merged_samples(t: Tables) -> str:
+    """The load and the merge of ``S15_upsert`` in a snapshot table."""
+    table = scratch_dir(t.spark, "samples")
+    rows = stamp(samples(t), EARLIER).select(*UPSERTED, "date_testing")
+    old = rows.filter("date_testing < date '2026-01-01'").withColumn("sex", F.lit("pending"))
+    now = F.lit(STAMP).cast("timestamp_ntz")
+    new = rows.filter("date_testing >= date '2025-01-01'").withColumns({"created_at": now, "updated_at": now})
+    snapshots.merge_into(t.spark, old.drop("date_testing"), table, ["sample_id"], "load 1")
+    snapshots.merge_into(t.spark, new.drop("date_testing"), table, ["sample_id"], "load 2")
+    return table
+
+
+@query("S15_upsert_table", ORACLES["S15_upsert"])
+def _(t: Tables):
+    return snapshots.read_snapshot(t.spark, _merged_samples(t))
+
+
+@query(
+    "S15_rows_of_keys",
+    f"""WITH merged AS ({ORACLES["S15_upsert"]})
+        SELECT * FROM merged WHERE sample_id IN (SELECT max(sample_id) FROM merged GROUP BY test_kit)""",
+)
+def _(t: Tables):
+    """The last sample of each kit, looked up by key: only the buckets that hold these keys are opened."""
+    table = _merged_samples(t)
+    wanted = snapshots.read_snapshot(t.spark, table).groupBy("test_kit").agg(F.max("sample_id").alias("sample_id"))
+    return snapshots.read_snapshot(t.spark, table, wanted=wanted.select("sample_id"))
+
+
 @query(
     "S16_upsert_four_keys",
     sql(
@@ -483,7 +516,7 @@ def _(t: Tables):
     base = scratch_dir(t.spark, "upsert")
     stream = ingest.stream_files(t.spark, event_batches(t), t.events.schema, "parquet", files_per_batch=2)
     ingest.run_available(stream.select(*EVENT), ingest.upsert_step(f"{base}/table", ["event_id"], "events"), f"{base}/checkpoint")
-    return sinks.read_snapshot(t.spark, f"{base}/table")
+    return snapshots.read_snapshot(t.spark, f"{base}/table")
 
 
 @query("X04_late_files", f"SELECT event_id, user_id, upper(event_type) AS event_type, 'first' AS created_at FROM events")
@@ -498,7 +531,7 @@ def _(t: Tables):
         stream = ingest.stream_files(t.spark, path, schema, "parquet").drop("file_name")
         step = ingest.upsert_step(f"{base}/table", ["event_id"], run)
         ingest.run_available(stream, step, f"{base}/checkpoint-{run}")
-    return sinks.read_snapshot(t.spark, f"{base}/table").select(*columns, "created_at")
+    return snapshots.read_snapshot(t.spark, f"{base}/table").select(*columns, "created_at")
 
 
 @query("X03_load_then_two_streams", f"SELECT {', '.join(EVENT)} FROM events")
@@ -506,14 +539,30 @@ def _(t: Tables):
     """A first load, then two streams with checkpoints of their own, all into one table; then compaction."""
     table = scratch_dir(t.spark, "loaded")
     stale = t.events.select(*EVENT).filter("event_id % 3 = 0").withColumn("value", F.lit(-1.0))
-    sinks.merge_into(t.spark, stale, table, ["event_id"], "load 20260107")
+    snapshots.merge_into(t.spark, stale, table, ["event_id"], "load 20260107")
     for name, part in (("early", "event_id % 2 = 0"), ("late", "event_id % 2 = 1")):
         path = scratch_dir(t.spark, f"loaded-{name}")
         t.events.select(*EVENT).filter(part).repartition(2, "event_id").write.parquet(path)
         stream = ingest.stream_files(t.spark, path, t.events.select(*EVENT).schema, "parquet", files_per_batch=1)
         ingest.run_available(stream.select(*EVENT), ingest.upsert_step(table, ["event_id"], name), f"{path}-checkpoint")
-    sinks.compact_snapshot(t.spark, table)
-    return sinks.read_snapshot(t.spark, table)
+    snapshots.compact_snapshot(t.spark, table)
+    return snapshots.read_snapshot(t.spark, table)
+
+
+@query("X03_two_writers_at_once", f"SELECT {', '.join(EVENT)} FROM events")
+def _(t: Tables):
+    """Two streams that merge into one table at the same time: each commits under a version of its own."""
+    table = scratch_dir(t.spark, "contended")
+
+    def deliver(name: str, part: str):
+        path = scratch_dir(t.spark, f"contended-{name}")
+        t.events.select(*EVENT).filter(part).repartition(2, "event_id").write.parquet(path)
+        stream = ingest.stream_files(t.spark, path, t.events.select(*EVENT).schema, "parquet", files_per_batch=1)
+        ingest.run_available(stream.select(*EVENT), ingest.upsert_step(table, ["event_id"], name), f"{path}-checkpoint")
+
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(deliver, ("even", "odd"), ("event_id % 2 = 0", "event_id % 2 = 1")))
+    return snapshots.read_snapshot(t.spark, table)
 
 
 @query("X02_consumed_files", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
@@ -521,11 +570,11 @@ def _(t: Tables):
     """Delivered files move to an archive once a later run has committed; rows come from what the stream read."""
     base, inbox, archive = (scratch_dir(t.spark, f"consumed-{n}") for n in ("table", "inbox", "archive"))
     for part in ("event_id % 2 = 0", "event_id % 2 = 1"):
-        t.events.select(*EVENT).filter(part).coalesce(1).write.mode("append").parquet(inbox)
+        t.events.select(*EVENT).filter(part).write.mode("append").parquet(inbox)
         stream = ingest.stream_files(t.spark, inbox, t.events.select(*EVENT).schema, "parquet", "*.parquet", archive)
         step = ingest.upsert_step(base, ["event_id"], "consumed")
         ingest.run_available(stream.select(*EVENT), step, f"{base}-checkpoint")
-    return sinks.read_snapshot(t.spark, base).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    return snapshots.read_snapshot(t.spark, base).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("X05_refresh", "SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1")
@@ -533,7 +582,7 @@ def _(t: Tables):
     base = scratch_dir(t.spark, "refresh")
 
     def rebuild(spark, table):
-        rows = sinks.read_snapshot(spark, table)
+        rows = snapshots.read_snapshot(spark, table)
         totals = rows.groupBy("event_type").agg(
             F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total")
         )
@@ -545,6 +594,26 @@ def _(t: Tables):
     return t.spark.read.parquet(f"{base}/totals")
 
 
+@query(
+    "X05_refresh_by_changes",
+    """SELECT event_type, CAST(date_trunc('month', ts) AS DATE) AS month, count(*) AS n FROM events GROUP BY ALL""",
+)
+def _(t: Tables):
+    """Counts kept up by what each merge changed: a third of the events arrive with another type and month first."""
+    base = scratch_dir(t.spark, "changes")
+    table, counts = f"{base}/events", f"{base}/counts"
+    by = ["event_type", "month"]
+    rows = t.events.select("event_id", "event_type", "ts")
+    month = lambda r: r.withColumn("month", F.trunc("ts", "month"))
+    stale = rows.filter("event_id % 3 = 0").withColumns(
+        {"event_type": F.lit("unknown"), "ts": F.col("ts") - F.expr("interval 40 days")}
+    )
+    for n, batch in enumerate([stale, rows.filter("event_id % 2 = 0"), rows.filter("event_id % 2 = 1")]):
+        snapshots.merge_into(t.spark, batch, table, ["event_id"], "events", n)
+        snapshots.refresh_counts(t.spark, table, counts, by, month)
+    return snapshots.read_counts(t.spark, counts)
+
+
 WEEKLY = """SELECT CAST(ts AS DATE) - CAST(dayofweek(ts) AS INTEGER) AS week_start,
     CAST(ts AS DATE) - CAST(dayofweek(ts) AS INTEGER) + 6 AS week_end, event_type, count(*) AS n FROM events GROUP BY ALL"""
 
@@ -556,7 +625,7 @@ def _(t: Tables):
     counts = ingest.weekly_counts(stream.withColumn("ts", F.col("ts").cast("timestamp")), "ts", ["event_type"])
     step = ingest.upsert_step(f"{base}/table", ["week_start", "event_type"], "weekly")
     ingest.run_available(counts, step, f"{base}/checkpoint", mode="update")
-    return sinks.read_snapshot(t.spark, f"{base}/table")
+    return snapshots.read_snapshot(t.spark, f"{base}/table")
 
 
 @query(

@@ -13,7 +13,7 @@ from labwatch.feeds.runner import run_feed
 from labwatch.feeds.spec import LabSpec
 from labwatch.schema import strings
 from labwatch.sources.readers import text_options, workbook_feed
-from labwatch.sources.sinks import merge_into, snapshot_version
+from labwatch.sources.snapshots import merge_into, snapshot_version
 from labwatch.sources.workbook import BINARY_FILE, parse_workbooks
 
 Step = Callable[[DataFrame, int], None]

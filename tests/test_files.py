@@ -9,7 +9,7 @@ from labwatch.catalog.base import Tables
 from labwatch.catalog.file_queries import customer_workbooks
 from labwatch.feeds import FEEDS, LabSpec
 from labwatch.schema import AGE_GROUPS, EPIWEEKS
-from labwatch.sources import readers, repair, sinks
+from labwatch.sources import readers, repair, sinks, snapshots
 from labwatch.sources.workbook import parse_workbooks, read_workbooks
 from labwatch.streaming import ingest
 
@@ -139,25 +139,129 @@ def test_publish_and_release_names(spark, tmp_path):
 
 def test_snapshots_survive_a_replay_and_a_lost_job(spark, tmp_path):
     table = str(tmp_path / "t")
-    assert sinks.read_snapshot(spark, table) is None
+    assert snapshots.read_snapshot(spark, table) is None
     rows = lambda *r: spark.createDataFrame(list(r), "k int, v string, created_at string")
-    now = lambda: sorted((tuple(r) for r in sinks.read_snapshot(spark, table).collect()), key=str)
-    assert sinks.merge_into(spark, rows((1, "a", "x"), (2, "b", "x")), table, ["k"], "20260107") == 1
+    now = lambda: sorted((tuple(r) for r in snapshots.read_snapshot(spark, table).collect()), key=str)
+    assert snapshots.merge_into(spark, rows((1, "a", "x"), (2, "b", "x")), table, ["k"], "20260107") == 1
     for _ in range(2):
-        assert sinks.merge_into(spark, rows((2, "c", "y"), (3, "d", "y")), table, ["k"], "stream", 0) == 2
+        assert snapshots.merge_into(spark, rows((2, "c", "y"), (3, "d", "y")), table, ["k"], "stream", 0) == 2
     assert now() == [(1, "a", "x"), (2, "c", "x"), (3, "d", "y")]
     # Another writer counts its batches from 0 too; the same key in two merged parts keeps the first stamp.
-    assert sinks.merge_into(spark, rows((3, "e", "z"), (None, "n", "z")), table, ["k"], "other", 0) == 3
+    assert snapshots.merge_into(spark, rows((3, "e", "z"), (None, "n", "z")), table, ["k"], "other", 0) == 3
     assert [r for r in now() if r[0] == 3] == [(3, "e", "y")] and len(now()) == 4
     # A part that no manifest line names does not count, and a failed check leaves none.
-    os.makedirs(tmp_path / "t" / "part-000000000004")
+    os.makedirs(tmp_path / "t" / "part-of-no-version")
     with pytest.raises(ValueError):
-        sinks.merge_into(spark, rows((5, "p", "z"), (5, "q", "z")), table, ["k"], "other", 1)
-    assert sinks.snapshot_version(spark, table) == 3
-    assert sinks.read_snapshot(spark, table, 1).count() == 2
+        snapshots.merge_into(spark, rows((5, "p", "z"), (5, "q", "z")), table, ["k"], "other", 1)
+    assert snapshots.snapshot_version(spark, table) == 3
+    assert snapshots.read_snapshot(spark, table, 1).count() == 2
     before = now()
-    assert sinks.compact_snapshot(spark, table) == 4 and now() == before
-    assert sinks.merge_into(spark, rows().limit(0), table, ["k"], "other", 2) == 4
+    assert snapshots.compact_snapshot(spark, table) == 4 and now() == before
+    assert snapshots.merge_into(spark, rows().limit(0), table, ["k"], "other", 2) == 4
+
+
+ROW = "k int, v string, created_at string"
+
+
+def snapshot_rows(spark, table, **how):
+    return sorted((tuple(r) for r in snapshots.read_snapshot(spark, table, **how).collect()), key=str)
+
+
+def test_two_writers_keep_both_batches(spark, tmp_path, monkeypatch):
+    table = str(tmp_path / "t")
+    rows = lambda *r: spark.createDataFrame(list(r), ROW)
+    commit, late = snapshots._commit, []
+
+    def interleaved(spark_, table_, **entry):
+        # Another writer takes the version between this one's look at the manifest and its commit.
+        if not late:
+            late.append(1)
+            snapshots.merge_into(spark, rows((2, "other", "x")), table, ["k"], "other", 0)
+        return commit(spark_, table_, **entry)
+
+    for n, version in ((0, 2), (1, 4)):
+        monkeypatch.setattr(snapshots, "_commit", interleaved)
+        late.clear()
+        if n:
+            late.append(1)
+            snapshots.merge_into(spark, rows((4, "between", "x")), table, ["k"], "other", 1)
+        assert snapshots.merge_into(spark, rows((10 + n, "mine", "x")), table, ["k"], "mine", n) == version
+    assert [r[0] for r in snapshot_rows(spark, table)] == [10, 11, 2, 4]
+    assert [p.version for p in snapshots.manifest(spark, table)] == [1, 2, 3, 4]
+    assert not snapshots.create_once(spark, f"{table}/manifest/{1:012d}.json", "{}")
+    with pytest.raises(snapshots.Conflict):
+        snapshots.merge_into(spark, rows((5, "e", "x")), table, ["k"], expected=3)
+    # Both see an empty table first.
+    late.clear()
+    table = str(tmp_path / "new")
+    assert snapshots.merge_into(spark, rows((1, "mine", "x"), (2, "mine", "y")), table, ["k"], "mine", 0) == 2
+    assert snapshot_rows(spark, table) == [(1, "mine", "x"), (2, "mine", "x")]
+
+
+def test_reads_and_compaction_open_touched_buckets_only(spark, tmp_path):
+    table = str(tmp_path / "t")
+    base = spark.range(400).selectExpr("cast(id as int) as k", "'old' as v", "'x' as created_at")
+    snapshots.merge_into(spark, base, table, ["k"], buckets=64)
+    snapshots.merge_into(spark, spark.createDataFrame([(7, "new", "y"), (8, "new", "y")], ROW), table, ["k"])
+    first, second = snapshots.manifest(spark, table)
+    assert len(first.held) > 50 and sum(h.rows for h in first.held) == 400
+    touched = {h.bucket for h in second.held}
+    assert len(touched) <= 2
+    folder = lambda path: path.split("/__bucket=")[1].split("/")[0]
+    wanted = spark.createDataFrame([(7,), (10_000,)], "k int")
+    found = snapshots.read_snapshot(spark, table, wanted=wanted)
+    assert [tuple(r) for r in found.collect()] == [(7, "new", "x")]
+    opened = {folder(f) for f in found.inputFiles() if first.path.split("/")[-1] in f}
+    assert len(opened) <= 2 and str(next(h.bucket for h in second.held)) in {*opened, *map(str, touched)}
+    before = snapshot_rows(spark, table)
+    assert snapshots.compact_snapshot(spark, table) == 3
+    third = snapshots.manifest(spark, table)[-1]
+    assert set(third.covers) == touched == {h.bucket for h in third.held}
+    assert snapshot_rows(spark, table) == before and len(before) == 400
+    # Nothing is joined any more, the old base still answers for the other buckets, and old versions can be read.
+    plan = snapshots.read_snapshot(spark, table)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    assert len(snapshot_rows(spark, table, version=1)) == 400 and (7, "old", "x") in snapshot_rows(spark, table, version=1)
+
+
+def test_a_merge_during_compaction_stays_on_top(spark, tmp_path, monkeypatch):
+    table = str(tmp_path / "t")
+    rows = lambda *r: spark.createDataFrame(list(r), ROW)
+    for n, v in enumerate("abc"):
+        snapshots.merge_into(spark, rows((1, v, "x"), (n + 2, v, "x")), table, ["k"], batch=n)
+    write = snapshots._write_part
+
+    def interrupted(*args):
+        monkeypatch.setattr(snapshots, "_write_part", write)
+        snapshots.merge_into(spark, rows((1, "d", "y"), (9, "d", "y")), table, ["k"], batch=3)
+        return write(*args)
+
+    monkeypatch.setattr(snapshots, "_write_part", interrupted)
+    assert snapshots.compact_snapshot(spark, table) == 5
+    assert snapshot_rows(spark, table) == [(1, "d", "x"), (2, "a", "x"), (3, "b", "x"), (4, "c", "x"), (9, "d", "y")]
+
+
+def test_changes_keep_counts_equal_to_rebuilt_ones(spark, tmp_path):
+    table, counts = str(tmp_path / "t"), str(tmp_path / "counts")
+    schema = "k int, week string, lab string"
+    batches = [
+        [(i, f"w{i % 3}", "a" if i % 2 else None) for i in range(20)],
+        [(i, f"w{(i + 1) % 4}", "b") for i in range(5, 15)] + [(None, "w0", "a")],
+        [(i, "w9", "b") for i in range(12, 30)],
+        [(3, "w0", "a")],
+    ]
+    for n, batch in enumerate(batches):
+        snapshots.merge_into(spark, spark.createDataFrame(batch, schema), table, ["k"], "feed", n)
+        if n != 1:  # a refresh may also cover two merges
+            for _ in range(2):
+                snapshots.refresh_counts(spark, table, counts, ["week", "lab"])
+            kept = {tuple(r) for r in snapshots.read_counts(spark, counts).collect()}
+            rebuilt = {tuple(r) for r in snapshots.read_snapshot(spark, table).groupBy("week", "lab").count().collect()}
+            assert kept == rebuilt
+    # The last merge moves no count.
+    assert len(snapshots.manifest(spark, counts)) == 2
+    moved = snapshots.changes(spark, table, 3).collect()
+    assert sorted((r.k, r.week, r.sign) for r in moved) == [(3, "w0", -1), (3, "w0", 1)]
 
 
 def test_sabin_reads_every_sheet(spark, tmp_path):
@@ -203,7 +307,7 @@ def test_stream_of_two_deliveries(spark, tmp_path):
     # A late file corrects one sample and brings a new one.
     drop(inbox, "b.csv", spec, {**base, "Resultado": "Não Reagente"}, {**base, "Código Da Cápsula": "3"})
     run("2025-02-04 00:00:00")
-    out = {r.test_id: r for r in sinks.read_snapshot(spark, table).collect()}
+    out = {r.test_id: r for r in snapshots.read_snapshot(spark, table).collect()}
     assert set(out) == {"1", "2", "3"} and len(refreshed) == 2
     assert out["1"].denv_test_result == "Neg"
     assert (out["1"].created_at.day, out["1"].updated_at.day, out["2"].updated_at.day) == (2, 4, 2)
@@ -254,7 +358,7 @@ def test_stream_of_workbooks(spark, tmp_path, lab):
         more = {"s2": [headers, [{**row, key: "9"}.get(h) for h in headers], *footer]} if spec.all_sheets and number == 2 else {}
         workbook(inbox / f"{name}.xlsx", **{sheet: [headers, *lines, *footer]}, **more)
         ingest.stream_feed(spark, str(inbox), spec, table, checkpoint, as_of="2026-02-01 10:00:00")
-    assert {r.test_id for r in sinks.read_snapshot(spark, table).collect()} == {"1", "2"} | ({"9"} if spec.all_sheets else set())
+    assert {r.test_id for r in snapshots.read_snapshot(spark, table).collect()} == {"1", "2"} | ({"9"} if spec.all_sheets else set())
 
 
 def test_customer_workbooks_grow_in_number(spark):
