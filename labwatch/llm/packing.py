@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from functools import reduce
 from struct import pack as pack_ids
 from unicodedata import is_normalized
 
@@ -198,11 +199,12 @@ def pack(
 ) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``: as few sequences of at most ``capacity`` as can be.
 
-    Every partition (a hash of the row's place, about ``rows_per_partition`` each) is packed best-fit decreasing and gets a
-    lower bound of its bin count. Partitions whose bins are all full are closed. The documents of all bins with gaps
-    are dealt anew among as many partitions as their number asks and packed again; a partition keeps its old bins
-    where the new ones are not fewer. This ends when the bins are as many as the bound of the whole input certifies,
-    when the gaps fit one partition, when a round saves nothing, or after ``rounds``.
+    Every partition (a hash of the row's place, about ``rows_per_partition`` each) is packed best-fit decreasing, and a
+    lower bound of its bin count certifies it where the count is no higher. Full bins are closed, and so are certified
+    partitions but for their emptiest bin. All other bins have gaps: they are dealt anew, whole, among as many partitions
+    as their documents ask, so documents of different partitions meet and are packed again; a partition keeps the bins it
+    got where the new ones are not fewer. So every bin is of one packing and gapless from 0. This ends when the bins are as many as the bound of
+    the whole input certifies, when the gaps fit one partition, when a round saves nothing, or after ``rounds``.
 
     Null lengths count as 0, lengths above the capacity fail. Repeated rows are separate pieces. Columns called like
     the two added ones are replaced; an empty table stays empty.
@@ -211,8 +213,7 @@ def pack(
     pieces = stored(pieces.drop("sequence_id", "offset"), "pieces")
     names = pieces.columns
     schema = T.StructType(
-        pieces.schema.fields
-        + T.StructType.fromDDL("sequence_id long, offset long, _free long, _bins long, _certified boolean").fields
+        pieces.schema.fields + T.StructType.fromDDL("sequence_id long, offset long, _closed boolean").fields
     )
     counts = pieces.groupBy(F.coalesce(F.col(length), F.lit(0)).alias("n")).count().collect()  # capacity + 1 rows at most
     if not counts:
@@ -228,42 +229,39 @@ def pack(
         number, part = (int(k.as_py()) for k in key)
         lengths = np.asarray(table[length].fill_null(0)).astype(np.int64)
         bins, offsets, free = best_fit_decreasing(lengths, capacity)
-        certified = len(free) <= lower_bound(np.bincount(lengths, minlength=capacity + 1), capacity)
-        ids = bins + (part << 28) + (number << 56)
-        spaces, in_all = free[bins], len(free)
-        old = np.asarray(table["sequence_id"])
-        before, where = np.unique(old, return_inverse=True)
-        if number and len(before) <= in_all:
-            used = np.bincount(where, weights=lengths).astype(np.int64)
-            ids, offsets, spaces, in_all = old, np.asarray(table["offset"]), capacity - used[where], len(before)
-        size = table.num_rows
-        added = [ids, offsets, spaces, np.full(size, in_all)]
-        columns = [table[c] for c in names] + [pa.array(a, pa.int64()) for a in added] + [pa.array(np.full(size, certified))]
-        return pa.table(columns, names=schema.names)
-
+        ids, count, spaces = bins + (part << 28) + (number << 56), len(free), free[bins]
+        if number:
+            before, where = np.unique(np.asarray(table["sequence_id"]), return_inverse=True)
+            if len(before) <= count:
+                used = np.bincount(where, weights=lengths).astype(np.int64)
+                ids, offsets, count, spaces = before[where], np.asarray(table["offset"]), len(before), (capacity - used)[where]
+        certified = count <= lower_bound(np.bincount(lengths, minlength=capacity + 1), capacity)
+        closed = spaces == 0
+        if certified:
+            closed |= ids != ids[np.argmax(spaces)]
+        added = [pa.array(ids, pa.int64()), pa.array(offsets, pa.int64()), pa.array(closed)]
+        return pa.table([table[c] for c in names] + added, names=schema.names)
+
+    # What may still exchange, and what is closed, and its bins.
     pool = pieces.withColumns({"sequence_id": F.lit(-1).cast("long"), "offset": F.lit(0).cast("long")})
-    rows, closed, closed_bins, last = sum(n for _, n in counts), [], 0, None
+    rows, closed, closed_bins, last = int(histogram.sum()), [], 0, None
     for number in range(rounds):
         parts = max(1, -(-rows // rows_per_partition))
-        dealt = pool.withColumns(
-            {
-                "_round": F.lit(number),
-                "_part": F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)).cast("int"),
-            }
-        )
+        place = F.xxhash64("sequence_id", F.lit(number)) if number else F.xxhash64(F.monotonically_increasing_id())
+        dealt = pool.withColumns({"_round": F.lit(number), "_part": F.pmod(place, F.lit(parts)).cast("int")})
         result = stored(dealt.groupBy("_round", "_part").applyInArrow(packed, schema), f"packed-{number}")
-        per_bin = result.groupBy("sequence_id").agg(F.first("_free").alias("free"))
-        full, gaps = per_bin.agg(F.count_if(F.col("free") == 0), F.count_if(F.col("free") > 0)).first()
-        bins = closed_bins + full + gaps
-        closed.append(result.where("_free = 0"))
+        done = F.col("_closed")
+        per_bin = result.groupBy("sequence_id").agg(F.first(done).alias("done"), F.count("*").alias("rows"))
+        full, gaps, rows = per_bin.agg(
+            F.count_if("done"), F.count_if(~F.col("done")), F.coalesce(F.sum(F.when(~F.col("done"), F.col("rows"))), F.lit(0))
+        ).first()
+        closed.append(result.where(done))
         closed_bins += full
-        pool = result.where("_free > 0").select(*names, "sequence_id", "offset")
-        done = bins <= bound or parts == 1 or (last is not None and bins >= last)
-        if done or number == rounds - 1:
+        pool = result.where(~done).select(*names, "sequence_id", "offset")
+        bins = closed_bins + gaps
+        if not gaps or bins <= bound or parts == 1 or (last is not None and bins >= last):
             break
-        last, rows = bins, pool.count()
-    out = pool
-    for part in closed:
-        out = out.unionByName(part.select(*out.columns))
-    return out
-
+        last = bins
+    closed = [part.select(*names, "sequence_id", "offset") for part in closed]
+    out = reduce(DataFrame.unionByName, [*closed, pool])
+    return out.select(*names, "sequence_id", "offset")
