@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 from functools import reduce
 from struct import pack as pack_ids
-from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from labwatch.llm.alphabet import BLANKS, DIGITS, LETTERS, byte_alphabet, is_latin
 from labwatch.llm.common import arrow_explode, binary_column, stored
 
 # Distinct words of one of a task's two generations; what leaves the older one is encoded again when it comes back.
@@ -20,17 +21,16 @@ REMEMBERED_WORDS = 200_000
 ID_BYTES = 4
 
 
-def byte_alphabet() -> dict[int, int]:
-    """The printable character that byte-level vocabularies write for each byte: itself, or the next one from 256 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in plain]
-    return dict(zip(plain, plain)) | {b: 256 + n for n, b in enumerate(others)}
+# The parts of a lower-case word that the tokenizer's pattern tells apart.
+WORD_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^{BLANKS}{LETTERS}{DIGITS}]+")
 
 
 class WordIds(dict):
-    """Ids of words between ASCII blanks, as little-endian 32-bit integers.
+    """Ids of words between ASCII blanks, as little-endian 32-bit integers; a word is encoded when it is asked for.
 
-    The tokenizer normalises and splits at blanks, so a text's ids are its words' ids one after another.
+    The tokenizer normalises and splits at blanks, so a text's ids are its words' ids one after another. Words of code
+    points up to U+00FF are cut into parts here, which the tokenizer's vocabulary encodes; all others, and such as may
+    hold a special token, go through the tokenizer as a whole, and so do all words where it is of another kind.
     """
 
     def __init__(self, definition: str):
@@ -40,66 +40,43 @@ class WordIds(dict):
         super().__init__()
         self.older: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_str(definition)
+        self.model = self.tokenizer.model
         self.alphabet = byte_alphabet()
-        self.by_letters = self.letters_agree()
-
-    def letters_agree(self) -> bool:
-        """Whether the vocabulary alone encodes lower-case words of letters as the whole tokenizer does."""
-        words = ["a", "the", "idea", "zqxv", "été", "größe", "señor", "łódź"]
-        whole = [c.ids for c in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-        return whole == [self.letter_ids(w.encode()) for w in words]
-
-    def letter_ids(self, word: bytes) -> list[int]:
-        return [t.id for t in self.tokenizer.model.tokenize(word.decode("latin-1").translate(self.alphabet))]
-
-    def encode(self, words: list[bytes]) -> None:
-        others = []
-        for word in words:
-            if word.isalpha():
-                letters = word.islower()
-            else:
-                text = word.decode("utf-8")
-                letters = text.isalpha() and text == text.lower() and is_normalized("NFC", text)
-            if letters and self.by_letters:
-                ids = self.letter_ids(word)
-                self[word] = pack_ids(f"<{len(ids)}I", *ids)
-            else:
-                others.append(word)
-        texts = [w.decode("utf-8") for w in others]
-        for word, coded in zip(others, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            self[word] = pack_ids(f"<{len(coded.ids)}I", *coded.ids)
-
-    def learn(self, words: set[bytes]) -> None:
-        """Make sure that all ``words`` have ids here."""
+        sample = ["a", "the", "Idea", "zqxv,", "été.", "GRÖßE", "señor's", "we'll...", "x²½×ª«3.14»", "\x1cª\x85b\xa0c", "$%'d"]
+        self.by_parts = True
+        self.by_parts = all(self.encoded(w.encode()) == self.whole(w) for w in sample)
+
+    def whole(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return pack_ids(f"<{len(ids)}I", *ids)
+
+    def part(self, part: str) -> bytes:
+        """Ids of one part: every byte is a character of the vocabulary."""
+        letters = part if part.isascii() and part.isalpha() else part.encode().decode("latin-1").translate(self.alphabet)
+        ids = [t.id for t in self.model.tokenize(letters)]
+        return pack_ids(f"<{len(ids)}I", *ids)
+
+    def __missing__(self, word: bytes) -> bytes:
+        found = self.older.get(word)
+        if found is None:
+            found = self.encoded(word)
+        self[word] = found
+        return found
+
+    def encoded(self, word: bytes) -> bytes:
+        text = word.decode("utf-8")
+        if not self.by_parts or "<|" in text or not is_latin(text):
+            return self.whole(text)
+        low = text.lower()
+        if low.isalpha():
+            return self.part(low) if low == text else self[low.encode()]
+        return b"".join(self[p.encode()] if p.isalpha() else self.part(p) for p in WORD_PARTS.findall(low))
+
+    def age(self) -> None:
+        """Begin a new generation where this one is full; words of the one before it are forgotten."""
         if len(self) > REMEMBERED_WORDS:
             self.older = dict(self)
             self.clear()
-        new, split = {}, {}
-        for word in words.difference(self):
-            if (known := self.older.get(word)) is not None:
-                self[word] = known
-                continue
-            # A full stop or comma after an ASCII letter or digit is a token of its own; ASCII case is folded.
-            # What may be a special token is left whole.
-            stem = word
-            if word[-1:] in b".," and word[-2:-1].isalnum():
-                stem = word[:-1]
-            if stem.isascii() and b"<" not in stem:
-                stem = stem.lower()
-            if stem == word:
-                new[word] = None
-            else:
-                split[word] = stem
-        for word in [*split.values(), *([b".", b","] if split else [])]:
-            if word not in self:
-                if (known := self.older.get(word)) is not None:
-                    self[word] = known
-                else:
-                    new[word] = None
-        if new:
-            self.encode(list(new))
-        for word, stem in split.items():
-            self[word] = self[stem] + (self[word[-1:]] if len(word) > len(stem) else b"")
 
 
 def tokenize_pieces(
@@ -122,20 +99,17 @@ def tokenize_pieces(
         if not memories:
             memories.append(WordIds(definition))
         memory = memories[0]
-        split = [value.split() for value in binary_column(batch, text)]
         rows, piece, start, length, ids = [], [], [], [], []
-        for first in range(0, len(split), 256):
-            block = split[first : first + 256]
-            memory.learn(set().union(*block))
-            for row, words in enumerate(block, first):
-                whole = b"".join(map(memory.__getitem__, words)) + end
-                for n, at in enumerate(range(0, len(whole), step)):
-                    part = whole[at : at + step]
-                    rows.append(row)
-                    piece.append(n)
-                    start.append(at // ID_BYTES)
-                    length.append(len(part) // ID_BYTES)
-                    ids.append(part)
+        for row, value in enumerate(binary_column(batch, text)):
+            memory.age()
+            whole = b"".join(map(memory.__getitem__, value.split())) + end
+            for n, at in enumerate(range(0, len(whole), step)):
+                part = whole[at : at + step]
+                rows.append(row)
+                piece.append(n)
+                start.append(at // ID_BYTES)
+                length.append(len(part) // ID_BYTES)
+                ids.append(part)
         return np.array(rows, np.int64), [
             pa.array(piece, pa.int32()),
             pa.array(start, pa.int64()),

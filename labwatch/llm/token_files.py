@@ -14,6 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labwatch.llm.alphabet import BLANKS, DIGITS, LETTERS, byte_alphabet, is_latin
 from labwatch.llm.common import binary_column, give_back, parts_of, stored
 
 MAGIC = b"TIDS0001"
@@ -151,10 +152,6 @@ class Segment:
         return self.codes.slice(int(self.starts[n]), int(self.starts[n + 1]))
 
 
-# Letters, digits and blanks up to U+00FF as the byte-level pattern of the tokenizers tells them apart (fixed values).
-LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
-DIGITS = "0-9²³¹¼-¾"
-BLANKS = "\t-\r \u0085 "
 PARTS = re.compile(
     f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{DIGITS}]+| ?[^{BLANKS}{LETTERS}{DIGITS}]+|[{BLANKS}]+(?![^{BLANKS}])|[{BLANKS}]+"
 )
@@ -164,8 +161,9 @@ class ByteLevelIds(dict):
     """Ids of the parts that a byte-level tokenizer cuts a text into, as little-endian 32-bit integers.
 
     Merges never cross parts, so a text's ids are its parts' ids one after another. Texts of code points up to U+00FF
-    without special tokens are cut here and each distinct part is encoded once while it is remembered; all others go
-    through the tokenizer as a whole, and so do all texts where the tokenizer is of another kind.
+    without special tokens are cut here and a part is encoded when it is first asked for, letters by the tokenizer's
+    vocabulary alone; all other texts go through the tokenizer as a whole, and so do all texts where the tokenizer is of
+    another kind.
     """
 
     def __init__(self, definition: str):
@@ -174,37 +172,48 @@ class ByteLevelIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_str(definition)
+        self.model = self.tokenizer.model
+        self.alphabet = byte_alphabet()
+        self.blank = chr(self.alphabet[0x20])
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        sample = "It's  9 déjà-vu,\n\n we'll\tsee 1½ × ª«tests»  n'est \r\n "
-        whole = self.tokenizer.encode(sample, add_special_tokens=False).ids
-        self.plain = whole == [i for p in PARTS.findall(sample) for i in self.tokenizer.encode(p, add_special_tokens=False).ids]
+        sample = "It's  9 déjà-vu,\n\n we'll\tsee 1½ × ª«tests»  n'est \r\n "
+        self.plain = self.whole([sample])[0] == b"".join(self.whole(PARTS.findall(sample)))
+        self.by_letters = False
+        words = [" the", "Idea", " zqxvé", "Größe", " señor"]
+        self.by_letters = self.whole(words) == [self.letters(w) for w in words]
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(c.ids, "<u4").tobytes() for c in coded]
+
+    def letters(self, part: str) -> bytes:
+        """Ids of letters, perhaps after a blank: every byte is a character of the vocabulary."""
+        if part.isascii():
+            part = part.replace(" ", self.blank)
+        else:
+            part = part.encode().decode("latin-1").translate(self.alphabet)
+        ids = [t.id for t in self.model.tokenize(part)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def __missing__(self, part: str) -> bytes:
+        if self.by_letters and part.removeprefix(" ").isalpha():
+            ids = self.letters(part)
+        else:
+            ids = self.whole([part])[0]
+        self[part] = ids
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
-        out: list[bytes | None] = [None] * len(texts)
-        cut: list[tuple[int, list[str]]] = []
-        whole = []
-        for n, text in enumerate(texts):
-            if self.plain and not any(s in text for s in self.special):
-                try:
-                    text.encode("latin-1")
-                except UnicodeEncodeError:
-                    whole.append(n)
-                else:
-                    cut.append((n, PARTS.findall(text)))
-            else:
-                whole.append(n)
         if len(self) > REMEMBERED_PARTS:
             self.clear()
-        new = list(set().union(*(parts for _, parts in cut)).difference(self))
-        for part, coded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            ids = coded.ids
-            self[part] = struct.pack(f"<{len(ids)}I", *ids)
-        for n, parts in cut:
-            out[n] = b"".join(map(self.__getitem__, parts))
-        coded = self.tokenizer.encode_batch_fast([texts[n] for n in whole], add_special_tokens=False)
-        for n, found in zip(whole, coded):
-            out[n] = np.array(found.ids, "<u4").tobytes()
+        out: list[bytes | None] = []
+        for text in texts:
+            cut = self.plain and is_latin(text) and not any(s in text for s in self.special)
+            out.append(b"".join(map(self.__getitem__, PARTS.findall(text))) if cut else None)
+        rest = [n for n, ids in enumerate(out) if ids is None]
+        for n, ids in zip(rest, self.whole([texts[n] for n in rest])):
+            out[n] = ids
         return out
 
 
