@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labwatch.llm.common import arrow_append, arrow_explode, arrow_map, binary_column, few_of, stored
+from labwatch.llm.common import arrow_append, arrow_explode, arrow_map, binary_column, few_of, give_back, stored
 from labwatch.llm.components import connected_components
 from labwatch.llm.shingles import (
     Bands,
@@ -21,8 +21,11 @@ from labwatch.llm.shingles import (
     similar_enough,
 )
 
-# Members of one key that a task compares at once; larger keys are compared block by block.
-KEY_ROWS = 2048
+# Members of a cluster, and bytes of their sets, that make a block; larger clusters are compared block by block.
+BLOCK_ROWS = 4096
+BLOCK_BYTES = 8 << 20
+# Elements of sets that are counted at once.
+COUNTED_AT_ONCE = 1 << 21
 PAIRS_AT_ONCE = 1 << 18
 
 
@@ -108,36 +111,94 @@ def close_pairs(
     return keep
 
 
-def run_pairs(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of rows of the same run."""
-    row = np.concatenate([np.arange(s, e) for s, e in zip(starts.tolist(), ends.tolist())] or [np.zeros(0, np.int64)])
-    rest = np.repeat(ends, ends - starts) - row - 1
-    first = np.repeat(row, rest)
-    before = np.repeat(np.cumsum(rest) - rest, rest)
-    return first, first + 1 + np.arange(len(first)) - before
+class _Cell:
+    """Members of a cluster that are held against each other: links between different roots, as few as join them."""
+
+    def __init__(self, roots: np.ndarray, sizes: np.ndarray, sketches: list[bytes], sets: list[bytes], num: int, den: int):
+        self.num, self.den, self.sizes = num, den, sizes
+        self.label = np.unique(roots, return_inverse=True)[1]
+        words = np.array([len(s) // 8 for s in sketches])
+        # Each width's sketches, folded to it where they are wider.
+        self.folded = {
+            w: np.stack([fold_to(s, w) if len(s) >= 8 * w else np.zeros(w, np.uint64) for s in sketches])
+            for w in np.unique(words).tolist()
+        }
+        self.words = words
+        held = np.concatenate([np.frombuffer(s, "<u8") for s in sets])
+        self.flat = np.unique(held, return_inverse=True)[1].astype(np.int32)
+        self.ends = np.cumsum(sizes)
+        self.seen = np.zeros(int(self.flat.max()) + 1, bool)
+
+    def members_of(self, i: int) -> np.ndarray:
+        return self.flat[self.ends[i] - self.sizes[i] : self.ends[i]]
+
+    def may_link(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Which of ``others`` sizes and folded sketches leave."""
+        bound = (self.sizes[i] + self.sizes[others]) * (self.den - self.num) // (self.den + self.num)
+        bits = np.zeros(len(others), np.int64)
+        width = np.minimum(self.words[others], self.words[i])
+        for w in np.unique(width).tolist():
+            at = width == w
+            matrix = self.folded[w]
+            bits[at] = np.bitwise_count(matrix[others[at]] ^ matrix[i]).sum(axis=1, dtype=np.int64)
+        return others[bits <= bound]
+
+    def linked(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Which of ``others`` reach the threshold, by the sets themselves."""
+        own = self.members_of(i)
+        self.seen[own] = True
+        out = []
+        step = max(1, COUNTED_AT_ONCE // int(self.sizes[others].max()))
+        for at in range(0, len(others), step):
+            part = others[at : at + step]
+            sizes = self.sizes[part]
+            hits = self.seen[np.concatenate([self.members_of(j) for j in part.tolist()])]
+            shared = np.add.reduceat(hits.astype(np.int64), np.cumsum(sizes) - sizes)
+            out.append(part[self.den * shared >= self.num * (len(own) + sizes - shared)])
+        self.seen[own] = False
+        return np.concatenate(out)
+
+    def links(self, apart: np.ndarray | None = None) -> list[tuple[int, int]]:
+        """Pairs of rows that link and join two roots; with ``apart`` only pairs that differ in it."""
+        order = np.argsort(self.sizes, kind="stable")
+        sizes = self.sizes[order]
+        last = np.searchsorted(sizes * self.num, sizes * self.den, side="right")
+        found = []
+        for place, i in enumerate(order.tolist()):
+            others = order[place + 1 : last[place]]
+            others = others[self.label[others] != self.label[i]]
+            if apart is not None:
+                others = others[apart[others] != apart[i]]
+            if len(others) and len(others := self.may_link(i, others)):
+                for j in self.linked(i, others).tolist():
+                    if self.label[j] != self.label[i]:
+                        found.append((i, j))
+                        self.label[self.label == self.label[j]] = self.label[i]
+        return found
 
 
 def _across(num: int, den: int):
-    """Of rows sorted by (key, i, j) the pairs of different roots that may link."""
+    """Of rows sorted by (cluster, i, j) the links that join different roots."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns, _ in whole_runs(batches, 3):
-            key, i, j, block, node, root, size = (np.asarray(c) for c in columns[:7])
-            sketches = columns[7].to_pylist()
-            cell = np.concatenate(([True], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])))
-            starts = np.nonzero(cell)[0]
-            ends = np.append(starts[1:], len(key))
-            todo = np.cumsum((ends - starts) ** 2) // (4 * PAIRS_AT_ONCE)
-            for part in np.unique(todo).tolist():
-                first, second = run_pairs(starts[todo == part], ends[todo == part])
+        for columns, _ in whole_runs(batches, 3, 1 << 20):
+            cluster, i, j, block, node, root, size = (np.asarray(c) for c in columns[:7])
+            new = (cluster[1:] != cluster[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+            bounds = [0, *(np.nonzero(new)[0] + 1).tolist(), len(cluster)]
+            pairs = []
+            for begin, end in zip(bounds, bounds[1:]):
+                own = slice(begin, end)
+                if end - begin < 2 or (root[own] == root[begin]).all():
+                    continue
+                sketches, sets = (c.slice(begin, end - begin).to_pylist() for c in columns[7:9])
+                cell = _Cell(root[own], size[own], sketches, sets, num, den)
                 # A pair of one block belongs to that block's own cell.
-                crossing = (root[first] != root[second]) & ((i[first] == j[first]) | (block[first] != block[second]))
-                first, second = first[crossing], second[crossing]
-                keep = close_pairs(size, sketches, first, second, num, den)
-                a, b = node[first[keep]], node[second[keep]]
-                pairs = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)], axis=1), axis=0)
-                if len(pairs):
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+                pairs += [(begin + a, begin + b) for a, b in cell.links(block[own] if i[begin] != j[begin] else None)]
+            if pairs:
+                ends = node[np.array(pairs)]
+                made = [pa.array(ends.max(axis=1)), pa.array(ends.min(axis=1))]
+                yield pa.RecordBatch.from_arrays(made, names=["a", "b"])
+        give_back()
 
     return found
 
@@ -166,9 +227,8 @@ class _Join:
         narrow = joined.select("a", "b", "text_id_a", "text_id_b", "n_a", "n_b", "sketch_a", "sketch_b")
         return stored(arrow_map(narrow, allowed, "a long, b long, text_id_a long, text_id_b long"), "close-pairs")
 
-    def sets_of(self, pairs: DataFrame) -> DataFrame:
-        """``text_id, shingles`` of the texts that ``pairs`` need."""
-        needed = pairs.select(F.explode(F.array("text_id_a", "text_id_b")).alias("needed")).distinct()
+    def sets_of(self, needed: DataFrame) -> DataFrame:
+        """``text_id, shingles`` of the texts whose ids are ``needed``, once each."""
         passes, size = few_of(needed), self.size
 
         def shingled(batch: pa.RecordBatch) -> tuple[np.ndarray, list[pa.Array]]:
@@ -197,13 +257,56 @@ class _Join:
         close = self.described(pairs)
         if close.isEmpty():
             return close.select("a", "b")
-        sets = self.sets_of(close)
+        sets = self.sets_of(close.select(F.explode(F.array("text_id_a", "text_id_b")).alias("needed")).distinct())
         joined = close
         for end in "ab":
             side = sets.select(F.col("text_id").alias(f"of_{end}"), F.col("shingles").alias(f"set_{end}"))
             joined = joined.join(side, F.col(f"text_id_{end}") == F.col(f"of_{end}"))
         return stored(arrow_map(joined.select("a", "b", "set_a", "set_b"), linked, "a long, b long"), "jaccard-links")
 
+    def between(self, rooted: DataFrame) -> DataFrame | None:
+        """Links between the roots of ``rooted`` (key, node, root), as many as join them; None where no key has two.
+
+        Keys with several roots bring these into clusters. Nodes of such keys are held against each other within their
+        cluster, on sketches and then on the sets themselves, so only links are handed on, fewer than members.
+        """
+        mixed = (
+            rooted.groupBy(F.col("key").alias("mixed"))
+            .agg(F.min("root").alias("low"), F.max("root").alias("high"))
+            .where("low < high")
+            .select("mixed", "low")
+        )
+        meeting = stored(rooted.join(mixed, F.col("key") == F.col("mixed")).select("node", "root", "low"), "mixed")
+        if meeting.isEmpty():
+            return None
+        clusters = connected_components(meeting.where("root <> low").select(F.col("root").alias("a"), F.col("low").alias("b")))
+        named = clusters.select(F.col("node").alias("of_root"), F.col("root").alias("cluster"))
+        members = (
+            meeting.select("node", "root")
+            .distinct()
+            .join(named, F.col("root") == F.col("of_root"))
+            .join(self.nodes.withColumnRenamed("node", "of"), F.col("node") == F.col("of"))
+            .select("cluster", "node", "root", "n", "sketch", "text_id")
+        )
+        members = stored(members, "members")
+        blocks = members.groupBy(F.col("cluster").alias("large")).agg(
+            F.greatest(F.ceil(F.count("*") / F.lit(BLOCK_ROWS)), F.ceil(F.sum("n") * 8 / F.lit(BLOCK_BYTES))).cast("int").alias("blocks")
+        )
+        sets = self.sets_of(members.select(F.col("text_id").alias("needed")).distinct()).withColumnRenamed("text_id", "of_text")
+        spread = (
+            members.join(blocks, F.col("cluster") == F.col("large"))
+            .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+            .join(sets, F.col("text_id") == F.col("of_text"))
+        )
+        cells = (
+            spread.select("cluster", "i", "j", "block", "node", "root", "n", "sketch", "shingles")
+            .repartition("cluster", "i", "j")
+            .sortWithinPartitions("cluster", "i", "j")
+        )
+        return stored(cells.mapInArrow(_across(self.num, self.den), "a long, b long"), "jaccard-links")
+
 
 def jaccard_components(
     docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, key: str = "doc_id", text: str = "text"
@@ -218,9 +321,9 @@ def jaccard_components(
     1. Nodes whose parity sketches share a segment meet under its key; every pair that links does.
     2. In each key the node that meets most others is paired with all others: as many pairs as members. Pairs that
        sizes and folded sketches allow are verified on the sets, and links form groups.
-    3. In keys that still hold several groups, all pairs across groups are held against the sketches, key by key
-       (large keys block by block), and those left are verified too. So no link between groups is lost, and pairs
-       within a group are never listed.
+    3. Keys that still hold several groups bring these into clusters. In a cluster (large ones block by block) nodes of
+       different groups are held against each other on sketches and sets, and links that join two groups are handed on.
+       So no link between groups is lost, and no more pairs are written than a cluster has members, per pair of blocks.
 
     Null and empty texts and such without words have no shingle and link with nothing: they keep their own key.
     Null keys take part, but name a component only if no other key is there; repeated rows are rows of their own.
@@ -285,29 +388,8 @@ def jaccard_components(
         ),
         "rooted",
     )
-    mixed = (
-        rooted.groupBy(F.col("key").alias("mixed"))
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("rows"))
-        .where("low < high")
-        .select("mixed", F.ceil(F.col("rows") / F.lit(KEY_ROWS)).cast("int").alias("blocks"))
-    )
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    spread = (
-        rooted.join(mixed, F.col("key") == F.col("mixed"))
-        .withColumn("block", block)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-        .drop("other")
-    )
-    sketched = spread.join(nodes.select(F.col("node").alias("of"), "n", "sketch"), F.col("node") == F.col("of"))
-    cells = (
-        sketched.select("key", "i", "j", "block", "node", "root", "n", "sketch")
-        .repartition("key", "i", "j")
-        .sortWithinPartitions("key", "i", "j")
-    )
-    more = join.verified(cells.mapInArrow(_across(num, den), "a long, b long").distinct())
-
-    components = connected_components(links.unionByName(more))
+    more = join.between(rooted)
+    components = connected_components(links.unionByName(more)) if more is not None else connected_components(links)
     least = (
         components.join(nodes.select(F.col("node").alias("of"), "least_key"), F.col("node") == F.col("of"))
         .groupBy(F.col("root").alias("of_root"))
