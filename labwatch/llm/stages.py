@@ -43,11 +43,16 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return one_of_each(plain, size=5, num=80, den=100).select(*plain.columns).toDF(*names)
 
 
+# Passages of over 50 words: shorter strings of bytes are left out of the search, then runs are held against the words.
+REPEATED_BYTES = 240
+REPEATED_WORDS = 51
+
+
 def cut_repeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without strings of 400 bytes that occur at two places."""
+    """Documents without passages of over 50 words (and 240 bytes) that occur at two places."""
     plain, names = _apart(docs)
     chars = "n_chars" if "n_chars" in names else None
-    return cut_repeats(plain, length=400, chars=chars).select(*plain.columns).toDF(*names)
+    return cut_repeats(plain, REPEATED_BYTES, chars=chars, words=REPEATED_WORDS).select(*plain.columns).toDF(*names)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

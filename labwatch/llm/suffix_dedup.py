@@ -284,6 +284,10 @@ def without(text: bytes, spans: list[dict]) -> bytes:
     return b"".join([*kept, text[at:]])
 
 
+def long_enough(text: bytes, spans: list[dict], words: int) -> list[dict]:
+    return [s for s in spans if len(text[s["begin"] : s["end"]].split()) >= words] if words else spans
+
+
 def removal_digests(docs: DataFrame, length: int = 400, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, n_bytes, n_removed, n_spans, kept_sha256`` of every row of ``docs``.
 
@@ -323,9 +327,13 @@ def removal_digests(docs: DataFrame, length: int = 400, key: str = "doc_id", tex
     )
 
 
-def cut_repeats(docs: DataFrame, length: int = 400, text: str = "text", chars: str | None = None) -> DataFrame:
+def cut_repeats(
+    docs: DataFrame, length: int = 400, text: str = "text", chars: str | None = None, words: int = 0
+) -> DataFrame:
     """``docs`` with every text's repeated strings taken out, all columns and rows kept.
 
+    With ``words`` only runs of repeated strings go that hold at least so many words, whole or cut at the run's ends.
+
     Bytes of a character that a cut leaves incomplete go as well. Null texts stay null. A column ``chars`` is set to
     the number of characters left. Only texts that are cut are shuffled.
     """
@@ -350,7 +358,7 @@ def cut_repeats(docs: DataFrame, length: int = 400, text: str = "text", chars: s
         own = batch.column(batch.schema.get_field_index("_spans")).to_pylist()
         valid = batch.column(batch.schema.get_field_index(text)).is_valid().to_pylist()
         out = [
-            without(value, spans or []).decode("utf-8", "ignore") if there else None
+            without(value, long_enough(value, spans or [], words)).decode("utf-8", "ignore") if there else None
             for value, spans, there in zip(binary_column(batch, text), own, valid)
         ]
         return [pa.array(out, pa.string())]

@@ -16,6 +16,7 @@ from labwatch.llm.language import fit_languages, identify_languages
 from labwatch.llm.licenses import BODIES, bigrams, normalised_words, scan_licenses, scan_passages
 from labwatch.llm.mixing import mix_sources
 from labwatch.llm.packing import best_fit_decreasing, pack, tokenize_pieces
+from labwatch.llm.stages import cut_repeated
 from labwatch.llm.suffix_dedup import BLOCK, cut_repeats, removal_digests
 from labwatch.llm.topk import top_k
 from labwatch.llm.toxicity import fit_toxicity, score_toxicity
@@ -82,16 +83,18 @@ def test_top_k(spark):
     rows = [(i, [float(x) for x in random.normal(size=5)]) for i in range(200)]
     rows += [(300 + i, rows[40][1]) for i in range(60)]
     bad = [(400, None), (None, [1.0] * 5), (401, [1.0, None, 2.0]), (402, [float("nan")] * 5), (403, [float("inf"), 1.0]), (420, [2.0])]
-    df = spark.createDataFrame([*rows, *bad, rows[7]], "vec_id long, embedding array<double>").withColumn("score", F.lit("x"))
-    got = {}
-    for r in top_k(df, k=6, block_rows=16, shard_rows=50).collect():
-        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
-    usable = {i: np.floor(64 * np.array(v)) for i, v in [*rows, bad[-1]]}
-    width = lambda v: np.pad(v, (0, 5 - len(v)))
-    assert set(got) == {i for i in usable if i % 20 == 0}
-    for q, found in got.items():
-        best = sorted((-int(width(usable[q]) @ width(v)), i) for i, v in usable.items() if i != q)[:6]
-        assert sorted(found) == [(n, i, -s) for n, (s, i) in enumerate(best, 1)]
+    # Rows of equal key: the same vector, and other ones, as candidates and as queries.
+    rows += [rows[7], (8, rows[11][1]), (40, rows[3][1]), (40, rows[3][1]), (60, [9.0] * 5)]
+    df = spark.createDataFrame([*rows, *bad], "vec_id long, embedding array<double>").withColumn("score", F.lit("x"))
+    usable = [(i, np.floor(64 * np.pad(np.array(v), (0, 5 - len(v))))) for i, v in [*rows, bad[-1]]]
+    want = []
+    for n, (q, v) in enumerate(usable):
+        if q % 20 == 0:
+            best = sorted((-int(v @ w), i) for m, (i, w) in enumerate(usable) if m != n)[:6]
+            want += [(q, place, i, -s) for place, (s, i) in enumerate(best, 1)]
+    for settings in (dict(shard_rows=50), dict(shard_rows=20, queries_at_once=5), {}):
+        got = [tuple(r) for r in top_k(df, k=6, block_rows=16, **settings).collect()]
+        assert sorted(got) == sorted(want)
     assert top_k(df.limit(0)).count() == 0
     few = spark.createDataFrame([(0, [1.0]), (1, [1.0])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in top_k(few).collect()] == [(0, 1, 1, 4096)]
@@ -201,6 +204,23 @@ def test_jaccard(spark, documents, size, num):
     assert jaccard_components(docs.limit(0)).count() == 0 and one_of_each(docs.select("doc_id", "text").limit(0)).count() == 0
 
 
+def test_long_passages_are_cut(spark, documents):
+    """Passages of 51 to 60 words that stand in two texts go, shorter ones and repeated lines stay."""
+    passages = {n: prose(900 + n, n).replace("w", "word") for n in range(40, 61) if n != 50}
+    rows = []
+    for n, passage in passages.items():
+        for k in range(2):
+            rows.append((n * 10 + k, f"{prose(n * 7 + k, 60)} start{n}{k} {passage} end{n}{k} {prose(n * 11 + k, 60)}"))
+    rows += [(2000 + k, f"{prose(3000 + k, 30)}\nall rights are kept and so on\n{prose(4000 + k, 30)}") for k in range(9)]
+    docs = documents(*rows, *ODD_ROWS)
+    out = {r.doc_id: r.text for r in cut_repeated(spark, docs, "").collect()}
+    for doc_id, text in rows:
+        long_one = doc_id < 2000 and doc_id // 10 > 50
+        assert (passages[doc_id // 10] in out[doc_id]) != long_one if doc_id < 2000 else out[doc_id] == text
+        if doc_id < 2000:
+            assert out[doc_id].startswith(text.split(" start")[0]) and out[doc_id].endswith(text.split(" end")[1].split(" ", 1)[1])
+
+
 def test_packing(spark, documents):
     path = tokenizer_path()
     texts = [prose(i, int(n)) for i, n in enumerate(np.random.default_rng(7).integers(1, 200, 150))]
