@@ -113,14 +113,14 @@ def license_scan(spark, folder):
     "op3_exact_topk",
     """
     WITH vectors AS (
-      SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS q
+      SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS q
       FROM embeddings
       WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
     ), scored AS (
-      SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
-      FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0
+      SELECT a.n, a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+      FROM vectors a JOIN vectors b ON a.n <> b.n WHERE a.vec_id % 20 = 0
     ), ranked AS (
-      SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+      SELECT *, CAST(row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
     )
     SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
     """,

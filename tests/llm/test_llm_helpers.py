@@ -10,7 +10,7 @@ from labwatch.llm.hmm import Hmm
 from labwatch.llm.language import codewords
 from labwatch.llm.packing import best_fit_decreasing, lower_bound
 from labwatch.llm.shingles import Bands, fold_to, folded_sketch, segment_keys, shingle_set, similar_enough
-from labwatch.llm.topk import search_cell
+from labwatch.llm.topk import Block, search_blocks
 from labwatch.llm.toxicity import ToxicityModel, all_segments, best_segments, word_features
 
 
@@ -150,13 +150,13 @@ def test_forward_and_backward():
         assert np.allclose(got, expected)
 
 
-def test_search_cell():
+def test_search_blocks():
     random = np.random.default_rng(4)
     rows = random.integers(-9, 9, (300, 6)).astype(float)
     keys = random.permutation(1000)[:300]
-    blocks = [(keys[i : i + 32], rows[i : i + 32]) for i in range(0, 300, 32)]
+    blocks = [Block(keys[i : i + 32], keys[i : i + 32], rows[i : i + 32]) for i in range(0, 300, 32)]
     own, queries = keys[:25], rows[:25]
-    number, score, found = search_cell(queries, own, np.full(25, -np.inf), blocks, 7)
+    number, score, found = search_blocks(queries, own, np.full(25, -np.inf), blocks, 7)
     for q in range(25):
         best = sorted((-float(queries[q] @ r), int(k)) for k, r in zip(keys, rows) if k != own[q])[:7]
         assert [(-s, k) for s, k in best] == list(zip(score[number == q].tolist(), found[number == q].tolist()))
