@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labwatch.llm.common import arrow_append, arrow_explode, arrow_map, binary_column, few_of, give_back, stored
@@ -21,6 +21,10 @@ from labwatch.llm.shingles import (
     similar_enough,
 )
 
+# Members of one key that a task compares at once; larger keys are compared block by block.
+KEY_ROWS = 2048
+# Roots that a task remembers as connected; beyond that it begins anew and may hand on more pairs.
+ROOTS_AT_ONCE = 1 << 20
 # Members of a cluster, and bytes of their sets, that make a block; larger clusters are compared block by block.
 BLOCK_ROWS = 4096
 BLOCK_BYTES = 8 << 20
@@ -111,6 +115,68 @@ def close_pairs(
     return keep
 
 
+def run_pairs(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of rows of the same run."""
+    row = np.concatenate([np.arange(s, e) for s, e in zip(starts.tolist(), ends.tolist())] or [np.zeros(0, np.int64)])
+    rest = np.repeat(ends, ends - starts) - row - 1
+    first = np.repeat(row, rest)
+    before = np.repeat(np.cumsum(rest) - rest, rest)
+    return first, first + 1 + np.arange(len(first)) - before
+
+
+class Joined:
+    """Which roots are connected so far, for one task."""
+
+    def __init__(self):
+        self.above: dict[int, int] = {}
+
+    def top(self, root: int) -> int:
+        while (above := self.above.get(root, root)) != root:
+            self.above[root] = root = self.above.get(above, above)
+        return root
+
+    def join(self, a: int, b: int) -> bool:
+        """Connect two roots; False if they were."""
+        a, b = self.top(a), self.top(b)
+        if a == b:
+            return False
+        self.above[max(a, b)] = min(a, b)
+        return True
+
+
+def _bridges(num: int, den: int):
+    """Of rows sorted by (key, i, j) pairs of roots with nodes that may link, as few as connect them in the task."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        joined = Joined()
+        for columns, _ in whole_runs(batches, 3):
+            key, i, j, block, root, size = (np.asarray(c) for c in columns[:6])
+            sketches = columns[6].to_pylist()
+            cell = np.concatenate(([True], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])))
+            starts = np.nonzero(cell)[0]
+            ends = np.append(starts[1:], len(key))
+            todo = np.cumsum((ends - starts) ** 2) // (4 * PAIRS_AT_ONCE)
+            bridges = []
+            for part in np.unique(todo).tolist():
+                first, second = run_pairs(starts[todo == part], ends[todo == part])
+                # A pair of one block belongs to that block's own cell.
+                crossing = (root[first] != root[second]) & ((i[first] == j[first]) | (block[first] != block[second]))
+                first, second = first[crossing], second[crossing]
+                keep = close_pairs(size, sketches, first, second, num, den)
+                a, b = root[first[keep]], root[second[keep]]
+                for pair in np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)], axis=1), axis=0).tolist():
+                    if joined.join(*pair):
+                        bridges.append(pair)
+            if bridges:
+                pairs = np.array(bridges, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            if len(joined.above) > ROOTS_AT_ONCE:
+                joined = Joined()
+        give_back()
+
+    return found
+
+
 class _Cell:
     """Members of a cluster that are held against each other: links between different roots, as few as join them."""
 
@@ -265,47 +331,60 @@ class _Join:
         return stored(arrow_map(joined.select("a", "b", "set_a", "set_b"), linked, "a long, b long"), "jaccard-links")
 
     def between(self, rooted: DataFrame) -> DataFrame | None:
-        """Links between the roots of ``rooted`` (key, node, root), as many as join them; None where no key has two.
+        """Links between the roots of ``rooted`` (key, node, root), as many as join them; None where no two may link.
 
-        Keys with several roots bring these into clusters. Nodes of such keys are held against each other within their
-        cluster, on sketches and then on the sets themselves, so only links are handed on, fewer than members.
+        In keys with several roots, sizes and sketches tell which pairs may link; roots with such pairs form clusters, and
+        only pairs that connect them are handed on. Within a cluster all nodes of different roots are held against each
+        other, on sketches and then on the sets themselves, and links that join two roots are handed on. So a link between
+        two roots is never lost, and no step writes more pairs than it has roots.
         """
-        mixed = (
+        mixed = stored(
             rooted.groupBy(F.col("key").alias("mixed"))
-            .agg(F.min("root").alias("low"), F.max("root").alias("high"))
+            .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("rows"))
             .where("low < high")
-            .select("mixed", "low")
+            .select("mixed", F.ceil(F.col("rows") / F.lit(KEY_ROWS)).cast("int").alias("blocks")),
+            "mixed",
+        )
+        if mixed.isEmpty():
+            return None
+        meeting = (
+            rooted.join(mixed, F.col("key") == F.col("mixed"))
+            .join(self.nodes.select(F.col("node").alias("of"), "n", "sketch"), F.col("node") == F.col("of"))
+            .select("key", "node", "root", "n", "sketch", "blocks")
         )
-        meeting = stored(rooted.join(mixed, F.col("key") == F.col("mixed")).select("node", "root", "low"), "mixed")
-        if meeting.isEmpty():
+        keyed = _in_cells(meeting, F.col("blocks")).select("key", "i", "j", "block", "root", "n", "sketch")
+        bridges = stored(_sorted_cells(keyed, "key").mapInArrow(_bridges(self.num, self.den), "a long, b long"), "bridges")
+        if bridges.isEmpty():
             return None
-        clusters = connected_components(meeting.where("root <> low").select(F.col("root").alias("a"), F.col("low").alias("b")))
-        named = clusters.select(F.col("node").alias("of_root"), F.col("root").alias("cluster"))
-        members = (
-            meeting.select("node", "root")
-            .distinct()
-            .join(named, F.col("root") == F.col("of_root"))
+        clusters = connected_components(bridges).select(F.col("node").alias("of_root"), F.col("root").alias("cluster"))
+        met = rooted.join(mixed, F.col("key") == F.col("mixed"), "left_semi").select("node", "root").distinct()
+        members = stored(
+            met.join(clusters, F.col("root") == F.col("of_root"))
             .join(self.nodes.withColumnRenamed("node", "of"), F.col("node") == F.col("of"))
-            .select("cluster", "node", "root", "n", "sketch", "text_id")
+            .select("cluster", "node", "root", "n", "sketch", "text_id"),
+            "members",
         )
-        members = stored(members, "members")
         blocks = members.groupBy(F.col("cluster").alias("large")).agg(
             F.greatest(F.ceil(F.count("*") / F.lit(BLOCK_ROWS)), F.ceil(F.sum("n") * 8 / F.lit(BLOCK_BYTES))).cast("int").alias("blocks")
         )
         sets = self.sets_of(members.select(F.col("text_id").alias("needed")).distinct()).withColumnRenamed("text_id", "of_text")
-        spread = (
-            members.join(blocks, F.col("cluster") == F.col("large"))
-            .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-            .join(sets, F.col("text_id") == F.col("of_text"))
-        )
-        cells = (
-            spread.select("cluster", "i", "j", "block", "node", "root", "n", "sketch", "shingles")
-            .repartition("cluster", "i", "j")
-            .sortWithinPartitions("cluster", "i", "j")
-        )
-        return stored(cells.mapInArrow(_across(self.num, self.den), "a long, b long"), "jaccard-links")
+        spread = _in_cells(members.join(blocks, F.col("cluster") == F.col("large")), F.col("blocks"))
+        held = spread.join(sets, F.col("text_id") == F.col("of_text"))
+        cells = held.select("cluster", "i", "j", "block", "node", "root", "n", "sketch", "shingles")
+        return stored(_sorted_cells(cells, "cluster").mapInArrow(_across(self.num, self.den), "a long, b long"), "jaccard-links")
+
+
+def _in_cells(rows: DataFrame, blocks: Column) -> DataFrame:
+    """Rows of a key dealt to blocks by node, once for each pair ``i <= j`` of blocks that theirs is one of."""
+    return (
+        rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    )
+
+
+def _sorted_cells(cells: DataFrame, key: str) -> DataFrame:
+    return cells.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j")
 
 
 def jaccard_components(
@@ -321,9 +400,10 @@ def jaccard_components(
     1. Nodes whose parity sketches share a segment meet under its key; every pair that links does.
     2. In each key the node that meets most others is paired with all others: as many pairs as members. Pairs that
        sizes and folded sketches allow are verified on the sets, and links form groups.
-    3. Keys that still hold several groups bring these into clusters. In a cluster (large ones block by block) nodes of
-       different groups are held against each other on sketches and sets, and links that join two groups are handed on.
-       So no link between groups is lost, and no more pairs are written than a cluster has members, per pair of blocks.
+    3. In keys that still hold several groups sizes and sketches tell which of these may link: they form clusters. In a
+       cluster nodes of different groups are held against each other on sketches and sets, and links that join two groups
+       are handed on. Large keys and clusters are compared block by block. So no link between groups is lost, and no more
+       pairs are written than there are groups, per pair of blocks.
 
     Null and empty texts and such without words have no shingle and link with nothing: they keep their own key.
     Null keys take part, but name a component only if no other key is there; repeated rows are rows of their own.

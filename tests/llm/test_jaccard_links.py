@@ -20,6 +20,7 @@ def chain(seed, length, step, words=120):
 @pytest.mark.parametrize("block_rows", [4096, 9])
 def test_chains_and_groups_near_the_threshold(spark, documents, monkeypatch, block_rows):
     monkeypatch.setattr(jaccard, "BLOCK_ROWS", block_rows)
+    monkeypatch.setattr(jaccard, "KEY_ROWS", block_rows)
     written, write = {}, jaccard.stored
 
     def counted(df, label):
