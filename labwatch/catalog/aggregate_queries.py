@@ -17,6 +17,7 @@ from labwatch.catalog.bridge import (
 from labwatch.functions.dates import year_month
 from labwatch.operators import aggregates as A
 from labwatch.operators.shaping import unpivot_results
+from labwatch.session import stored
 
 UNPIVOTED = (
     "SELECT * FROM (SELECT sample_id, lab_id, test_kit, date_testing, state, "
@@ -164,6 +165,24 @@ def _(t: Tables):
     )
 
 
+@query(
+    "A09_distinct_from_states",
+    sql(
+        """SELECT lab_id, CAST(NULL AS VARCHAR) AS exame, count(DISTINCT patient_id) AS patients FROM lines GROUP BY lab_id
+        UNION ALL SELECT NULL, exame, count(DISTINCT patient_id) FROM lines GROUP BY exame
+        UNION ALL SELECT lab_id, exame, count(DISTINCT patient_id) FROM lines GROUP BY lab_id, exame""",
+        "lines",
+    ),
+)
+def _(t: Tables):
+    """Patients per laboratory, per test and per both, from one table of states by both."""
+    states = stored(A.distinct_states(lab_lines(t), ["lab_id", "exame"], "patient_id"), "states")
+    none = F.lit(None).cast("string")
+    parts = [A.distinct_counts(states, by, "patients") for by in (["lab_id"], ["exame"], ["lab_id", "exame"])]
+    rows = [p.select(*[F.col(c) if c in p.columns else none.alias(c) for c in ("lab_id", "exame")], "patients") for p in parts]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 @query(
     "A10_fill_count",
     sql("SELECT state, count(location) AS filled, count(*) AS n FROM samples GROUP BY 1", "samples"),

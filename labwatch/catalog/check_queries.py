@@ -251,8 +251,8 @@ def suite(t: Tables):
         Q.Check("age_present", Q.is_null("age"), where="date_testing >= date '2024-01-01'", severity="warn"),
         Q.Check("kit_known", Q.not_in("test_kit", KITS)),
         Q.Check("some_result", Q.no_result_text()),
-        Q.Check("sample_unique", query=Q.repeated_values(rows, "sample_id")),
-        Q.Check("volume", query=Q.fewer_rows_than(rows, MIN_TESTS)),
+        Q.Check("sample_unique", keys=Q.Keys(("sample_id",), unique=True)),
+        Q.Check("volume", total=(F.count(F.lit(1)) < MIN_TESTS).cast("long")),
     ]
 
 
@@ -276,6 +276,69 @@ def _(t: Tables):
     return Q.run_checks(*suite(t))
 
 
+@query(
+    "Q24_suite_of_keys",
+    """SELECT "check", failures, CASE WHEN failures > 0 THEN 'error' ELSE 'pass' END AS status FROM (
+        SELECT 'line_unique' AS "check", count(*) AS failures FROM
+            (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
+        UNION ALL SELECT 'order_unique', count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1)
+        UNION ALL SELECT 'order_share', CASE WHEN count(DISTINCT l_orderkey) / count(*) NOT BETWEEN 0.9 AND 1 THEN 1 ELSE 0 END FROM lineitem
+        UNION ALL SELECT 'line_share', CASE WHEN (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) / count(*)
+            NOT BETWEEN 0.9 AND 1 THEN 1 ELSE 0 END FROM lineitem
+        UNION ALL SELECT 'few_repeats', CASE WHEN count(*) > 100 THEN 1 ELSE 0 END FROM
+            (SELECT 1 FROM lineitem GROUP BY l_partkey, l_suppkey HAVING count(*) > 1)
+        UNION ALL SELECT 'quantity', count(*) FROM lineitem WHERE l_quantity > 45)""",
+)
+def _(t: Tables):
+    """Five checks of keys and one of rows: two scans and one shuffle of fingerprints."""
+    return Q.run_checks(
+        t.lineitem,
+        [
+            Q.Check("line_unique", keys=Q.Keys(("l_orderkey", "l_linenumber"), unique=True)),
+            Q.Check("order_unique", keys=Q.Keys(("l_orderkey",), unique=True)),
+            Q.Check("order_share", keys=Q.Keys(("l_orderkey",), share=(0.9, 1))),
+            Q.Check("line_share", keys=Q.Keys(("l_orderkey", "l_linenumber"), share=(0.9, 1))),
+            Q.Check("few_repeats", keys=Q.Keys(("l_partkey", "l_suppkey"), at_most=100)),
+            Q.Check("quantity", Q.outside("l_quantity", None, 45)),
+        ],
+    )
+
+
+@query(
+    "Q12_some_result_of_two",
+    sql("SELECT sample_id, analyte, result FROM coded WHERE denv_test_result = -1 AND chikv_test_result = -1", "coded"),
+)
+def _(t: Tables):
+    """Lines that tell nothing of two pathogens: the check on a narrower list of results."""
+    return Q.failing(coded_lines(t), Q.none_of(["denv_test_result", "chikv_test_result"], -1)).select("sample_id", "analyte", "result")
+
+
+@query(
+    "Q21_fan_out",
+    """SELECT count(*)::BIGINT AS rows_a, (SELECT count(*) FROM orders)::BIGINT AS rows_b FROM orders LEFT JOIN
+        (SELECT c_custkey FROM customer UNION ALL SELECT c_custkey FROM customer WHERE c_custkey % 7 = 0) ON o_custkey = c_custkey""",
+)
+def _(t: Tables):
+    """A lookup whose key repeats makes rows: the check tells both counts."""
+    keys = t.customer.select("c_custkey")
+    looked_up = t.orders.join(keys.union(keys.filter("c_custkey % 7 = 0")), F.col("o_custkey") == F.col("c_custkey"), "left")
+    return Q.unequal_counts(looked_up, t.orders)
+
+
+@query(
+    "Q25_lines_lost_by_a_stage",
+    sql(
+        """SELECT count(*)::BIGINT AS rows_a, (SELECT count(*) FROM (SELECT DISTINCT sample_id, analyte FROM coded))::BIGINT AS rows_b
+        FROM coded""",
+        "coded",
+    ),
+)
+def _(t: Tables):
+    """A stage that takes repeated lines out is told by both counts."""
+    lines = coded_lines(t).select("sample_id", "analyte", *vocab.RESULT_COLUMNS)
+    return Q.unequal_counts(lines, W.dedupe(lines, ["sample_id", "analyte"]))
+
+
 @query("Q25_stage_line_counts", sql("SELECT CAST(1 AS BIGINT) AS rows_a, CAST(1 AS BIGINT) AS rows_b FROM lines WHERE FALSE", "lines"))
 def _(t: Tables):
     lines = coded_lines(t).select("sample_id", *vocab.RESULT_COLUMNS)

@@ -5,9 +5,11 @@ from __future__ import annotations
 import io
 import zipfile
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from xml.sax.saxutils import escape
 
 import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -23,7 +25,7 @@ from labwatch.catalog.bridge import (
 )
 from labwatch.catalog.feed_queries import FILE, feed_sql, raw_feed
 from labwatch.catalog.function_queries import DATE_TEXT
-from labwatch.catalog.summary_queries import on_long, week_country
+from labwatch.catalog.summary_queries import on_long, sizes_sql, week_country, whole_release
 from labwatch.feeds.labs import ESTIMATE_KEYS, FLEURY
 from labwatch.feeds.runner import run_feed, stamp
 from labwatch.functions.dates import try_date
@@ -303,6 +305,38 @@ def _(t: Tables):
     )
 
 
+def read_back(spark, done: list[tuple[str, str, int]]):
+    """``name, rows`` of exported tables, from their files."""
+    parts = [
+        spark.read.option("header", "true").csv(path).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("name"), "rows")
+        for name, path, _ in done
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("S20_export_all_tables", sizes_sql())
+def _(t: Tables):
+    """Every exported summary, written and read again: its name and number of rows."""
+    done = sinks.export_tables(whole_release(t), scratch_dir(t.spark, "all-matrices"))
+    return read_back(t.spark, done)
+
+
+@query(
+    "S23_publish_all_tables",
+    f"""WITH sizes AS ({sizes_sql()}) SELECT 'current' AS place, * FROM sizes
+        UNION ALL SELECT 'public_current', * FROM sizes WHERE regexp_matches(name, '^[0-9]')""",
+)
+def _(t: Tables):
+    """A whole release: what stands in the two current folders."""
+    base = scratch_dir(t.spark, "publish-all")
+    done = sinks.publish(t.spark, whole_release(t), f"{base}/in", f"{base}/public", "2026-12-31_10h00_Arbo_SE51.2026_V1")
+    places = [
+        read_back(t.spark, done[place]).select(F.lit(place).alias("place"), "name", "rows")
+        for place in ("current", "public_current")
+    ]
+    return places[0].unionByName(places[1])
+
+
 CITY = ReportCity(code=3300071, name="Building Nation 7", state_code="N7")
 REPORT = ["date_testing", "test_kit", "age_group", "location", "state_code", "location_ibge_code", "pathogen", "result", "count"]
 
@@ -534,6 +568,39 @@ def _(t: Tables):
     return snapshots.read_snapshot(t.spark, f"{base}/table").select(*columns, "created_at")
 
 
+LATE_DAYS = 20
+DELIVERED = ["event_id", "event_type", "value", "day"]
+
+
+@query(
+    "X04_rows_kept_aside",
+    f"""WITH delivered AS (SELECT event_id, event_type, value, CAST(ts AS DATE) AS day, CAST(event_id % 3 AS INTEGER) AS batch FROM events),
+        marked AS (SELECT *, CASE WHEN value < 5 THEN 'small' WHEN event_type IS NULL OR event_type = 'error' THEN 'type' END AS bad FROM delivered
+            WHERE batch = 0 OR day < (SELECT max(CAST(ts AS DATE)) - 10 FROM events) OR event_id % 2 = 0),
+        first AS (SELECT max(day) AS newest FROM marked WHERE batch = 0 AND bad IS NULL),
+        second AS (SELECT greatest(newest, (SELECT max(m.day) FROM marked m WHERE m.batch = 1 AND m.bad IS NULL AND m.day >= newest - {LATE_DAYS})) AS newest FROM first),
+        told AS (SELECT batch, coalesce(bad, CASE WHEN batch = 1 AND day < (SELECT newest FROM first) - {LATE_DAYS} THEN 'late'
+            WHEN batch = 2 AND day < (SELECT newest FROM second) - {LATE_DAYS} THEN 'late' ELSE 'merged' END) AS reason FROM marked)
+        SELECT batch, reason, count(*) AS n FROM told GROUP BY 1, 2""",
+)
+def _(t: Tables):
+    """Three deliveries: rows that fail a condition or come late are kept with reason and batch, all others merged."""
+    base = scratch_dir(t.spark, "aside")
+    table, kept = f"{base}/table", f"{base}/aside"
+    last = t.events.agg(F.max(F.col("ts").cast("date"))).scalar()
+    rows = t.events.select("event_id", "event_type", "value", F.col("ts").cast("date").alias("day"))
+    rows = rows.filter((F.col("event_id") % 3 == 0) | (F.col("day") < F.date_sub(last, 10)) | (F.col("event_id") % 2 == 0))
+    bad = {"small": F.col("value") < 5, "type": F.col("event_type").isNull() | (F.col("event_type") == "error")}
+    step = ingest.sorted_step(table, ["event_id"], "events", kept, lambda _: bad, "day", LATE_DAYS)
+    for number in range(3):
+        step(rows.filter(F.col("event_id") % 3 == number), number)
+    merged = snapshots.read_snapshot(t.spark, table).select(
+        (F.col("event_id") % 3).cast("int").alias("batch"), F.lit("merged").alias("reason")
+    )
+    held = ingest.read_aside(t.spark, kept).select("batch", "reason")
+    return merged.unionByName(held).groupBy("batch", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("X03_load_then_two_streams", f"SELECT {', '.join(EVENT)} FROM events")
 def _(t: Tables):
     """A first load, then two streams with checkpoints of their own, all into one table; then compaction."""

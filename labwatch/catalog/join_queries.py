@@ -15,7 +15,7 @@ from labwatch.catalog.bridge import (
     summary,
 )
 from labwatch.functions.dates import epi_calendar
-from labwatch.operators.joins import band_join, dense_grid, interval_join, join_back, pattern_join
+from labwatch.operators.joins import band_join, covering_join, dense_grid, interval_join, join_back, pattern_join
 from labwatch.operators.merge import upsert
 from labwatch.operators.shaping import unpivot_results
 from labwatch.plans.combine import add_geography, combine_feeds, fix_place
@@ -75,6 +75,19 @@ def _(t: Tables):
     return band_join(t.orders, bands, "o_totalprice", "low", "high", "inner", width=10_000).select("o_orderkey", "n_name")
 
 
+@query(
+    "J02_bands_of_any_width",
+    """SELECT s_suppkey, count(o_orderkey) AS n, count(DISTINCT o_custkey) AS customers FROM supplier
+        JOIN orders ON o_totalprice BETWEEN s_suppkey * 700 AND s_suppkey * 700 + CAST(10 ** (s_suppkey % 7) AS BIGINT) GROUP BY 1""",
+)
+def _(t: Tables):
+    """Bands of width 1 to 1,000,000 that overlap: no band is spread over buckets of its width."""
+    low = F.col("s_suppkey") * 700
+    bands = t.supplier.select("s_suppkey", low.alias("low"), (low + F.pow(F.lit(10), F.col("s_suppkey") % 7).cast("long")).alias("high"))
+    held = covering_join(t.orders.select("o_orderkey", "o_custkey", "o_totalprice"), bands, "o_totalprice", "low", "high", "inner")
+    return held.groupBy("s_suppkey").agg(rows_n(), F.countDistinct("o_custkey").alias("customers"))
+
+
 @query(
     "J03_interval_join",
     sql(
@@ -112,6 +125,25 @@ def _(t: Tables):
     return pattern_join(t.customer, patterns, {"c_name": "pattern"}, ignore_case=False).select("c_custkey", "n_name")
 
 
+@query(
+    "J04_inner_wildcards",
+    """SELECT o_orderkey, count(*) AS n, min(c_custkey) AS first FROM
+        (SELECT o_orderkey, substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 12) AS code FROM orders) JOIN
+        (SELECT c_custkey, '%' || substr(md5(CAST(c_custkey AS VARCHAR)), 1, 2 + CAST(c_custkey % 4 AS INTEGER)) || '%'
+            || CASE WHEN c_custkey % 5 = 0 THEN '_' ELSE '' END AS pattern FROM customer)
+        ON code LIKE pattern GROUP BY 1""",
+)
+def _(t: Tables):
+    """As many patterns as customers, all with a wildcard first; the shortest have no run of three letters."""
+    codes = t.orders.select("o_orderkey", F.substring(F.md5(F.col("o_orderkey").cast("string").cast("binary")), 1, 12).alias("code"))
+    key = F.md5(F.col("c_custkey").cast("string").cast("binary"))
+    inner = F.substring(key, F.lit(1), (2 + F.col("c_custkey") % 4).cast("int"))
+    tail = F.when(F.col("c_custkey") % 5 == 0, "_").otherwise("")
+    patterns = t.customer.select("c_custkey", F.concat(F.lit("%"), inner, F.lit("%"), tail).alias("pattern"))
+    found = pattern_join(codes, patterns, {"code": "pattern"}, "inner", ignore_case=False)
+    return found.groupBy("o_orderkey").agg(rows_n(), F.min("c_custkey").alias("first"))
+
+
 @query("J05_either_key", sql("SELECT sample_id, location, state FROM placed", "placed"))
 def _(t: Tables):
     dims = dimensions(t)

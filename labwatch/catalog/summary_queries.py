@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import replace
+
+from pyspark.sql import DataFrame
+
 from labwatch.catalog.aggregate_queries import melted
-from labwatch.catalog.base import Tables, query
+from labwatch.catalog.base import ORACLES, Tables, query
 from labwatch.catalog.bridge import AS_OF, MIN_TESTS, raw_estimates, sql, summary
 from labwatch.plans.combine import estimates_by_week
-from labwatch.plans.matrices import TABLES, WEEKS, Summary, summary_from_cube
+from labwatch.plans.matrices import TABLES, WEEKS, Summary, summary_cube, summary_from_cube
+from labwatch.session import stored
 from labwatch.sources.readers import cast_estimates
 
 KITS = {"denv": "('arbo_pcr_3', 'ns1_antigen', 'denv_pcr')", "chikv": "('arbo_pcr_3', 'chikv_pcr', 'igm_serum')"}
@@ -283,6 +289,8 @@ PLAIN = [
     ("M26c_two_rates_label_short", "26_DENV_CHIKV_line_posrate_direct_week_country_years_c", two_label(70)),
     ("MALL_counts_by_lab", "matrix_ALL_count_by_labid_testkit_pathogen_result", BY_LAB),
 ]
+# Summary table -> the entry that builds it.
+ENTRY_OF = {table: name for name, table, _ in PLAIN}
 for _name, _table, _body in PLAIN:
 
     @query(_name, on_long(_body))
@@ -293,6 +301,7 @@ for _name, _table, _body in PLAIN:
 for _id, _pathogen, _prefix in (("M11", "denv", "11_DENV"), ("M12", "chikv", "12_CHIKV")):
     for _kind, _letter, _body in (("cities", "c", city_map(_pathogen)), ("states", "s", state_map(_pathogen))):
         for _form, _statement in (("h", _body), ("r", last(_body))):
+            ENTRY_OF[f"{_prefix}_map_pos_direct_{_kind}_{_form}"] = f"{_id}{_letter}{_form}_{_kind}_map"
 
             @query(f"{_id}{_letter}{_form}_{_kind}_map", on_long(_statement, "macros"))
             def _(t: Tables, table=f"{_prefix}_map_pos_direct_{_kind}_{_form}"):
@@ -313,6 +322,7 @@ _SUBSETS = {
         WHERE "Completude final" IN ('Apenas 12 meses', 'Alta qualidade')""",
 }
 for _form, _statement in _SUBSETS.items():
+    ENTRY_OF[f"21_DENV_heat_posrate_direct_weeks_states{_form}"] = f"M21{_form.strip('_')}_state_quality"
 
     @query(f"M21{_form.strip('_')}_state_quality", on_long(_statement, cells=state_cells()))
     def _(t: Tables, table=f"21_DENV_heat_posrate_direct_weeks_states{_form}"):
@@ -344,3 +354,35 @@ def _(t: Tables):
 @query("MCUBE_quarter_from_cube", on_long(quarter_grid(OTHERS, OTHER_NAMES)))
 def _(t: Tables):
     return TABLES["20_ARBO_barH_pos_agegroups_quarter_country"].build(summary_from_cube(summary(t)))
+
+
+# Tables with a column per state or year come from their entries one row per cell.
+MELTED = {
+    "04_DENV_line_posrate_direct_weeks_states": "M04_week_states",
+    "22_DENV_line_posrate_bar_pos_direct_week_country_infodengue": "M22_against_estimates",
+    "23_CHIKV_line_posrate_bar_pos_direct_week_country_infodengue": "M23_against_estimates",
+}
+
+
+def whole_release(t: Tables) -> dict[str, Callable[[], DataFrame]]:
+    """All exported tables in order, from one stored cube."""
+    whole = _with_estimates(t)
+    cube = stored(summary_cube(whole.rows), "cube")
+    base = replace(whole, rows=cube, weight="n")
+    states = replace(base, min_tests=STATE_MIN, state_fill=STATE_FILL)
+    quality = replace(base, min_tests=STATE_MIN, history_fill=YEAR_FILL, year_fill=YEAR_FILL)
+    of = {n: states for n in MELTED if n.startswith("04")} | {n: quality for n in TABLES if n.startswith("21_")}
+    return {n: (lambda n=n: TABLES[n].ordered(of.get(n, base))) for n, table in TABLES.items() if table.exported}
+
+
+def sizes_sql() -> str:
+    """``name, rows`` of every exported table."""
+    parts = []
+    for name, table in TABLES.items():
+        if not table.exported:
+            continue
+        count = "count(*)"
+        if name in MELTED:
+            count = f'count(DISTINCT "{WEEKS}")'
+        parts.append(f"SELECT '{name}' AS name, {count} AS rows FROM ({ORACLES[MELTED.get(name) or ENTRY_OF[name]]})")
+    return " UNION ALL ".join(parts)

@@ -16,7 +16,8 @@ from labwatch.catalog.bridge import (
 )
 from labwatch.functions.text import sample_key
 from labwatch.operators import windows as W
-from labwatch.operators.merge import release_diff, shared_ids, strip_zero_prefix, union_feeds
+from labwatch.operators.merge import release_diff, shared_ids, split_feeds, strip_zero_prefix, union_feeds
+from labwatch.session import scratch_dir
 
 LINE_KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 ALL = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
@@ -113,6 +114,29 @@ def _(t: Tables):
     return W.running_total(daily, ["c_nationkey"], "day", "n", "total")
 
 
+@query(
+    "W07_national_total",
+    """SELECT day, n, CAST(sum(n) OVER (ORDER BY day) AS BIGINT) AS total FROM
+        (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY 1)""",
+)
+def _(t: Tables):
+    """One entity for the whole country: ranges of days are summed apart, then their totals."""
+    daily = t.orders.groupBy(F.col("o_orderdate").cast("date").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    return W.running_total_by_range(daily, [], "day", "n", "total")
+
+
+@query(
+    "W07_line_total",
+    """SELECT l_orderkey, l_linenumber, CAST(sum(CAST(l_quantity AS BIGINT)) OVER (PARTITION BY l_returnflag
+        ORDER BY l_orderkey) AS BIGINT) AS total FROM lineitem""",
+)
+def _(t: Tables):
+    """Three entities hold all lines; rows of one order share a total."""
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", F.col("l_quantity").cast("long").alias("q"))
+    out = W.running_total_by_range(lines, ["l_returnflag"], "l_orderkey", "q", "total")
+    return out.select("l_orderkey", "l_linenumber", "total")
+
+
 MONTHLY = "SELECT strftime(o_orderdate, '%Y-%m') AS month, o_orderpriority, count(*) AS n FROM orders GROUP BY 1, 2"
 
 
@@ -154,6 +178,28 @@ def _(t: Tables):
     return monthly.orderBy(F.col("month").asc(), F.col("o_orderpriority").desc())
 
 
+@query(
+    "T01_order_of_a_written_table",
+    f"WITH m AS ({MONTHLY}) SELECT month, o_orderpriority, n, row_number() OVER (ORDER BY month, o_orderpriority DESC) AS place FROM m",
+)
+def _(t: Tables):
+    """Where each row stands in the table's files, one after another."""
+    path = scratch_dir(t.spark, "ordered")
+    month = F.date_format("o_orderdate", "yyyy-MM").alias("month")
+    monthly = t.orders.groupBy(month, "o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    monthly.orderBy(F.col("month").asc(), F.col("o_orderpriority").desc()).write.parquet(path)
+    written = t.spark.read.parquet(path).select(
+        "*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("line")
+    )
+    sizes = written.groupBy("file").agg(F.count(F.lit(1)).alias("lines")).collect()  # a row per file
+    before, starts = 0, []
+    for file, lines in sorted(sizes):
+        starts.append((file, before))
+        before += lines
+    first = t.spark.createDataFrame(starts, "file string, before long")
+    return written.join(first, "file").select("month", "o_orderpriority", "n", (F.col("before") + F.col("line") + 1).alias("place"))
+
+
 @query(
     "T02_recent_days",
     "SELECT * FROM orders WHERE CAST(o_orderdate AS DATE) > (SELECT max(CAST(o_orderdate AS DATE)) FROM orders) - 70",
@@ -171,6 +217,16 @@ FEED = ["test_id", "exame", "analyte", "result", "date_testing"]
     sql(" UNION ".join(f"SELECT 'L{i}' AS lab_id, {', '.join(FEED)} FROM lines WHERE lab_id = 'LAB{i}'" for i in range(8)), "lines"),
 )
 def _(t: Tables):
+    lines = lab_lines(t)
+    return split_feeds(lines, {f"L{i}": F.col("lab_id") == f"LAB{i}" for i in range(8)}, FEED)
+
+
+@query(
+    "T03_union_of_feeds",
+    sql(" UNION ".join(f"SELECT 'L{i}' AS lab_id, {', '.join(FEED)} FROM lines WHERE lab_id = 'LAB{i}'" for i in range(8)), "lines"),
+)
+def _(t: Tables):
+    """The same for feeds with plans of their own."""
     lines = lab_lines(t)
     return union_feeds({f"L{i}": lines.filter(F.col("lab_id") == f"LAB{i}") for i in range(8)}, FEED)
 

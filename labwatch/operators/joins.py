@@ -89,6 +89,67 @@ def band_join(
     )
 
 
+def dyadic_nodes(low: Column, high: Column) -> Column:
+    """The fewest aligned ranges ``(level, number)`` of ``2 ** level`` integers that make up ``low`` to ``high``.
+
+    There are at most two per level. From level to level the ends move inwards past ranges that stand alone.
+    """
+    def node(level: Column, number: Column) -> Column:
+        return F.struct(level.cast("int").alias("level"), number.alias("number"))
+
+    def step(state: Column, level: Column) -> Column:
+        first, last = state["first"], state["last"]
+        odd = (first <= last) & (F.pmod(first, F.lit(2)) == 1)
+        even = (first <= last) & (F.pmod(last, F.lit(2)) == 0)
+        alone = F.array_compact(F.array(F.when(odd, node(level, first)), F.when(even, node(level, last))))
+        # Ends that have passed each other stay as they are, else shifting would bring them together again.
+        open_ = first <= last
+        return F.struct(
+            F.when(open_, F.shiftright(F.when(odd, first + 1).otherwise(first), 1)).otherwise(first).alias("first"),
+            F.when(open_, F.shiftright(F.when(even, last - 1).otherwise(last), 1)).otherwise(last).alias("last"),
+            F.concat(state["nodes"], alone).alias("nodes"),
+        )
+
+    start = F.struct(
+        low.cast("long").alias("first"),
+        high.cast("long").alias("last"),
+        F.array().cast("array<struct<level: int, number: bigint>>").alias("nodes"),
+    )
+    return F.aggregate(F.sequence(F.lit(0), F.lit(63)), start, step, lambda state: state["nodes"])
+
+
+def covering_join(
+    df: DataFrame, dim: DataFrame, value: str, low: str, high: str, how: str = "left"
+) -> DataFrame:
+    """Join a number to the inclusive ranges of any width that hold it: ``band_join`` without buckets.
+
+    A range is made up of at most two aligned ranges per power of two, and a number lies in one aligned range of each
+    power that occurs, so both sides meet by an equi-join on power and number; each match comes once. The cost is the
+    logarithm of the widths, not the widths. Ranges that end before they begin or have a NULL end hold nothing; ends and
+    values beyond 64-bit integers fail. ``low`` and ``high`` of ``dim`` are kept.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError("how must be left or inner")
+    usable = dim.where(F.col(low) <= F.col(high))
+    nodes = usable.select("*", F.inline(dyadic_nodes(F.floor(low), F.floor(high))).alias("__level", "__number"))
+    # At most one value per power of two.
+    powers = nodes.agg(F.collect_set("__level")).first()[0]
+    whole = F.floor(F.col("__value")).cast("long")
+    pick = F.array(*[F.struct(F.lit(p).alias("__level"), F.shiftright(whole, p).alias("__number")) for p in sorted(powers)])
+    if not powers:
+        pick = F.array().cast("array<struct<__level: int, __number: bigint>>")
+    distinct = df.select(F.col(value).alias("__value")).where("__value is not null").distinct()
+    spread = distinct.select("__value", F.inline(pick))
+    condition = (F.col("p.__level") == F.col("n.__level")) & (F.col("p.__number") == F.col("n.__number"))
+    held = F.col("p.__value").between(F.col(f"n.{low}"), F.col(f"n.{high}"))
+    found = spread.alias("p").join(nodes.alias("n"), condition & held).select("p.__value", *[F.col(f"n.{c}") for c in dim.columns])
+    return (
+        df.alias("f")
+        .join(found.alias("m"), F.col(f"f.{value}") == F.col("m.__value"), how)
+        .select(*[F.col(f"f.{c}") for c in df.columns], *[F.col(f"m.{c}") for c in dim.columns])
+    )
+
+
 def interval_join(
     df: DataFrame,
     dim: DataFrame,
@@ -110,29 +171,69 @@ def literal_prefix(pattern: Column) -> Column:
     return F.regexp_extract(pattern, r"^[^%_\\]*", 0)
 
 
+GRAM = 3
+
+
+def literal_grams(pattern: Column) -> Column:
+    """Runs of three letters of the longest stretch without wildcards; empty where none is so long."""
+    parts = F.split(pattern, r"[%_\\]")
+    longest = F.aggregate(parts, F.lit(""), lambda best, p: F.when(F.length(p) > F.length(best), p).otherwise(best))
+    return grams_of(longest)
+
+
+def grams_of(text: Column) -> Column:
+    places = F.sequence(F.lit(1), F.greatest(F.length(text) - (GRAM - 1), F.lit(1)))
+    runs = F.array_distinct(F.transform(places, lambda at: F.substring(text, at, F.lit(GRAM))))
+    return F.when(F.length(text) >= GRAM, runs).otherwise(F.array().cast("array<string>"))
+
+
+def _by_grams(values: DataFrame, text: Column, patterns: DataFrame) -> DataFrame:
+    """Values and patterns that share the pattern's rarest run of three letters among the values.
+
+    The values are indexed by their runs; a pattern with a run that no value has meets none.
+    """
+    index = values.select("*", F.explode(grams_of(text)).alias("__gram"))
+    often = index.groupBy(F.col("__gram").alias("__of")).agg(F.count(F.lit(1)).alias("__often"))
+    numbered = patterns.withColumn("__pattern", F.monotonically_increasing_id())
+    grams = numbered.select("__pattern", F.explode("__grams").alias("__gram"))
+    weighed = grams.join(often, F.col("__gram") == F.col("__of"), "left").groupBy("__pattern").agg(
+        F.min(F.struct(F.coalesce("__often", F.lit(0)).alias("n"), "__gram")).alias("__rare")
+    )
+    rare = weighed.where("__rare.n > 0").select(F.col("__pattern").alias("__p"), F.col("__rare.__gram").alias("__rarest"))
+    led = numbered.join(rare, F.col("__pattern") == F.col("__p")).drop("__pattern", "__p")
+    return index.join(led, F.col("__gram") == F.col("__rarest")).drop("__gram", "__rarest")
+
+
 def pattern_join(
     df: DataFrame, dim: DataFrame, pairs: Mapping[str, str], how: str = "left", ignore_case: bool = True
 ) -> DataFrame:
     """``df.value [I]LIKE dim.pattern`` for every pair ``{value: pattern}``.
 
     The distinct values meet the patterns by equi-joins, on the first pair's literal prefix in each of the prefix
-    lengths that occur, and LIKE decides; the matches then join back on the values. So the work follows the distinct
-    values, and only patterns that begin with a wildcard meet all of them.
+    lengths that occur, and LIKE decides; the matches then join back on the values. Patterns that begin with a wildcard
+    meet the values that hold the rarest three letters of their longest literal stretch; only those without such a
+    stretch meet all distinct values.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be left or inner")
     fold: Callable[[Column], Column] = F.upper if ignore_case else (lambda c: c)
     first = next(iter(pairs))
-    patterns = dim.withColumn("__prefix", literal_prefix(fold(F.col(pairs[first]))))
+    marked = dim.withColumns(
+        {"__prefix": literal_prefix(fold(F.col(pairs[first]))), "__grams": literal_grams(fold(F.col(pairs[first])))}
+    )
+    by_grams = (F.length("__prefix") == 0) & (F.size("__grams") > 0)
+    patterns = marked.where(~by_grams).drop("__grams")
     lengths = patterns.where("__prefix is not null").agg(F.collect_set(F.length("__prefix"))).scalar()
     values = df.select(*[F.col(v).alias(f"__{v}") for v in pairs]).distinct().where(F.col(f"__{first}").isNotNull())
     text = fold(F.col(f"__{first}"))
     spread = values.select("*", text.alias("__text")).select("*", F.explode(lengths).alias("__length"))
     keyed = spread.where("length(__text) >= __length").withColumn("__start", F.expr("substring(__text, 1, __length)"))
     met = keyed.join(patterns, F.col("__start") == F.col("__prefix"))
+    columns = [*[f"__{v}" for v in pairs], *dim.columns]
+    met = met.select(*columns).unionByName(_by_grams(values, text, marked.where(by_grams)).select(*columns))
     for value, pattern in pairs.items():
         met = met.where(F.call_function("like", fold(F.col(f"__{value}")), fold(F.col(pattern))))
-    matches = met.select(*[f"__{v}" for v in pairs], *dim.columns)
+    matches = met.select(*columns)
     condition = F.lit(True)
     for value in pairs:
         condition = condition & (F.col(f"f.{value}") == F.col(f"m.__{value}"))

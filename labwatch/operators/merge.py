@@ -20,6 +20,16 @@ def union_feeds(feeds: dict[str, DataFrame], columns: list[str], distinct: bool
     return out.distinct() if distinct else out
 
 
+def split_feeds(df: DataFrame, feeds: dict[str, Column], columns: list[str], distinct: bool = True) -> DataFrame:
+    """As ``union_feeds`` where every feed is a condition on one table: one scan, whatever their number.
+
+    A row comes once for each condition it meets. ``lab_id`` of the table is replaced.
+    """
+    labs = F.array_compact(F.array(*[F.when(condition, F.lit(lab)) for lab, condition in feeds.items()]))
+    tagged = df.withColumn("__labs", labs).select(F.explode("__labs").alias("lab_id"), *columns)
+    return tagged.distinct() if distinct else tagged
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,

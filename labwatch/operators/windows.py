@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from labwatch import vocab
-from labwatch.operators.joins import HOT_FLOOR, join_back
+from labwatch.operators.joins import HOT_FLOOR, join_back, same_key
 from labwatch.operators.shaping import result_text
 
 
@@ -104,6 +106,46 @@ def running_total(df: DataFrame, partition: list[str], order: str, value: str, n
     return df.withColumn(name, F.sum(value).over(window))
 
 
+def range_bounds(df: DataFrame, order: str, ranges: int) -> list:
+    """Values of ``order`` that cut its rows into about ``ranges`` equal ranges, fewer than that many."""
+    shares = [i / ranges for i in range(1, ranges)]
+    bounds = df.agg(F.percentile_approx(order, shares, F.lit(100 * ranges)).alias("bounds")).first()["bounds"]
+    return sorted(set(bounds or []))
+
+
+def range_of(order: str, bounds: list) -> Column:
+    """Number of the range a value lies in; rows of one value share a range, NULL lies in the first."""
+    below = [F.coalesce((F.col(order) > F.lit(b)).cast("int"), F.lit(0)) for b in bounds]
+    return reduce(lambda x, y: x + y, below, F.lit(0))
+
+
+def running_total_by_range(
+    df: DataFrame, partition: list[str], order: str, value: str, name: str, ranges: int = 64
+) -> DataFrame:
+    """As ``running_total`` for entities of any size: prefix sums in two levels.
+
+    ``order`` is cut into ranges of about equal numbers of rows. Each range of an entity is summed up in a window of its
+    own; the ranges' totals, at most ``ranges`` per entity, are summed up in turn and carried to their rows.
+    """
+    ranged = df.withColumn("__range", range_of(order, range_bounds(df, order, ranges)))
+    carried_over = W.partitionBy(*partition).orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+    before = (
+        ranged.groupBy(*partition, "__range")
+        .agg(F.sum(value).alias("__sum"), F.count(value).alias("__seen"))
+        .withColumns({"__before": F.sum("__sum").over(carried_over), "__any": F.sum("__seen").over(carried_over)})
+        .drop("__sum", "__seen")
+    )
+    keys = [*partition, "__range"]
+    inside = W.partitionBy(*keys).orderBy(order).rangeBetween(W.unboundedPreceding, W.currentRow)
+    summed = ranged.withColumns({"__total": F.sum(value).over(inside), "__own": F.count(value).over(inside)})
+    joined = summed.alias("l").join(before.alias("s"), same_key(summed, before, keys))
+    zero = F.lit(0)
+    total = F.coalesce("l.__total", zero) + F.coalesce("s.__before", zero)
+    # A sum over nothing but NULL is NULL.
+    known = F.col("l.__own") + F.coalesce("s.__any", zero) > 0
+    return joined.select(*[F.col(f"l.{c}") for c in df.columns], F.when(known, total).alias(name))
+
+
 def recent_days(df: DataFrame, date: str, days: int) -> DataFrame:
     """Rows strictly later than the newest date minus ``days``."""
     newest = df.agg(F.max(date)).scalar()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labwatch import vocab
@@ -20,18 +20,20 @@ from labwatch.schema import LAB_COLUMNS
 def guarded(df: DataFrame, keys: list[str], name: str, literal: bool) -> DataFrame:
     """``df``, failing where it is used if a key repeats or, with ``literal``, holds a wildcard.
 
-    All rows are checked, in the plan that reads them; rows whose whole key is NULL match nothing and may repeat.
+    All rows are checked, in the plan that reads them: one aggregate that a plan runs once, however often it reads the
+    table, and whose answer its rows take along; they themselves are not shuffled for it. Rows whose whole key is NULL
+    match nothing and may repeat.
     """
-    present = F.coalesce(*[F.col(k).cast("string") for k in keys]).isNotNull()
-    repeats = present & (F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1)
     wild = reduce(lambda x, y: x | y, [F.coalesce(F.col(k).cast("string").rlike(WILDCARD), F.lit(False)) for k in keys])
-    fault = F.when(repeats, F.lit(f"{name}: the key {keys} repeats"))
+    present = F.coalesce(*[F.col(k).cast("string") for k in keys]).isNotNull()
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    fault = F.when(F.bool_or(present & (F.col("__n") > 1)), F.lit(f"{name}: the key {keys} repeats"))
     if literal:
-        fault = fault.when(wild, F.lit(f"{name} holds wildcards; place repair takes literal names"))
+        fault = fault.when(F.bool_or(wild), F.lit(f"{name} holds wildcards; place repair takes literal names"))
+    found = sizes.agg(fault.alias("__fault")).scalar()
     first, dtype = keys[0], df.schema[keys[0]].dataType
-    checked = df.withColumn("__fault", fault)
-    value = F.when(F.col("__fault").isNotNull(), F.raise_error(F.col("__fault")).cast(dtype)).otherwise(F.col(first))
-    return checked.withColumn(first, value).select(*df.columns)
+    value = F.when(found.isNotNull(), F.raise_error(found).cast(dtype)).otherwise(F.col(first))
+    return df.withColumn(first, value)
 
 
 @dataclass(frozen=True)

@@ -63,8 +63,13 @@ def unknown_state(c: str) -> Column:
     return not_in(c, [*state_names(), vocab.MISSING])
 
 
+def none_of(columns: Iterable[str], value) -> Column:
+    """Every column holds ``value``, the mark of an untested pathogen."""
+    return reduce(lambda a, b: a & b, [F.col(c) == F.lit(value) for c in columns])
+
+
 def all_results(value) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(c) == F.lit(value) for c in vocab.RESULT_COLUMNS])
+    return none_of(vocab.RESULT_COLUMNS, value)
 
 
 def no_result_coded() -> Column:
@@ -210,14 +215,44 @@ def group_sizes_other_than(df: DataFrame, key: str, allowed: Iterable[int]) -> D
 # --- suites ---------------------------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class Keys:
+    """A check of how often the sets of some columns occur, failing in one of three ways."""
+
+    columns: tuple[str, ...]
+    # Every set with a value that occurs more than once is a failure (as ``repeated_values``),
+    unique: bool = False
+    # one failure where the share of distinct sets lies outside (as ``distinct_share_outside``),
+    share: tuple[float, float] | None = None
+    # or one where more sets than this occur more than once (as ``too_many_repeats``).
+    at_most: int | None = None
+
+    def failures(self) -> Column:
+        sets, rows = F.col("sets"), F.col("rows")
+        if self.unique:
+            return F.col("repeated_values")
+        if self.share is not None:
+            return outside_share(sets / rows, *self.share)
+        return (F.col("repeated") > self.at_most).cast("long")
+
+
+def outside_share(ratio: Column, low: float, high: float) -> Column:
+    return ((ratio < low) | (ratio > high)).cast("long")
+
+
 @dataclass(frozen=True)
 class Check:
-    """A row condition (all of a table's run in one pass) or a query with its own plan."""
+    """What is counted as a failure; conditions and totals of a table run in one pass, and all keys in another."""
 
     name: str
+    # A row fails that satisfies it.
     condition: Column | None = None
+    # A query with its own plan, for what needs other tables.
     query: DataFrame | None = None
     where: str | Column | None = None
+    # An aggregate over the table that gives the number of failures.
+    total: Column | None = None
+    keys: Keys | None = None
     severity: str = "error"
     warn_above: int = 0
     error_above: int = 0
@@ -232,19 +267,56 @@ REPORT = T.StructType(
 )
 
 
+def key_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """``check, failures`` of all key checks: one scan and one shuffle of 128-bit fingerprints, however many they are.
+
+    Tasks count fingerprints before they are shuffled, so a set that fills the table is a row per task.
+    """
+    entries = []
+    for check in checks:
+        parts = [x for c in check.keys.columns for x in (F.col(c), F.col(c).isNull())]
+        known = F.coalesce(*[F.col(c).cast("string") for c in check.keys.columns]).isNotNull()
+        prints = F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit(check.name), *parts).alias("b")
+        entries.append(F.struct(F.lit(check.name).alias("check"), *prints, known.alias("known")))
+    sets = df.select(F.inline(F.array(*entries))).groupBy("check", "a", "b", "known").agg(F.count(F.lit(1)).alias("n"))
+    counted = sets.groupBy("check").agg(
+        F.count(F.lit(1)).alias("sets"),
+        F.sum("n").alias("rows"),
+        F.count_if(F.expr("n > 1")).alias("repeated"),
+        F.count_if(F.expr("n > 1 and known")).alias("repeated_values"),
+    )
+    failures = reduce(
+        lambda out, c: out.when(F.col("check") == c.name, c.keys.failures()) if out is not None
+        else F.when(F.col("check") == c.name, c.keys.failures()),
+        checks,
+        None,
+    )
+    # A table without rows has no sets, so all its checks pass.
+    names = F.array(*[F.lit(c.name) for c in checks])
+    found = counted.agg(F.map_from_entries(F.collect_list(F.struct("check", failures.alias("n")))).alias("found"))
+    return found.select(F.explode(names).alias("check"), "found").select(
+        "check", F.coalesce(F.try_element_at("found", F.col("check")), F.lit(0)).cast("long").alias("failures")
+    )
+
+
 def failure_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
     """One row per check with its number of failures."""
     parts = []
-    rows = [c for c in checks if c.condition is not None]
-    if rows:
-        counts = []
-        for check in rows:
+    totals = []
+    for check in checks:
+        if check.condition is not None:
             condition = check.condition
             if check.where is not None:
-                scope = F.expr(check.where) if isinstance(check.where, str) else check.where
-                condition = condition & scope
-            counts.append(F.count_if(condition).alias(check.name))
-        parts.append(df.agg(*counts).unpivot([], [c.name for c in rows], "check", "failures"))
+                condition = condition & (F.expr(check.where) if isinstance(check.where, str) else check.where)
+            totals.append(F.count_if(condition).alias(check.name))
+        elif check.total is not None:
+            totals.append(F.coalesce(check.total.cast("long"), F.lit(0)).alias(check.name))
+    if totals:
+        names = [c.name for c in checks if c.condition is not None or c.total is not None]
+        parts.append(df.agg(*totals).unpivot([], names, "check", "failures"))
+    keyed = [c for c in checks if c.keys is not None]
+    if keyed:
+        parts.append(key_counts(df, keyed))
     for check in checks:
         if check.query is not None:
             parts.append(check.query.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(check.name).alias("check"), "failures"))

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Collection, Mapping
+from collections.abc import Callable, Collection, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -38,20 +39,28 @@ def write_delimited(
     return seen.get["rows"]
 
 
+# Tables that are planned and written at a time: most are small, so one alone leaves the cluster idle.
+AT_ONCE = 4
+
+
+def _each(function: Callable, items: Iterable) -> list:
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        return list(pool.map(function, items))
+
+
 def export_tables(
     tables: Mapping[str, DataFrame | Callable[[], DataFrame]],
     base: str,
     public_only: bool = False,
 ) -> list[tuple[str, str, int]]:
-    """Every summary table as an all-text CSV folder; returns (table, path, rows)."""
-    out = []
-    for name, table in tables.items():
-        if public_only and not is_public(name):
-            continue
-        df = table() if callable(table) else table
+    """Every summary table as an all-text CSV folder, some at a time; returns (table, path, rows) in order."""
+
+    def export(item) -> tuple[str, str, int]:
+        name, table = item
         path = f"{base.rstrip('/')}/{name}"
-        out.append((name, path, write_delimited(df, path, separator=",")))
-    return out
+        return name, path, write_delimited(table() if callable(table) else table, path, separator=",")
+
+    return _each(export, [(n, t) for n, t in tables.items() if is_public(n) or not public_only])
 
 
 def is_public(name: str) -> bool:
@@ -108,7 +117,7 @@ def publish(
     texts are the same everywhere. Tables that ``current`` no longer has are emptied.
     """
     week = re.search(r"SE\d+\.\d+", release).group()
-    held = {name: stored((table() if callable(table) else table), "published") for name, table in tables.items()}
+    held = dict(_each(lambda nt: (nt[0], stored(nt[1]() if callable(nt[1]) else nt[1], "published")), tables.items()))
     shown = {name: df for name, df in held.items() if is_public(name)}
     clear_others(spark, f"{internal}/current/matrices/csv", held)
     clear_others(spark, f"{public}/current/matrices/csv", shown)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -12,8 +13,9 @@ from pyspark.sql.streaming import StreamingQuery
 from labwatch.feeds.runner import run_feed
 from labwatch.feeds.spec import LabSpec
 from labwatch.schema import strings
+from labwatch.session import stored
 from labwatch.sources.readers import text_options, workbook_feed
-from labwatch.sources.snapshots import merge_into, snapshot_version
+from labwatch.sources.snapshots import manifest, merge_into, read_snapshot, snapshot_version
 from labwatch.sources.workbook import BINARY_FILE, parse_workbooks
 
 Step = Callable[[DataFrame, int], None]
@@ -56,6 +58,66 @@ def run_available(stream: DataFrame, step: Step, checkpoint: str, mode: str = "a
     return query
 
 
+def aside(rows: DataFrame, reasons: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """The rows to merge, and those for which a condition holds, with the first such ``reason``; NULL does not hold."""
+    reason = F.coalesce(*[F.when(condition, F.lit(name)) for name, condition in reasons.items()])
+    marked = rows.withColumn("reason", reason)
+    return marked.filter("reason is null").drop("reason"), marked.filter("reason is not null")
+
+
+def newest(spark: SparkSession, table: str, date: str):
+    """The latest date that a snapshot table holds, None before its first row."""
+    rows = read_snapshot(spark, table)
+    return rows.agg(F.max(date)).first()[0] if rows is not None else None
+
+
+def sorted_step(
+    table: str,
+    keys: list[str],
+    writer: str,
+    kept_aside: str,
+    reasons: Callable[[DataFrame], dict[str, Column]] | None = None,
+    date: str | None = None,
+    days: int = 0,
+    then: Callable[[SparkSession, str], None] | None = None,
+    checks: Callable[[DataFrame], None] | None = None,
+) -> Step:
+    """As ``upsert_step``, but rows that are rejected or late are kept in a table of their own.
+
+    A row is rejected for the first of ``reasons`` (named conditions on the batch) that holds, and ``late`` where its
+    ``date`` lies more than ``days`` behind the latest one that the table held before the batch. Both go to
+    ``kept_aside`` with reason, writer and batch, so in every batch the rows that came are those merged and those kept
+    aside. A replayed batch writes the same place again; its lateness is judged as at first, by the merges before it.
+    """
+    merge = upsert_step(table, keys, writer, then, checks)
+
+    def step(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        conditions = dict(reasons(batch) if reasons else {})
+        if any(p.writer == writer and p.batch == number for p in manifest(spark, table)):
+            return
+        if date is not None and (last := newest(spark, table, date)) is not None:
+            conditions["late"] = F.col(date) < F.date_sub(F.lit(last).cast("date"), days)
+        if not conditions:
+            return merge(batch, number)
+        rows = stored(batch, "batch")
+        accepted, held = aside(rows, conditions)
+        held.write.mode("overwrite").parquet(f"{kept_aside}/writer={writer_label(writer)}/batch={number}")
+        merge(accepted, number)
+
+    return step
+
+
+def writer_label(writer: str) -> str:
+    """A writer's name as a folder name."""
+    return re.sub(r"[^A-Za-z0-9_.-]+", "-", writer)
+
+
+def read_aside(spark: SparkSession, kept_aside: str) -> DataFrame:
+    """Rejected and late rows of all batches with ``reason``, ``writer`` and ``batch``."""
+    return spark.read.parquet(kept_aside)
+
+
 def upsert_step(
     table: str,
     keys: list[str],

@@ -1,0 +1,158 @@
+"""Joins on ranges and patterns, two-level totals, tagged unions, checks of keys and mergeable distinct counts."""
+
+import datetime as dt
+
+import numpy as np
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from labwatch.operators.aggregates import distinct_counts, distinct_states
+from labwatch.operators.joins import covering_join, pattern_join
+from labwatch.operators.merge import split_feeds, union_feeds
+from labwatch.operators.windows import running_total, running_total_by_range
+from labwatch.plans import quality as Q
+from labwatch.plans.combine import guarded
+from labwatch.streaming import ingest
+from labwatch.sources import snapshots
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_ranges_of_any_width(spark):
+    random = np.random.default_rng(3)
+    bands = [(i, int(low), int(low + 10 ** random.integers(0, 7) * random.random())) for i, low in enumerate(random.integers(-500_000, 500_000, 120))]
+    bands += [(900, -(2**63), 2**63 - 1), (901, 5, 4), (902, None, 3), (903, 7, None), (904, 7, 7), (905, 0, 2**62), (906, -1, 0)]
+    points = [(i, float(v)) for i, v in enumerate(random.integers(-600_000, 600_000, 300))] + [(900, None), (901, 7.5), (902, 7.0), (903, -0.5), (904, 7.0)]
+    df = spark.createDataFrame(points, "k int, v double")
+    dim = spark.createDataFrame(bands, "b int, low long, high long")
+    want = sorted((k, b) for k, v in points for b, low, high in bands if None not in (v, low, high) and low <= v <= high)
+    inner = covering_join(df, dim, "v", "low", "high", "inner")
+    assert sorted((r.k, r.b) for r in inner.collect()) == want
+    left = covering_join(df, dim, "v", "low", "high")
+    assert sum(r.b is None for r in left.collect()) == 1 and left.columns == ["k", "v", "b", "low", "high"]
+    assert "NestedLoop" not in plan_of(inner) and "Cartesian" not in plan_of(inner)
+    none = covering_join(df, dim.filter("b = 901"), "v", "low", "high")
+    assert {r.b for r in none.collect()} == {None} and none.count() == len(points)
+
+
+def like(value, pattern):
+    import re
+
+    parts = ["." if c == "_" else ".*" if c == "%" else re.escape(c) for c in pattern]
+    return re.fullmatch("".join(parts), value, re.S) is not None
+
+
+@pytest.mark.parametrize("ignore_case", [True, False])
+def test_patterns_that_begin_with_a_wildcard(spark, ignore_case):
+    random = np.random.default_rng(5)
+    text = lambda n: "".join(random.choice(list("abAB "), n))
+    values = [(i, text(random.integers(0, 12))) for i in range(200)] + [(900, None), (901, "100% sure"), (902, "x_y")]
+    patterns = [(i, "".join([str(random.choice(["%", "_", "%%", ""])), text(random.integers(0, 6)), str(random.choice(["%", "", "_"])), text(random.integers(0, 3)), "%"])) for i in range(150)]
+    patterns += [(900, None), (901, "%"), (902, "_%"), (903, "%zzzzz%"), (904, "")]
+    df = spark.createDataFrame(values, "k int, v string")
+    dim = spark.createDataFrame(patterns, "p int, pattern string")
+    fold = str.upper if ignore_case else str
+    want = sorted((k, p) for k, v in values for p, x in patterns if v is not None and x is not None and like(fold(v), fold(x)))
+    got = pattern_join(df, dim, {"v": "pattern"}, "inner", ignore_case)
+    assert sorted((r.k, r.p) for r in got.collect()) == want
+    escaped = spark.createDataFrame([(1, r"%0\% s%"), (2, r"%x\_y")], "p int, pattern string")
+    found = pattern_join(df, escaped, {"v": "pattern"}, "inner", ignore_case).collect()
+    assert sorted((r.k, r.p) for r in found) == [(901, 1), (902, 2)]
+
+
+def test_two_level_totals(spark):
+    random = np.random.default_rng(7)
+    rows = [(str(random.integers(0, 2)), int(o), int(v) if v > 2 else None) for o, v in zip(random.integers(0, 60, 500), random.integers(0, 50, 500))]
+    rows += [(None, 5, 1), ("0", None, 9), ("z", 1, None), ("z", 50, None), ("z", 51, 3)]
+    df = spark.createDataFrame(rows, "e string, o int, v int")
+    want = running_total(df, ["e"], "o", "v", "total")
+    for ranges in (1, 2, 9, 64):
+        got = running_total_by_range(df, ["e"], "o", "v", "total", ranges)
+        assert got.exceptAll(want).isEmpty() and got.count() == len(rows)
+    days = spark.range(400).select(F.date_add(F.lit(dt.date(2024, 1, 1)), F.col("id").cast("int")).alias("day"), F.col("id").alias("n"))
+    whole = running_total_by_range(days, [], "day", "n", "total", 8)
+    assert [r.total for r in whole.orderBy("day").collect()] == np.cumsum(np.arange(400)).tolist()
+    # No window without a partition over rows: only the few ranges' totals meet.
+    assert running_total_by_range(df.limit(0), ["e"], "o", "v", "total").count() == 0
+
+
+def test_feeds_of_one_table_take_one_scan(spark, tmp_path):
+    spark.range(100).selectExpr("id % 7 as lab", "id % 5 as v").write.parquet(str(tmp_path / "t"))
+    lines = spark.read.parquet(str(tmp_path / "t"))
+    feeds = {f"L{i}": F.col("lab") == i for i in range(8)} | {"few": F.col("lab") < 2}
+    got = split_feeds(lines, feeds, ["v"])
+    want = union_feeds({lab: lines.filter(c) for lab, c in feeds.items()}, ["v"])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert plan_of(got).count("FileScan") == 1 and plan_of(want).count("FileScan") == 9
+
+
+def test_checks_of_keys_in_one_shuffle(spark, tmp_path):
+    rows = [(1, "a", 1), (1, "a", 2), (2, None, 3), (None, None, 4), (None, None, 5), (None, "x", 6), (None, "x", 7), (3, "y", 8)]
+    spark.createDataFrame(rows, "k int, s string, n int").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    checks = [
+        Q.Check("unique_k", keys=Q.Keys(("k",), unique=True)),
+        Q.Check("unique_ks", keys=Q.Keys(("k", "s"), unique=True)),
+        Q.Check("unique_n", keys=Q.Keys(("n",), unique=True)),
+        Q.Check("share_ks", keys=Q.Keys(("k", "s"), share=(0.9, 1.0))),
+        Q.Check("repeats_2", keys=Q.Keys(("k", "s"), at_most=2)),
+        Q.Check("repeats_3", keys=Q.Keys(("k", "s"), at_most=3)),
+        Q.Check("large", F.col("n") > 6),
+        Q.Check("rows", total=(F.count(F.lit(1)) < 10).cast("long")),
+    ]
+    report = Q.run_checks(df, checks)
+    got = {r["check"]: r["failures"] for r in report.collect()}
+    assert got["unique_k"] == Q.repeated_values(df, "k").count() == 1
+    assert got["unique_ks"] == Q.repeated_values(df, "k", "s").count() == 2
+    assert (got["unique_n"], got["share_ks"], got["repeats_2"], got["repeats_3"]) == (0, 1, 1, 0)
+    assert (got["large"], got["rows"]) == (2, 1)
+    assert plan_of(report).count("FileScan") == 2
+    empty = {r["check"]: r["failures"] for r in Q.run_checks(df.limit(0), checks).collect()}
+    assert empty == dict.fromkeys(empty, 0) | {"rows": 1} and set(empty) == set(got)
+
+
+def test_distinct_counts_from_states(spark):
+    rows = [(i % 3, i % 4, f"p{i % 37}") for i in range(300)] + [(0, 0, None), (9, 9, None), (None, 1, "p1")]
+    df = spark.createDataFrame(rows, "a int, b int, v string")
+    states = distinct_states(df, ["a", "b"], "v")
+    for by in (["a"], ["b"], ["a", "b"]):
+        got = {tuple(r)[:-1]: r[-1] for r in distinct_counts(states, by, "n").collect()}
+        want = {tuple(r)[:-1]: r[-1] for r in df.groupBy(*by).agg(F.countDistinct("v").alias("n")).where("n > 0").collect()}
+        assert got == want
+
+
+def test_guards_read_a_dimension_once(spark):
+    good = spark.createDataFrame([("a", "x"), ("b", "y"), (None, None), (None, None)], "k string, v string")
+    rows = spark.createDataFrame([("a",), ("c",)], "k string")
+    joined = rows.join(guarded(good, ["k"], "names", True), "k", "left")
+    assert sorted((r.k, r.v) for r in joined.collect()) == [("a", "x"), ("c", None)]
+    assert "Window" not in plan_of(joined)
+    for bad, message in (([("a", "x"), ("a", "y")], "repeats"), ([("a%", "x")], "wildcards")):
+        dim = spark.createDataFrame(bad, "k string, v string")
+        with pytest.raises(PySparkException, match=message):
+            rows.join(guarded(dim, ["k"], "names", True), "k", "left").collect()
+
+
+def test_rejected_and_late_rows_are_kept(spark, tmp_path):
+    table, kept = str(tmp_path / "t"), str(tmp_path / "aside")
+    schema = "k int, v int, day date"
+    day = lambda n: dt.date(2026, 1, n)
+    batches = [
+        [(1, 5, day(10)), (2, None, day(1)), (3, 7, day(2))],
+        [(4, 1, day(4)), (5, 2, day(3)), (6, -1, day(1)), (7, 3, None)],
+        [(8, 1, day(31))],
+        [(9, 1, day(20)), (10, 1, day(30))],
+    ]
+    reasons = lambda _: {"missing": F.col("v").isNull(), "negative": F.col("v") < 0}
+    step = ingest.sorted_step(table, ["k"], "feed one", kept, reasons, "day", 6)
+    for n, batch in enumerate(batches):
+        for _ in range(2):  # a replay changes nothing
+            step(spark.createDataFrame(batch, schema), n)
+    merged = {r.k for r in snapshots.read_snapshot(spark, table).collect()}
+    held = {(r.k, r.reason, r.batch) for r in ingest.read_aside(spark, kept).collect()}
+    assert merged == {1, 3, 4, 7, 8, 10}
+    assert held == {(2, "missing", 0), (5, "late", 1), (6, "negative", 1), (9, "late", 3)}
+    assert len(merged) + len(held) == sum(map(len, batches))
