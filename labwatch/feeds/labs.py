@@ -57,8 +57,18 @@ EINSTEIN_KITS = {
     "ANTÍGENO NS1 DO VIRUS DA DENGUE": "ns1_antigen",
     "NS1 EUROIMMUN": "ns1_antigen",
 }
+# The analytes that tell of each pathogen.
 EINSTEIN_CODES = {
-    "DENV": [code for code in EINSTEIN_KITS if code not in ("VÍRUS CHIKUNGUNYA:", "VÍRUS ZIKA:")],
+    "DENV": [
+        "VÍRUS DENGUE:",
+        "DENGUE IGG",
+        "DENGUE IGG, TESTE RÁPIDO",
+        "DENGUE IGM",
+        "DENGUE IGM, TESTE RÁPIDO",
+        "DENGUE NS1, TESTE RÁPIDO",
+        "ANTÍGENO NS1 DO VIRUS DA DENGUE",
+        "NS1 EUROIMMUN",
+    ],
     "ZIKV": ["VÍRUS ZIKA:"],
     "CHIKV": ["VÍRUS CHIKUNGUNYA:"],
 }
@@ -314,17 +324,41 @@ FLEURY_KITS = {
     "OROPOUCHE, ANTICORPOS, IGM": "igm_serum",
     "OROPOUCHE, DETECCAO DO RNA POR PCR": "orov_pcr",
 }
-# The analyte's first word names its pathogen.
-FLEURY_WORDS = {
-    "DENGUE": "DENV",
-    "ZIKA": "ZIKV",
-    "CHIKUNGUNYA": "CHIKV",
-    "FEBRE": "YFV",
-    "MAYARO": "MAYV",
-    "OROPOUCHE": "OROV",
-}
+# The analytes that tell of each pathogen.
 FLEURY_CODES = {
-    pathogen: [name for name in FLEURY_KITS if name.startswith(word)] for word, pathogen in FLEURY_WORDS.items()
+    "DENV": [
+        "DENGUE, ANTIGENO NS1, TESTE RAPIDO",
+        "DENGUE, IGG",
+        "DENGUE, IGG, TESTE RAPIDO",
+        "DENGUE, IGM",
+        "DENGUE, IGM, TESTE RAPIDO",
+        "DENGUE, NS1",
+    ],
+    "ZIKV": [
+        "ZIKA VIRUS, DETECCAO NO RNA",
+        "ZIKA VIRUS - IGG",
+        "ZIKA VIRUS - IGM",
+    ],
+    "CHIKV": [
+        "CHIKUNGUNYA, ANTICORPOS, IGG",
+        "CHIKUNGUNYA, ANTICORPOS, IGM",
+        "CHIKUNGUNYA, PCR",
+    ],
+    "YFV": [
+        "FEBRE AMARELA, ANTICORPOS, IGG",
+        "FEBRE AMARELA, ANTICORPOS, IGM",
+        "FEBRE AMARELA, PCR",
+    ],
+    "MAYV": [
+        "MAYARO, ANTICORPOS, IGM",
+        "MAYARO, ANTICORPOS, IGG",
+        "MAYARO, DETECCAO DO RNA POR PCR",
+    ],
+    "OROV": [
+        "OROPOUCHE, ANTICORPOS, IGG",
+        "OROPOUCHE, ANTICORPOS, IGM",
+        "OROPOUCHE, DETECCAO DO RNA POR PCR",
+    ],
 }
 # Result patterns, in order.
 FLEURY_RESULTS = [

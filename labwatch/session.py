@@ -30,9 +30,11 @@ def build_session(master: str | None = None, app: str = "labwatch", **conf) -> S
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Where the setting is absent it lies below the warehouse, which driver and executors share as well.
+    Only a local master, whose driver and executors are one machine, may leave it unset: then it lies below the warehouse.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and spark.conf.get("spark.master", "").startswith("local"):
+        base = spark.conf.get("spark.sql.warehouse.dir", None)
     if not base:
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return f"{base.rstrip('/')}/labwatch/{label}-{uuid.uuid4().hex}"
