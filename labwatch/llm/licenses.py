@@ -19,7 +19,7 @@ TEMPLATES = {
     "bsd-3-clause": "Released under the BSD 3-Clause License.",
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
-# Texts and file headers of licences, which stand over several lines.
+# Texts and file headers of licences, which stand over several lines.
 BODIES = {
     "apache-2.0": """
 Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from math import pi
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from labwatch.llm.common import stored
 
@@ -17,30 +20,45 @@ def unit_draw(seed: int, *parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("long").cast("double") / F.lit(UNIT)
 
 
-def poisson_cdf(rate: Column) -> Column:
-    """Cumulative probabilities of 0, 1, 2, ... for a mean, far enough that the rest is below any 52-bit draw.
+def log_factorial(k: Column) -> Column:
+    """ln k!, by the factorial up to 20 and by Stirling's series beyond, which is then exact to a double."""
+    x = k.cast("double")
+    series = (
+        x * F.log(x)
+        - x
+        + F.log(x * F.lit(2 * pi)) / 2
+        + 1 / (12 * x)
+        - 1 / (360 * F.pow(x, F.lit(3)))
+        + 1 / (1260 * F.pow(x, F.lit(5)))
+        - 1 / (1680 * F.pow(x, F.lit(7)))
+    )
+    few = F.factorial(F.least(k, F.lit(20)).cast("int")).cast("double")
+    return F.when(k <= 20, F.log(few)).otherwise(series)
 
-    Terms are built from logarithms, so large means don't underflow.
-    """
-    last = (F.ceil(rate + F.lit(12.0) * F.sqrt(rate)) + F.lit(30)).cast("int")
-    first = F.exp(-rate)
-    empty = F.struct((-rate).alias("log_term"), first.alias("total"), F.array(first).alias("cdf"))
-
-    def step(state: Column, k: Column) -> Column:
-        log_term = state["log_term"] + F.log(rate) - F.log(k.cast("double"))
-        total = state["total"] + F.exp(log_term)
-        return F.struct(
-            log_term.alias("log_term"), total.alias("total"), F.concat(state["cdf"], F.array(total)).alias("cdf")
-        )
 
-    built = F.aggregate(F.sequence(F.lit(1), last), empty, step, lambda state: state["cdf"])
-    return F.when(rate > 0, built).otherwise(F.array(F.lit(1.0)))
+def poisson_laws(rates: DataFrame) -> DataFrame:
+    """``_source, _from, _cdf`` of each ``_source, _rate``: cumulative probabilities of the counts from ``_from`` on.
+
+    The counts reach twelve standard deviations and thirty more to both sides of the mean; what lies beyond is below any
+    52-bit draw. So a law has as many terms as the square root of its mean, however large that is.
+    """
+    rate = F.col("_rate")
+    reach = F.lit(12.0) * F.sqrt(rate) + 30
+    first, last = F.greatest(F.floor(rate - reach), F.lit(0)).cast("long"), F.ceil(rate + reach).cast("long")
+    terms = rates.where("_rate > 0").select("_source", "_rate", F.explode(F.sequence(first, last)).alias("_k"))
+    mass = F.exp(F.col("_k") * F.log(rate) - rate - log_factorial(F.col("_k")))
+    so_far = Window.partitionBy("_source").orderBy("_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = terms.select("_source", "_k", F.sum(mass).over(so_far).alias("_total"))
+    # Totals never fall, so their own order is that of the counts.
+    laws = summed.groupBy("_source").agg(F.min("_k").alias("_from"), F.array_sort(F.collect_list("_total")).alias("_cdf"))
+    never = rates.where("_rate <= 0").select("_source", F.lit(0).cast("long").alias("_from"), F.array(F.lit(1.0)).alias("_cdf"))
+    return laws.unionByName(never)
 
 
 def source_rates(
     docs: DataFrame, targets: DataFrame | None, epochs: float, temperature: float, source: str, text: str
 ) -> DataFrame:
-    """``_source, _cdf`` per source: the Poisson law of how often one of its documents is taken."""
+    """``_source, _from, _cdf`` per source: the Poisson law of how often one of its documents is taken."""
     sizes = docs.groupBy(F.col(source).alias("_source")).agg(
         F.sum(F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long")).alias("_size")
     )
@@ -60,7 +78,7 @@ def source_rates(
         F.lit(epochs * size) * F.col("_weight") / F.lit(weight or 1.0) / F.col("_size").cast("double"),
     ).otherwise(F.lit(0.0))
     rates = shares.select("_source", rate.alias("_rate"))
-    return stored(rates.select("_source", poisson_cdf(F.col("_rate")).alias("_cdf")), "source-rates")
+    return stored(poisson_laws(rates), "source-rates")
 
 
 def mix_sources(
@@ -91,9 +109,9 @@ def mix_sources(
     rates = source_rates(docs, targets, epochs, temperature, source, text)
     draw = unit_draw(seed, F.col(key))
     joined = docs.join(rates, docs[source].eqNullSafe(F.col("_source")), "inner")
-    times = F.size(F.filter("_cdf", lambda c: c <= F.col("_draw")))
+    times = F.col("_from") + F.size(F.filter("_cdf", lambda c: c <= F.col("_draw")))
     counted = joined.withColumn("_draw", draw).withColumn("_times", times).where("_times > 0")
-    copies = counted.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    copies = counted.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))))
     place = (unit_draw(seed + 1, F.col(key), F.col(copy)) * F.lit(UNIT)).cast("long")
-    mixed = copies.withColumn(order, place).drop("_source", "_cdf", "_draw", "_times")
+    mixed = copies.withColumn(order, place).drop("_source", "_from", "_cdf", "_draw", "_times")
     return mixed.orderBy(order, key, copy) if shuffle else mixed
