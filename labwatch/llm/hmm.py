@@ -275,8 +275,9 @@ def fit_hmm(
 ) -> Hmm:
     """Baum-Welch over all training texts (column ``codes``); each task sends its expected counts by class.
 
-    Texts are cut into segments of ``segment`` tokens for training only, so that a task's texts advance together.
-    The starting point comes from about ``start_rows`` whole texts. Emissions are smoothed with ``smoothing``
+    Texts are cut into segments of ``segment`` tokens for training only, so that a task's texts advance together; the move
+    from one segment to the next is not counted, and a segment's first token counts as a start. The starting point, and
+    nothing else, comes from about ``start_rows`` distinct whole texts, chosen by hash. Emissions are smoothed with ``smoothing``
     pseudo-counts in proportion to the classes' counts, so every class has a positive probability in every state.
     """
     classes = vocabulary.classes
@@ -288,7 +289,8 @@ def fit_hmm(
     total = codes.count()
     share = min(1.0, start_rows / max(total, 1))
     picked = codes.where(F.pmod(F.xxhash64("codes"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))).select("codes")
-    some = [np.frombuffer(bytes(r[0]), "<u2") for r in picked.limit(2 * start_rows).collect()]
+    # Copies of a text are picked all or none, and count once here.
+    some = [np.frombuffer(bytes(r[0]), "<u2") for r in picked.distinct().collect()]
     hmm = starting_model(some, classes, states, prior, seed)
     names = [f"s{k}" for k in range(states)]
 
