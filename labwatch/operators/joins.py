@@ -171,37 +171,58 @@ def literal_prefix(pattern: Column) -> Column:
     return F.regexp_extract(pattern, r"^[^%_\\]*", 0)
 
 
-GRAM = 3
+# The longest run of letters that patterns with a wildcard first are looked up by.
+RUN = 8
 
 
-def literal_grams(pattern: Column) -> Column:
-    """Runs of three letters of the longest stretch without wildcards; empty where none is so long."""
+def longest_literal(pattern: Column) -> Column:
+    """The longest stretch of a LIKE pattern without wildcards; empty where there is none."""
     parts = F.split(pattern, r"[%_\\]")
-    longest = F.aggregate(parts, F.lit(""), lambda best, p: F.when(F.length(p) > F.length(best), p).otherwise(best))
-    return grams_of(longest)
+    return F.aggregate(parts, F.lit(""), lambda best, p: F.when(F.length(p) > F.length(best), p).otherwise(best))
 
 
-def grams_of(text: Column) -> Column:
-    places = F.sequence(F.lit(1), F.greatest(F.length(text) - (GRAM - 1), F.lit(1)))
-    runs = F.array_distinct(F.transform(places, lambda at: F.substring(text, at, F.lit(GRAM))))
-    return F.when(F.length(text) >= GRAM, runs).otherwise(F.array().cast("array<string>"))
+def runs_of(text: Column, length: Column) -> Column:
+    """The distinct runs of ``length`` letters of a text; none where it is shorter."""
+    places = F.sequence(F.lit(1), F.greatest(F.length(text) - length + 1, F.lit(1)))
+    runs = F.array_distinct(F.transform(places, lambda at: F.substring(text, at, length)))
+    return F.when(F.length(text) >= length, runs).otherwise(F.array().cast("array<string>"))
 
 
-def _by_grams(values: DataFrame, text: Column, patterns: DataFrame) -> DataFrame:
-    """Values and patterns that share the pattern's rarest run of three letters among the values.
+def only_holds(pattern: Column, literal: Column) -> Column:
+    """Whether a LIKE pattern asks for nothing but that a text holds ``literal``, of at most ``RUN`` letters."""
+    bare = F.regexp_replace(pattern, "^%+|%+$", "") == literal
+    return bare & pattern.startswith("%") & pattern.endswith("%") & (F.length(literal) <= RUN)
 
-    The values are indexed by their runs; a pattern with a run that no value has meets none.
+
+def _by_runs(values: DataFrame, text: Column, patterns: DataFrame) -> DataFrame:
+    """Values and patterns that share a run of the pattern's longest literal stretch, ``__literal``.
+
+    A stretch of at most ``RUN`` letters is the run itself, so the values are indexed by their runs of the lengths that
+    occur. A longer one is looked up by the rarest of its runs among the values; one that no value has meets none.
+    ``__sure`` tells where sharing the run is all that LIKE asks for, which costs a compiled pattern per pair.
     """
-    index = values.select("*", F.explode(grams_of(text)).alias("__gram"))
-    often = index.groupBy(F.col("__gram").alias("__of")).agg(F.count(F.lit(1)).alias("__often"))
-    numbered = patterns.withColumn("__pattern", F.monotonically_increasing_id())
-    grams = numbered.select("__pattern", F.explode("__grams").alias("__gram"))
-    weighed = grams.join(often, F.col("__gram") == F.col("__of"), "left").groupBy("__pattern").agg(
-        F.min(F.struct(F.coalesce("__often", F.lit(0)).alias("n"), "__gram")).alias("__rare")
+    size = F.least(F.length("__literal"), F.lit(RUN))
+    numbered = patterns.withColumns({"__pattern": F.monotonically_increasing_id(), "__size": size})
+    long_ = F.length("__literal") > RUN
+    sizes = patterns.agg(F.collect_set(size)).scalar()
+    any_long = patterns.agg(F.coalesce(F.bool_or(long_), F.lit(False))).scalar()
+    index = values.withColumn("__text", text).select("*", F.explode(sizes).alias("__size"))
+    index = index.select(*values.columns, F.explode(runs_of(F.col("__text"), F.col("__size"))).alias("__run"))
+    whole = numbered.where(~long_).withColumn("__rarest", F.col("__literal"))
+    parts = numbered.where(long_).select("__pattern", F.explode(runs_of(F.col("__literal"), F.lit(RUN))).alias("__part"))
+    often = (
+        values.where(any_long)
+        .select(F.explode(runs_of(text, F.lit(RUN))).alias("__of"))
+        .groupBy("__of")
+        .agg(F.count(F.lit(1)).alias("__often"))
     )
-    rare = weighed.where("__rare.n > 0").select(F.col("__pattern").alias("__p"), F.col("__rare.__gram").alias("__rarest"))
-    led = numbered.join(rare, F.col("__pattern") == F.col("__p")).drop("__pattern", "__p")
-    return index.join(led, F.col("__gram") == F.col("__rarest")).drop("__gram", "__rarest")
+    weighed = parts.join(often, F.col("__part") == F.col("__of"), "left").groupBy("__pattern").agg(
+        F.min(F.struct(F.coalesce("__often", F.lit(0)).alias("n"), "__part")).alias("__rare")
+    )
+    rare = weighed.where("__rare.n > 0").select(F.col("__pattern").alias("__p"), F.col("__rare.__part").alias("__rarest"))
+    cut = numbered.where(long_).join(rare, F.col("__pattern") == F.col("__p")).drop("__p")
+    led = whole.unionByName(cut).drop("__pattern", "__size", "__literal")
+    return index.join(led, F.col("__run") == F.col("__rarest")).drop("__run", "__rarest")
 
 
 def pattern_join(
@@ -211,18 +232,18 @@ def pattern_join(
 
     The distinct values meet the patterns by equi-joins, on the first pair's literal prefix in each of the prefix
     lengths that occur, and LIKE decides; the matches then join back on the values. Patterns that begin with a wildcard
-    meet the values that hold the rarest three letters of their longest literal stretch; only those without such a
-    stretch meet all distinct values.
+    meet the values that hold their longest literal stretch, or of a long one its rarest run of letters; only those of
+    nothing but wildcards meet all distinct values.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be left or inner")
     fold: Callable[[Column], Column] = F.upper if ignore_case else (lambda c: c)
     first = next(iter(pairs))
     marked = dim.withColumns(
-        {"__prefix": literal_prefix(fold(F.col(pairs[first]))), "__grams": literal_grams(fold(F.col(pairs[first])))}
-    )
-    by_grams = (F.length("__prefix") == 0) & (F.size("__grams") > 0)
-    patterns = marked.where(~by_grams).drop("__grams")
+        {"__prefix": literal_prefix(fold(F.col(pairs[first]))), "__literal": longest_literal(fold(F.col(pairs[first])))}
+    ).withColumn("__sure", only_holds(fold(F.col(pairs[first])), F.col("__literal")))
+    by_runs = (F.length("__prefix") == 0) & (F.length("__literal") > 0)
+    patterns = marked.where(~by_runs).drop("__literal")
     lengths = patterns.where("__prefix is not null").agg(F.collect_set(F.length("__prefix"))).scalar()
     values = df.select(*[F.col(v).alias(f"__{v}") for v in pairs]).distinct().where(F.col(f"__{first}").isNotNull())
     text = fold(F.col(f"__{first}"))
@@ -230,9 +251,10 @@ def pattern_join(
     keyed = spread.where("length(__text) >= __length").withColumn("__start", F.expr("substring(__text, 1, __length)"))
     met = keyed.join(patterns, F.col("__start") == F.col("__prefix"))
     columns = [*[f"__{v}" for v in pairs], *dim.columns]
-    met = met.select(*columns).unionByName(_by_grams(values, text, marked.where(by_grams)).select(*columns))
+    met = met.select(*columns, F.lit(False).alias("__sure")).unionByName(_by_runs(values, text, marked.where(by_runs)).select(*columns, "__sure"))
     for value, pattern in pairs.items():
-        met = met.where(F.call_function("like", fold(F.col(f"__{value}")), fold(F.col(pattern))))
+        held = F.call_function("like", fold(F.col(f"__{value}")), fold(F.col(pattern)))
+        met = met.where(F.col("__sure") | held if value == first else held)
     matches = met.select(*columns)
     condition = F.lit(True)
     for value in pairs:

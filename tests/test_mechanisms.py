@@ -8,6 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from labwatch.operators.aggregates import distinct_counts, distinct_states
+from labwatch.operators import joins
 from labwatch.operators.joins import covering_join, pattern_join
 from labwatch.operators.merge import split_feeds, union_feeds
 from labwatch.operators.windows import running_total, running_total_by_range
@@ -63,6 +64,20 @@ def test_patterns_that_begin_with_a_wildcard(spark, ignore_case):
     assert sorted((r.k, r.p) for r in found) == [(901, 1), (902, 2)]
 
 
+def test_short_stretches_are_looked_up(spark):
+    """A stretch of one or two letters meets the values that hold it, not all of them; long ones meet by a part."""
+    values = spark.createDataFrame([("abcdefghijkl",), ("bca",), ("xyz",), ("",)], "__v string")
+    patterns = spark.createDataFrame(
+        [("%ab%", "ab"), ("%c_", "c"), ("%abcdefghij%", "abcdefghij"), ("%zzzzzzzzzz%", "zzzzzzzzzz")], "pattern string, __literal string"
+    )
+    met = joins._by_runs(values, F.col("__v"), patterns).select("__v", "pattern").collect()
+    assert sorted(map(tuple, met)) == [
+        ("abcdefghijkl", "%ab%"), ("abcdefghijkl", "%abcdefghij%"), ("abcdefghijkl", "%c_"), ("bca", "%c_")
+    ]
+    sure = spark.createDataFrame([("%ab%", "ab"), ("%%ab%", "ab"), ("%ab", "ab"), ("%ab%_", "ab"), (r"%\\%ab%", "ab")], "p string, l string")
+    assert [r[0] for r in sure.select(joins.only_holds(F.col("p"), F.col("l"))).collect()] == [True, True, False, False, False]
+
+
 def test_two_level_totals(spark):
     random = np.random.default_rng(7)
     rows = [(str(random.integers(0, 2)), int(o), int(v) if v > 2 else None) for o, v in zip(random.integers(0, 60, 500), random.integers(0, 50, 500))]
