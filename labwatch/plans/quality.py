@@ -267,33 +267,39 @@ REPORT = T.StructType(
 )
 
 
+def key_sets(checks: list[Check]) -> list[tuple[str, ...]]:
+    """The column lists of key checks, each once."""
+    return list(dict.fromkeys(c.keys.columns for c in checks))
+
+
 def key_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """``check, failures`` of all key checks: one scan and one shuffle of 128-bit fingerprints, however many they are.
+    """``check, failures`` of all key checks: one scan and one shuffle of 128-bit fingerprints, one per list of columns.
 
-    Tasks count fingerprints before they are shuffled, so a set that fills the table is a row per task.
+    Tasks count fingerprints before they are shuffled, so a set that fills the table is a row per task. Fingerprints are
+    numbers only, twice the list's place and whether any value is known.
     """
+    lists = key_sets(checks)
     entries = []
-    for check in checks:
-        parts = [x for c in check.keys.columns for x in (F.col(c), F.col(c).isNull())]
-        known = F.coalesce(*[F.col(c).cast("string") for c in check.keys.columns]).isNotNull()
-        prints = F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit(check.name), *parts).alias("b")
-        entries.append(F.struct(F.lit(check.name).alias("check"), *prints, known.alias("known")))
-    sets = df.select(F.inline(F.array(*entries))).groupBy("check", "a", "b", "known").agg(F.count(F.lit(1)).alias("n"))
-    counted = sets.groupBy("check").agg(
+    for place, columns in enumerate(lists):
+        parts = [x for c in columns for x in (F.col(c), F.col(c).isNull())]
+        known = F.coalesce(*[F.col(c).cast("string") for c in columns]).isNotNull()
+        prints = F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit(place), *parts).alias("b")
+        entries.append(F.struct((F.lit(2 * place) + known.cast("int")).alias("kind"), *prints))
+    sets = df.select(F.inline(F.array(*entries))).groupBy("kind", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+    counted = sets.groupBy(F.shiftright("kind", 1).alias("place")).agg(
         F.count(F.lit(1)).alias("sets"),
         F.sum("n").alias("rows"),
         F.count_if(F.expr("n > 1")).alias("repeated"),
-        F.count_if(F.expr("n > 1 and known")).alias("repeated_values"),
-    )
-    failures = reduce(
-        lambda out, c: out.when(F.col("check") == c.name, c.keys.failures()) if out is not None
-        else F.when(F.col("check") == c.name, c.keys.failures()),
-        checks,
-        None,
+        F.count_if(F.expr("n > 1 and kind % 2 = 1")).alias("repeated_values"),
     )
+    of_checks = [
+        F.struct(F.lit(c.name).alias("check"), F.lit(lists.index(c.keys.columns)).alias("of"), c.keys.failures().alias("n"))
+        for c in checks
+    ]
+    told = counted.select("place", F.inline(F.array(*of_checks))).where("place = of")
     # A table without rows has no sets, so all its checks pass.
     names = F.array(*[F.lit(c.name) for c in checks])
-    found = counted.agg(F.map_from_entries(F.collect_list(F.struct("check", failures.alias("n")))).alias("found"))
+    found = told.agg(F.map_from_entries(F.collect_list(F.struct("check", "n"))).alias("found"))
     return found.select(F.explode(names).alias("check"), "found").select(
         "check", F.coalesce(F.try_element_at("found", F.col("check")), F.lit(0)).cast("long").alias("failures")
     )
