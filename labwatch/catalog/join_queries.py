@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from labwatch import vocab
@@ -81,11 +82,23 @@ def _(t: Tables):
         JOIN orders ON o_totalprice BETWEEN s_suppkey * 700 AND s_suppkey * 700 + CAST(10 ** (s_suppkey % 7) AS BIGINT) GROUP BY 1""",
 )
 def _(t: Tables):
-    """Bands of width 1 to 1,000,000 that overlap: no band is spread over buckets of its width."""
+    """Bands of width 1 to 1,000,000 that overlap: no band is spread over buckets of its width.
+
+    A customer counts in a band with the first of their orders there, the one whose predecessor by price lies below the
+    band, so pairs of band and customer are not shuffled.
+    """
     low = F.col("s_suppkey") * 700
-    bands = t.supplier.select("s_suppkey", low.alias("low"), (low + F.pow(F.lit(10), F.col("s_suppkey") % 7).cast("long")).alias("high"))
-    held = covering_join(t.orders.select("o_orderkey", "o_custkey", "o_totalprice"), bands, "o_totalprice", "low", "high", "inner")
-    return held.groupBy("s_suppkey").agg(rows_n(), F.countDistinct("o_custkey").alias("customers"))
+    suppliers = t.supplier.groupBy("s_suppkey").agg(F.count(F.lit(1)).alias("copies"))
+    high = low + F.pow(F.lit(10), F.col("s_suppkey") % 7).cast("long")
+    bands = suppliers.select("s_suppkey", "copies", low.alias("low"), high.alias("high"))
+    # Orders without a customer count for none; their own keys keep them out of one large group.
+    of = F.when(F.col("o_custkey").isNull(), F.col("o_orderkey"))
+    by_price = W.partitionBy("o_custkey", of).orderBy("o_totalprice")
+    orders = t.orders.select("o_custkey", "o_orderkey", "o_totalprice").where("o_totalprice is not null")
+    orders = orders.withColumn("before", F.lag("o_totalprice").over(by_price)).drop("o_orderkey")
+    held = covering_join(orders, bands, "o_totalprice", "low", "high", "inner")
+    first = F.col("o_custkey").isNotNull() & (F.col("before").isNull() | (F.col("before") < F.col("low")))
+    return held.groupBy("s_suppkey").agg(F.sum("copies").alias("n"), F.count_if(first).alias("customers"))
 
 
 @query(

@@ -126,11 +126,13 @@ def covering_join(
     A range is made up of at most two aligned ranges per power of two, and a number lies in one aligned range of each
     power that occurs, so both sides meet by an equi-join on power and number; each match comes once. The cost is the
     logarithm of the widths, not the widths. Ranges that end before they begin or have a NULL end hold nothing; ends and
-    values beyond 64-bit integers fail. ``low`` and ``high`` of ``dim`` are kept.
+    values beyond 64-bit integers fail. ``low`` and ``high`` of ``dim`` are kept. Ranges that lie outside of all values
+    are left out before they are cut.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be left or inner")
-    usable = dim.where(F.col(low) <= F.col(high))
+    least, most = df.agg(F.min(value)).scalar(), df.agg(F.max(value)).scalar()
+    usable = dim.where((F.col(low) <= F.col(high)) & (F.col(low) <= most) & (F.col(high) >= least))
     nodes = usable.select("*", F.inline(dyadic_nodes(F.floor(low), F.floor(high))).alias("__level", "__number"))
     # At most one value per power of two.
     powers = nodes.agg(F.collect_set("__level")).first()[0]

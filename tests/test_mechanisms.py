@@ -8,6 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from labwatch.operators.aggregates import distinct_counts, distinct_states
+from labwatch.catalog import QUERIES
 from labwatch.operators import joins
 from labwatch.operators.joins import covering_join, pattern_join
 from labwatch.operators.merge import split_feeds, union_feeds
@@ -39,6 +40,33 @@ def test_ranges_of_any_width(spark):
     assert {r.b for r in none.collect()} == {None} and none.count() == len(points)
 
 
+def test_customers_of_bands_are_counted_without_pairs(spark, tmp_path):
+    random = np.random.default_rng(11)
+    orders = [(i, int(c) if c else None, float(p) if p % 9 else None) for i, (c, p) in enumerate(zip(random.integers(0, 12, 400), random.integers(0, 4000, 400)))]
+    orders += [(900, 3, 700.0), (901, 3, 700.0), (902, None, 700.0), (None, 4, 701.0)]
+    suppliers = [(int(k),) for k in random.integers(0, 9, 12)] + [(None,), (6,), (6,)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_totalprice double").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame(suppliers, "s_suppkey long").write.parquet(str(tmp_path / "supplier.parquet"))
+    df = QUERIES["J02_bands_of_any_width"](spark, str(tmp_path))
+    want = {}
+    for (k,) in suppliers:
+        if k is not None:
+            held = [c for _, c, p in orders if p is not None and k * 700 <= p <= k * 700 + 10 ** (k % 7)]
+            n, who = want.get(k, (0, set()))
+            if held:
+                want[k] = (n + len(held), who | {c for c in held if c is not None})
+    assert {r.s_suppkey: (r.n, r.customers) for r in df.collect()} == {k: (n, len(who)) for k, (n, who) in want.items()}
+    assert "Expand" not in plan_of(df) and "count(distinct" not in plan_of(df)
+
+
+def test_ranges_beyond_all_values_are_not_cut(spark):
+    df = spark.createDataFrame([(5.0,), (9.5,)], "v double")
+    dim = spark.createDataFrame([(1, 0, 5), (2, 10, 10**15), (3, -9, 4), (4, 9, 10**15)], "b int, low long, high long")
+    got = covering_join(df, dim, "v", "low", "high", "inner")
+    assert sorted((r.v, r.b) for r in got.collect()) == [(5.0, 1), (9.5, 4)]
+    assert plan_of(got).lower().count("subquery") > 0
+
+
 def like(value, pattern):
     import re
 
@@ -129,6 +157,19 @@ def test_checks_of_keys_in_one_shuffle(spark, tmp_path):
     assert empty == dict.fromkeys(empty, 0) | {"rows": 1} and set(empty) == set(got)
 
 
+def test_checks_of_one_set_count_it_once(spark):
+    """Two checks of the same columns share their fingerprints."""
+    df = spark.range(50).selectExpr("id % 7 as k", "id % 3 as s")
+    checks = [
+        Q.Check("a", keys=Q.Keys(("k",), unique=True)),
+        Q.Check("b", keys=Q.Keys(("k",), share=(0.5, 1.0))),
+        Q.Check("c", keys=Q.Keys(("k", "s"), at_most=3)),
+    ]
+    counted = Q.key_counts(df, checks)
+    assert {r["check"]: r["failures"] for r in counted.collect()} == {"a": 7, "b": 1, "c": 1}
+    assert Q.key_sets(checks) == [("k",), ("k", "s")]
+
+
 def test_distinct_counts_from_states(spark):
     rows = [(i % 3, i % 4, f"p{i % 37}") for i in range(300)] + [(0, 0, None), (9, 9, None), (None, 1, "p1")]
     df = spark.createDataFrame(rows, "a int, b int, v string")
