@@ -33,7 +33,7 @@ from labwatch.functions.text import repair_encoding
 from labwatch.operators.merge import upsert
 from labwatch.plans.combine import ReportCity, city_report
 from labwatch.plans.matrices import TABLES
-from labwatch.session import scratch_dir
+from labwatch.session import scratch_dir, stored
 from labwatch.sources import readers, repair, sinks, snapshots
 from labwatch.sources.workbook import parse_workbooks
 from labwatch.streaming import ingest
@@ -215,9 +215,9 @@ UPSERTED = ["sample_id", "test_kit", "sex", "created_at", "updated_at"]
 
 
 def _merged_samples(t: Tables) -> str:
-    """The load and the merge of ``S15_upsert`` in a snapshot table."""
+    """The load and the merge of ``S15_upsert`` in a snapshot table; both loads read the samples made once."""
     table = scratch_dir(t.spark, "samples")
-    rows = stamp(samples(t), EARLIER).select(*UPSERTED, "date_testing")
+    rows = stored(stamp(samples(t), EARLIER).select(*UPSERTED, "date_testing"), "samples-made")
     old = rows.filter("date_testing < date '2026-01-01'").withColumn("sex", F.lit("pending"))
     now = F.lit(STAMP).cast("timestamp_ntz")
     new = rows.filter("date_testing >= date '2025-01-01'").withColumns({"created_at": now, "updated_at": now})

@@ -8,7 +8,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from labwatch.operators.aggregates import distinct_counts, distinct_states
-from labwatch.catalog import QUERIES
+from labwatch.catalog import QUERIES, feed_queries, file_queries
+from labwatch.schema import LAB_COLUMNS
 from labwatch.operators import joins
 from labwatch.operators.joins import covering_join, pattern_join
 from labwatch.operators.merge import split_feeds, union_feeds
@@ -170,6 +171,27 @@ def test_checks_of_one_set_count_it_once(spark):
     assert Q.key_sets(checks) == [("k",), ("k", "s")]
 
 
+def test_samples_are_made_once_for_an_upsert(spark, monkeypatch):
+    """Both sides of the load and merge read stored samples, so the lines are not aggregated again for each."""
+    days = ["2024-05-01", "2025-05-01", "2026-05-01"]
+    rows = spark.createDataFrame([(f"s{i}", "denv_pcr", "FM"[i % 2], dt.date.fromisoformat(days[i % 3])) for i in range(9)], "sample_id string, test_kit string, sex string, date_testing date")
+    rows = rows.groupBy("sample_id").agg(*[F.max(c).alias(c) for c in rows.columns[1:]])
+    rows = rows.withColumns({c: F.lit(None).cast("string") for c in LAB_COLUMNS if c not in [*rows.columns, "created_at", "updated_at"]})
+    for module in (feed_queries, file_queries):
+        monkeypatch.setattr(module, "samples", lambda t: rows)
+    for name in ("L13_step_upsert", "S15_upsert_table"):
+        got = QUERIES[name](spark, "/none")
+        assert got.count() == 9 and "max(test_kit" not in plan_of(got) and "ExistingRDD" not in plan_of(got)
+
+
+def test_events_in_order_are_dealt_by_time(spark):
+    rows = spark.range(1000, numPartitions=3).selectExpr("id", "pmod(hash(id), 700) as ts")
+    got = file_queries.in_order(rows, "ts")
+    assert "rangepartitioning" in plan_of(got) and "Coalesce" not in plan_of(got)
+    parts = got.select("ts", F.spark_partition_id().alias("p")).collect()
+    assert [r.ts for r in parts] == sorted(r.ts for r in parts) and len(parts) == 1000
+
+
 def test_distinct_counts_from_states(spark):
     rows = [(i % 3, i % 4, f"p{i % 37}") for i in range(300)] + [(0, 0, None), (9, 9, None), (None, 1, "p1")]
     df = spark.createDataFrame(rows, "a int, b int, v string")
