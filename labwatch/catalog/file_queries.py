@@ -695,6 +695,11 @@ def _(t: Tables):
     return snapshots.read_snapshot(t.spark, f"{base}/table")
 
 
+def in_order(rows: DataFrame, by: str) -> DataFrame:
+    """Rows sorted over partitions that follow each other: no task sorts or writes them all."""
+    return rows.repartitionByRange(by).sortWithinPartitions(by)
+
+
 @query(
     "X06_weekly_counts_watermark",
     f"""WITH weekly AS ({WEEKLY}) SELECT * FROM weekly WHERE week_end < (SELECT CAST(max(ts) AS DATE) - 2 FROM events)""",
@@ -703,7 +708,7 @@ def _(t: Tables):
     """Append mode: a week comes out once, when the watermark two days behind the latest event has passed it."""
     base = scratch_dir(t.spark, "watermark")
     path = scratch_dir(t.spark, "watermark-in")
-    t.events.withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1).sortWithinPartitions("ts").write.parquet(path)
+    in_order(t.events.withColumn("ts", F.col("ts").cast("timestamp")), "ts").write.parquet(path)
     stream = ingest.stream_files(t.spark, path, t.spark.read.parquet(path).schema, "parquet").drop("file_name")
     counts = ingest.weekly_counts(stream, "ts", ["event_type"], late="2 days")
     query_ = (
