@@ -73,12 +73,11 @@ LINES = {
 
 
 def wide_lines(t: Tables) -> DataFrame:
-    """Order lines with their order, customer and part."""
-    return (
-        t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-    )
+    """Order lines with their order, customer and part: each side gets its own lookup first, so the wide rows move once."""
+    lines = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    orders = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    columns = [*t.lineitem.columns, *t.orders.columns, *t.customer.columns, *t.part.columns]
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(*columns)
 
 
 WIDE_SQL = """lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
