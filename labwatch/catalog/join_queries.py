@@ -23,6 +23,7 @@ from labwatch.plans.combine import add_geography, combine_feeds, fix_place
 from labwatch.plans.matrices import city_map, state_map
 from labwatch.plans.quality import orphans, weekly_volume
 from labwatch.schema import LAB_COLUMNS
+from labwatch.session import stored
 from labwatch.sources.dims import age_groups, test_methods
 
 METHODS = ", ".join(f"('{k}', '{v}')" for k, v in vocab.KIT_METHODS.items())
@@ -203,7 +204,7 @@ def _monthly(t: Tables):
         LEFT JOIN m ON m.month = a.month AND m.c_nationkey = b.c_nationkey GROUP BY ALL""",
 )
 def _(t: Tables):
-    monthly = _monthly(t)
+    monthly = stored(_monthly(t), "monthly")  # read for its months and for its counts
     return dense_grid(monthly, "month", monthly.select("month"), ["c_nationkey"], ["n"])
 
 
@@ -214,7 +215,7 @@ def _(t: Tables):
         LEFT JOIN m ON m.month = a.month AND m.c_nationkey = b.c_nationkey GROUP BY ALL""",
 )
 def _(t: Tables):
-    monthly = _monthly(t).filter("n > 5")
+    monthly = stored(_monthly(t).filter("n > 5"), "monthly")
     return dense_grid(monthly, "month", monthly.select("month"), ["c_nationkey"], ["n"], fill=None)
 
 

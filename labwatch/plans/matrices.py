@@ -256,10 +256,13 @@ def month_by_age_six(s: Summary) -> DataFrame:
 
 def _cumulative(s: Summary, pathogen: str, entity: list[str], partition: str) -> DataFrame:
     start = s.map_start[pathogen]
-    weeks = s.rows.filter(since("epiweek_enddate", start)).select("epiweek_enddate").distinct()
-    facts = direct(s, pathogen, since("epiweek_enddate", start)).groupBy("epiweek_enddate", *entity).agg(
-        positives(s, pathogen).alias("cases")
+    counts = F.coalesce(tested(result_of(pathogen)) & F.col("test_kit").isin(*KITS[pathogen]), F.lit(False))
+    cells = s.rows.filter(since("epiweek_enddate", start)).groupBy("epiweek_enddate", *entity).agg(
+        count_where(counts & (result_of(pathogen) == "Pos"), s.weight).alias("cases"), F.bool_or(counts).alias("__counts")
     )
+    # The weeks of all rows and the places' counts come from one pass.
+    cells = stored(cells, "weeks-of-map")
+    weeks, facts = cells.select("epiweek_enddate").distinct(), cells.filter("__counts").drop("__counts")
     grid = dense_grid(facts, "epiweek_enddate", weeks, entity, ["cases"])
     return running_total(grid, [partition], "epiweek_enddate", "cases", "total")
 
@@ -319,6 +322,8 @@ def _quarter_grid(s: Summary, rows: DataFrame, pathogens: list[str]) -> DataFram
     facts = rows.groupBy(
         quarter_label("date_testing").alias("trimestre"), F.col("age_group").alias("faixas_etarias")
     ).agg(*[positives(s, p).cast("int").alias(DISEASE_NAMES[p]) for p in pathogens])
+    # The quarters are read apart from the counts; made once, a row per quarter and band serves both.
+    facts = stored(facts, "quarters")
     names = [DISEASE_NAMES[p] for p in pathogens]
     grid = dense_grid(facts, "trimestre", facts.select("trimestre"), ["faixas_etarias"], names, fill=None)
     return grid.select("trimestre", "faixas_etarias", *[F.col(n).cast("int").alias(n) for n in names])

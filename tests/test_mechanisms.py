@@ -7,6 +7,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from labwatch import vocab
 from labwatch.operators.aggregates import distinct_counts, distinct_states
 from labwatch.catalog import QUERIES, feed_queries, file_queries
 from labwatch.schema import LAB_COLUMNS
@@ -14,6 +15,7 @@ from labwatch.operators import joins
 from labwatch.operators.joins import covering_join, pattern_join
 from labwatch.operators.merge import split_feeds, union_feeds
 from labwatch.operators.windows import running_total, running_total_by_range
+from labwatch.plans import matrices
 from labwatch.plans import quality as Q
 from labwatch.plans.combine import guarded
 from labwatch.streaming import ingest
@@ -184,6 +186,47 @@ def test_samples_are_made_once_for_an_upsert(spark, monkeypatch):
         assert got.count() == 9 and "max(test_kit" not in plan_of(got) and "ExistingRDD" not in plan_of(got)
 
 
+def test_quarters_and_bands_are_counted_once(spark):
+    made = spark.createDataFrame(
+        [
+            ("zikv_pcr", "10-19", dt.date(2022, 2, 1), "Pos"),
+            ("zikv_pcr", "10-19", dt.date(2022, 2, 2), "Pos"),
+            ("igm_serum", "20-29", dt.date(2022, 5, 1), "Neg"),
+            ("denv_pcr", "20-29", dt.date(2023, 5, 1), "Pos"),
+        ],
+        "test_kit string, age_group string, date_testing date, zikv_test_result string",
+    )
+    others = [c for c in vocab.RESULT_COLUMNS if c != "zikv_test_result"]
+    rows = made.select("*", *[F.lit("NT").alias(c) for c in others])
+    grid = matrices.quarter_by_age_others(matrices.Summary(rows))
+    found = {(r.trimestre[:8], r.faixas_etarias): r.Zika for r in grid.collect()}
+    assert found == {("2022 - 1", "10-19"): 2, ("2022 - 2", "10-19"): None, ("2022 - 1", "20-29"): None, ("2022 - 2", "20-29"): 0}
+    assert "ExistingRDD" not in plan_of(grid)
+
+
+def test_weeks_of_a_map_are_counted_once(spark):
+    days = [dt.date(2026, 1, 3), dt.date(2026, 1, 10), dt.date(2026, 1, 17)]
+    made = spark.createDataFrame(
+        [
+            (days[0], "AA", "denv_pcr", "Pos"),
+            (days[0], "AA", "denv_pcr", "Neg"),
+            (days[1], "AA", "chikv_pcr", "Pos"),
+            (days[2], "AA", "denv_pcr", "Pos"),
+            (days[2], "AA", None, "Pos"),
+            (days[2], "BB", "denv_pcr", None),
+            (dt.date(2020, 1, 4), "AA", "denv_pcr", "Pos"),
+        ],
+        "epiweek_enddate date, state_code string, test_kit string, denv_test_result string",
+    )
+    people = spark.createDataFrame([("BR11", "AA", 1000)], "ADM2_PCODE string, DS_UF_SIGLA string, Populacao int")
+    summary = matrices.Summary(made.withColumn("state", F.lower("state_code")), macroregions=people)
+    cells = matrices._cumulative(summary, "DENV", ["state_code", "state"], "state_code")
+    got = [(r.epiweek_enddate, r.state_code, r.cases, r.total) for r in cells.collect()]
+    # A week without tests by a kit that counts is a week of the axis; a place without any has no row.
+    assert sorted(got) == [(days[0], "AA", 1, 1), (days[1], "AA", 0, 1), (days[2], "AA", 1, 2)]
+    assert "ExistingRDD" not in plan_of(cells)
+
+
 def test_events_in_order_are_dealt_by_time(spark):
     rows = spark.range(1000, numPartitions=3).selectExpr("id", "pmod(hash(id), 700) as ts")
     got = file_queries.in_order(rows, "ts")
