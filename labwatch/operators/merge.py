@@ -25,8 +25,10 @@ def split_feeds(df: DataFrame, feeds: dict[str, Column], columns: list[str], dis
 
     A row comes once for each condition it meets. ``lab_id`` of the table is replaced.
     """
-    labs = F.array_compact(F.array(*[F.when(condition, F.lit(lab)) for lab, condition in feeds.items()]))
-    tagged = df.withColumn("__labs", labs).select(F.explode("__labs").alias("lab_id"), *columns)
+    # Spark's array_compact is not compiled, and neither are the conditions below it: blank entries go as rows.
+    labs = F.array(*[F.when(condition, F.lit(lab)) for lab, condition in feeds.items()])
+    spread = df.withColumn("__labs", labs).select(F.explode("__labs").alias("lab_id"), *columns)
+    tagged = spread.filter(F.col("lab_id").isNotNull())
     return tagged.distinct() if distinct else tagged
 
 

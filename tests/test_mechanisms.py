@@ -135,6 +135,13 @@ def test_feeds_of_one_table_take_one_scan(spark, tmp_path):
     assert plan_of(got).count("FileScan") == 1 and plan_of(want).count("FileScan") == 9
 
 
+def test_conditions_of_feeds_are_compiled(spark):
+    lines = spark.range(20).selectExpr("if(id % 3 = 0, null, concat('LAB', id % 4)) AS lab_id", "id % 2 AS v")
+    got = split_feeds(lines, {f"L{i}": F.col("lab_id") == f"LAB{i}" for i in range(4)} | {"odd": F.col("v") == 1}, ["v"])
+    assert sorted(map(tuple, got.collect())) == [("L0", 0), ("L1", 1), ("L2", 0), ("L3", 1), ("odd", 1)]
+    assert "lambdafunction" not in plan_of(got)
+
+
 def test_checks_of_keys_in_one_shuffle(spark, tmp_path):
     rows = [(1, "a", 1), (1, "a", 2), (2, None, 3), (None, None, 4), (None, None, 5), (None, "x", 6), (None, "x", 7), (3, "y", 8)]
     spark.createDataFrame(rows, "k int, s string, n int").write.parquet(str(tmp_path / "t"))
