@@ -88,8 +88,18 @@ def columns_sql(columns: dict[str, str]) -> str:
     return ",\n".join(f'{expr} AS "{name}"' for name, expr in columns.items())
 
 
+# Columns that an order's customer alone decides.
+OF_CUSTOMER = ["lab_id", "sex", "location", "state", "patient_id"]
+
+
 def lab_lines(t: Tables) -> DataFrame:
-    return wide_lines(t).select(*[F.expr(e).alias(n) for n, e in LINES.items()])
+    """The laboratories' lines. Customers' columns are made once per customer, before they meet orders and lines."""
+    made = [F.expr(LINES[name]).alias(name) for name in OF_CUSTOMER]
+    customers = t.customer.withColumn("o_custkey", F.col("c_custkey")).select("c_custkey", *made)
+    orders = t.orders.select("o_orderkey", "o_custkey").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    lines = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return rows.select(*[F.col(n) if n in OF_CUSTOMER else F.expr(e).alias(n) for n, e in LINES.items()])
 
 
 def coded_lines(t: Tables) -> DataFrame:

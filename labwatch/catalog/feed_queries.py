@@ -34,7 +34,7 @@ from labwatch.feeds.runner import run_feed, stamp
 from labwatch.feeds.spec import LabSpec
 from labwatch.functions import text as X
 from labwatch.operators import windows as W
-from labwatch.operators.merge import upsert
+from labwatch.operators.merge import FeedsOfTable, upsert
 from labwatch.operators.shaping import one_hot
 from labwatch.plans import combine as C
 from labwatch.schema import CARRIED, LAB_COLUMNS
@@ -441,9 +441,9 @@ def _(t: Tables):
 
 
 def finals(t: Tables):
-    """The bridge samples as the finals of eight laboratories."""
-    rows = samples(t)
-    return {f"LAB{i}": stamp(rows.filter(F.col("lab_id") == f"LAB{i}"), STAMP) for i in range(8)}
+    """The bridge samples as the finals of eight laboratories, made once for all of them."""
+    rows = stamp(samples(t), STAMP, also=("lab_id",))
+    return FeedsOfTable(rows, {f"LAB{i}": F.col("lab_id") == f"LAB{i}" for i in range(8)})
 
 
 COMBINED = [*LAB_COLUMNS, "lab_id"]

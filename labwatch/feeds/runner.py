@@ -122,11 +122,12 @@ def collapse(pivoted: DataFrame, spec: LabSpec) -> DataFrame:
     return out
 
 
-def stamp(samples: DataFrame, as_of: str | None = None) -> DataFrame:
+def stamp(samples: DataFrame, as_of: str | None = None, also: tuple[str, ...] = ()) -> DataFrame:
+    """LabResult rows with the time of their load; ``also`` names columns to keep in front."""
     now = local_stamp(as_of)
     return samples.select(
         "*", now.alias("created_at"), now.alias("updated_at")
-    ).select(*LAB_COLUMNS)
+    ).select(*also, *LAB_COLUMNS)
 
 
 def run_feed(raw: DataFrame, spec: LabSpec, as_of: str | None = None, strict: bool = False) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,17 +11,36 @@ from pyspark.sql import functions as F
 from labwatch.functions.text import col
 
 
-def union_feeds(feeds: dict[str, DataFrame], columns: list[str], distinct: bool = True) -> DataFrame:
+class FeedsOfTable(Mapping[str, DataFrame]):
+    """Feeds that are conditions on one table, by name: each is read on its own, or all in one scan by ``union_feeds``."""
+
+    def __init__(self, table: DataFrame, conditions: Mapping[str, Column]):
+        self.table, self.conditions = table, dict(conditions)
+
+    def __getitem__(self, lab: str) -> DataFrame:
+        return self.table.filter(self.conditions[lab])
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.conditions)
+
+    def __len__(self) -> int:
+        return len(self.conditions)
+
+
+def union_feeds(feeds: Mapping[str, DataFrame], columns: list[str], distinct: bool = True) -> DataFrame:
     """Feeds under one column list with their ``lab_id``.
 
-    ``distinct=False`` saves the shuffle where every feed is already unique by sample (upserted).
+    ``distinct=False`` saves the shuffle where every feed is already unique by sample (upserted). Feeds of one table
+    share its plan, which separate feeds would run once each.
     """
+    if isinstance(feeds, FeedsOfTable):
+        return split_feeds(feeds.table, feeds.conditions, columns, distinct)
     tagged = [df.select(F.lit(lab).alias("lab_id"), *columns) for lab, df in feeds.items()]
     out = reduce(DataFrame.unionByName, tagged)
     return out.distinct() if distinct else out
 
 
-def split_feeds(df: DataFrame, feeds: dict[str, Column], columns: list[str], distinct: bool = True) -> DataFrame:
+def split_feeds(df: DataFrame, feeds: Mapping[str, Column], columns: list[str], distinct: bool = True) -> DataFrame:
     """As ``union_feeds`` where every feed is a condition on one table: one scan, whatever their number.
 
     A row comes once for each condition it meets. ``lab_id`` of the table is replaced.

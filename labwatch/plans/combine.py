@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -65,7 +66,7 @@ class Dimensions:
         return replace(self, checked=True, **tables)
 
 
-def combine_feeds(finals: dict[str, DataFrame], distinct: bool = True, methods: DataFrame | None = None) -> DataFrame:
+def combine_feeds(finals: Mapping[str, DataFrame], distinct: bool = True, methods: DataFrame | None = None) -> DataFrame:
     """Union of the laboratories' finals with the method of each kit."""
     rows = union_feeds(finals, LAB_COLUMNS, distinct)
     if methods is None:
@@ -173,7 +174,7 @@ def enrich(rows: DataFrame, dims: Dimensions) -> DataFrame:
     return add_geography(fixed, dims.municipalities, dims.macroregions)
 
 
-def combine(finals: dict[str, DataFrame], dims: Dimensions, distinct: bool = False) -> DataFrame:
+def combine(finals: Mapping[str, DataFrame], dims: Dimensions, distinct: bool = False) -> DataFrame:
     """Upserted finals are unique by sample, so the union needs no distinct by default."""
     return enrich(combine_feeds(finals, distinct), dims)
 
