@@ -1,6 +1,7 @@
 """Operators on small fixtures with nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import hashlib
+import re
 import zlib
 
 import numpy as np
@@ -331,6 +332,42 @@ def test_repeats(spark, documents, monkeypatch):
     assert removal_digests(docs.limit(0), 100).count() == 0 and cut_repeats(docs.select("doc_id", "text").limit(0)).count() == 0
 
 
+def passages_by_hand(rows, words):
+    texts = [re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode()) for _, t in rows]
+    places = {}
+    for i, own in enumerate(texts):
+        for s in range(len(own) - words + 1):
+            places.setdefault(tuple(own[s : s + words]), []).append((i, s))
+    held = [np.zeros(len(own), bool) for own in texts]
+    for found in places.values():
+        if len(found) > 1:
+            for i, s in found:
+                held[i][s : s + words] = True
+    return [(str(key), int((np.diff(np.concatenate(([0], m.astype(int)))) == 1).sum())) for (key, _), m in zip(rows, held)]
+
+
+def test_repeated_passages_are_counted(spark, documents):
+    """Passages of over 50 words are counted though they have less than 400 bytes, which are not removed."""
+    passages = {n: prose(700 + n, n) for n in range(48, 56)}
+    rows = []
+    for n, passage in passages.items():
+        rows += [(n * 10 + k, f"{prose(n * 7 + k, 80)} start{n}{k} {passage} end{n}{k} {prose(n * 11 + k, 80)}") for k in range(2)]
+        rows.append((n * 10 + 2, f"a{n}\n{passage}\t b{n} {passage.replace(' ', '  ')}"))
+    rows += [(20, "w" * 300 + "\x0b" + prose(5, 70)), (21, "w" * 299 + "v " + prose(5, 70)), (22, prose(6, 51)), (23, prose(6, 51)), (24, prose(6, 51) + "\n"), *ODD_ROWS, (25, prose(7, 50)), (26, prose(7, 50))]
+    docs = documents(*rows)
+    got = {str(r.doc_id): r for r in removal_digests(docs, 400, words=51).collect() if r.doc_id is not None}
+    for n, passage in passages.items():
+        assert len(passage) < 400
+        for k in range(2):
+            assert got[str(n * 10 + k)].n_removed == 0 and got[str(n * 10 + k)].n_passages == (n > 50)
+    for words in (51, 6, 2):
+        out = removal_digests(docs, 400, words=words).collect()
+        assert sorted((str(r.doc_id), r.n_passages) for r in out) == sorted(passages_by_hand(rows, words))
+    shape = lambda df: sorted(map(str, df.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()))
+    assert shape(removal_digests(docs, 100, words=51)) == shape(removal_digests(docs, 100))
+    assert removal_digests(docs.limit(0), 400, words=51).count() == 0
+
+
 def test_repeats_in_texts_longer_than_a_block(spark, documents):
     # Nothing repeats in the long text but the passage across its first block's end, which another text holds too.
     text = np.random.default_rng(3).integers(97, 123, 2 * BLOCK + 9000).astype(np.uint8).tobytes().decode()
