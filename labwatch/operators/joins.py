@@ -2,14 +2,16 @@
 
 No side is broadcast on trust. Dimension sides are left to the size check of
 ``spark.sql.autoBroadcastJoinThreshold`` (static and adaptive), or were counted by their caller; the
-only other broadcast is the hot-key list of :func:`join_back`, bounded by ``HOT_SHARE``.
+only other broadcasts are the hot-key list of :func:`join_back`, bounded by ``HOT_SHARE``, and the
+patterns of :func:`pattern_join`, counted and sent in parts of at most ``PART_BYTES``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 # A key is hot when it holds more than 1/HOT_SHARE of all lines, so at most HOT_SHARE keys can be hot.
@@ -175,6 +177,16 @@ def literal_prefix(pattern: Column) -> Column:
 
 # The longest run of letters that patterns with a wildcard first are looked up by.
 RUN = 8
+# Patterns that rows meet where they lie are broadcast in parts of about this size, a row's share as an object included.
+PART_BYTES = 128_000_000
+ROW_BYTES = 100
+# Rows make their runs again for each part, up to this many parts; beyond, the runs are shuffled.
+PARTS = 16
+# Rows are told apart from their values where a value stands in more than this many of them.
+REPEATS = 4
+# Rows in fewer tasks than this, of more than so many rows each, are dealt out anew first: their runs are much work.
+TASKS = 32
+TASK_ROWS = 100_000
 
 
 def longest_literal(pattern: Column) -> Column:
@@ -196,37 +208,104 @@ def only_holds(pattern: Column, literal: Column) -> Column:
     return bare & pattern.startswith("%") & pattern.endswith("%") & (F.length(literal) <= RUN)
 
 
-def _by_runs(values: DataFrame, text: Column, patterns: DataFrame) -> DataFrame:
-    """Values and patterns that share a run of the pattern's longest literal stretch, ``__literal``.
+def room_behind(pattern: Column, literal: Column) -> Column:
+    """How many letters a LIKE pattern asks for behind ``literal``, wherever that stands; NULL where it asks for more.
 
-    A stretch of at most ``RUN`` letters is the run itself, so the values are indexed by their runs of the lengths that
-    occur. A longer one is looked up by the rarest of its runs among the values; one that no value has meets none.
-    ``__sure`` tells where sharing the run is all that LIKE asks for, which costs a compiled pattern per pair.
+    Only for literals of at most ``RUN`` letters. Their first place in a text has the most letters behind it.
     """
-    size = F.least(F.length("__literal"), F.lit(RUN))
-    numbered = patterns.withColumns({"__pattern": F.monotonically_increasing_id(), "__size": size})
+    bare = F.regexp_replace(pattern, "^%+", "")
+    tail = F.substring(bare, F.length(literal) + 1, F.length(bare))
+    loose = pattern.startswith("%") & bare.startswith(literal) & tail.rlike(r"\A[%_]*%[%_]*\z") & (F.length(literal) <= RUN)
+    return F.when(loose, F.length(F.regexp_replace(tail, "%", "")))
+
+
+def _rarest_runs(values: DataFrame, text: Column, patterns: DataFrame, any_long: Column) -> DataFrame:
+    """Patterns with the run they are looked up by, ``__rarest``; a long literal that no value can hold is left out."""
     long_ = F.length("__literal") > RUN
-    sizes = patterns.agg(F.collect_set(size)).scalar()
-    any_long = patterns.agg(F.coalesce(F.bool_or(long_), F.lit(False))).scalar()
-    index = values.withColumn("__text", text).select("*", F.explode(sizes).alias("__size"))
-    index = index.select(*values.columns, F.explode(runs_of(F.col("__text"), F.col("__size"))).alias("__run"))
-    whole = numbered.where(~long_).withColumn("__rarest", F.col("__literal"))
-    parts = numbered.where(long_).select("__pattern", F.explode(runs_of(F.col("__literal"), F.lit(RUN))).alias("__part"))
+    whole = patterns.where(~long_).withColumn("__rarest", F.col("__literal"))
+    long_ones = patterns.where(long_)
+    literals = long_ones.select(F.col("__literal").alias("__of_literal")).distinct()
+    parts = literals.select("__of_literal", F.explode(runs_of(F.col("__of_literal"), F.lit(RUN))).alias("__part"))
     often = (
         values.where(any_long)
         .select(F.explode(runs_of(text, F.lit(RUN))).alias("__of"))
         .groupBy("__of")
         .agg(F.count(F.lit(1)).alias("__often"))
     )
-    weighed = parts.join(often, F.col("__part") == F.col("__of"), "left").groupBy("__pattern").agg(
+    weighed = parts.join(often, F.col("__part") == F.col("__of"), "left").groupBy("__of_literal").agg(
         F.min(F.struct(F.coalesce("__often", F.lit(0)).alias("n"), "__part")).alias("__rare")
     )
-    rare = weighed.where("__rare.n > 0").select(F.col("__pattern").alias("__p"), F.col("__rare.__part").alias("__rarest"))
-    cut = numbered.where(long_).join(rare, F.col("__pattern") == F.col("__p")).drop("__p")
-    led = whole.unionByName(cut).drop("__pattern", "__size", "__literal")
+    rare = weighed.where("__rare.n > 0").select("__of_literal", F.col("__rare.__part").alias("__rarest"))
+    cut = long_ones.join(rare, F.col("__literal") == F.col("__of_literal")).drop("__of_literal")
+    return whole.unionByName(cut)
+
+
+def _by_runs(values: DataFrame, text: Column, patterns: DataFrame) -> DataFrame:
+    """Values and patterns that share a run of the pattern's longest literal stretch, ``__literal``.
+
+    A stretch of at most ``RUN`` letters is the run itself, so the values are indexed by their runs of the lengths that
+    occur. A longer one is looked up by the rarest of its runs among the values; one that no value has meets none.
+    ``__sure`` tells where sharing the run is all that LIKE asks for, which costs a compiled pattern per pair.
+    """
+    sizes = patterns.agg(F.collect_set(F.least(F.length("__literal"), F.lit(RUN)))).scalar()
+    any_long = patterns.agg(F.coalesce(F.bool_or(F.length("__literal") > RUN), F.lit(False))).scalar()
+    index = values.withColumn("__text", text).select("*", F.explode(sizes).alias("__size"))
+    index = index.select(*values.columns, F.explode(runs_of(F.col("__text"), F.col("__size"))).alias("__run"))
+    led = _rarest_runs(values, text, patterns, any_long).drop("__literal")
     return index.join(led, F.col("__run") == F.col("__rarest")).drop("__run", "__rarest")
 
 
+def _in_place(
+    df: DataFrame, pairs: Mapping[str, str], fold: Callable[[Column], Column], led: DataFrame, dim: list[str], said: Row
+) -> DataFrame:
+    """Rows and the patterns ``led`` that match, both with all their columns; the rows stay where they are.
+
+    The patterns come to the rows in ``said.parts`` broadcasts. A row makes the runs of its text, each at its first place,
+    and meets the patterns of each in its own task, so neither runs nor pairs are shuffled, sorted or kept.
+    """
+    names = {c: f"__dim{i}" for i, c in enumerate(dim)}
+    first = next(iter(pairs))
+    text = fold(F.col(first))
+    known = df.where(F.col(first).isNotNull())
+    led = led.withColumn("__room", room_behind(fold(F.col(pairs[first])), F.col("__literal"))).withColumnsRenamed(names)
+    led = _rarest_runs(known, text, led, F.lit(True)) if max(said.sizes) > RUN else led.withColumn("__rarest", F.col("__literal"))
+    led = led.select("__rarest", "__room", *names.values())
+    places = known.withColumn("__text", text).select("*", F.expr("explode(sequence(1, greatest(length(__text), 1)))").alias("__at"))
+    sizes = F.array(*[F.lit(n) for n in sorted({min(n, RUN) for n in said.sizes})])
+    cut = places.select("*", F.explode(sizes).alias("__size")).where("__at + __size - 1 <= length(__text)")
+    index = cut.withColumn("__run", F.expr("substring(__text, __at, __size)")).where("instr(__text, __run) = __at")
+    held = F.lit(True)
+    for value, pattern in pairs.items():
+        like = F.call_function("like", fold(F.col(value)), fold(F.col(names[pattern])))
+        if value == first:
+            enough = F.expr("__at + __size - 1 + __room <= length(__text)")
+            like = F.when(F.col("__room").isNotNull(), enough).otherwise(like)
+        held = held & like
+    out = [*[F.col(c) for c in df.columns], *[F.col(n).alias(c) for c, n in names.items()]]
+    met = []
+    for part in range(said.parts):
+        dealt = F.pmod(F.xxhash64(F.to_json(F.struct(*names.values()))), F.lit(said.parts))
+        some = led if said.parts == 1 else led.where(dealt == part)
+        met.append(index.join(F.broadcast(some), F.col("__run") == F.col("__rarest")).where(held).select(*out))
+    return reduce(DataFrame.unionAll, met)
+
+
+def _said_of(marked: DataFrame, by_runs: Column, dim: list[str]) -> Row:
+    """Of a dimension's patterns: the lengths of the literals that lead, how many are not led, and the parts to send."""
+    width = F.octet_length(F.to_json(F.struct(*dim))) + F.octet_length("__literal") + ROW_BYTES
+    return marked.agg(
+        F.collect_set(F.when(by_runs, F.least(F.length("__literal"), F.lit(RUN + 1)))).alias("sizes"),
+        F.count_if(~by_runs).alias("others"),
+        F.coalesce(F.ceil(F.sum(F.when(by_runs, width)) / PART_BYTES), F.lit(0)).cast("int").alias("parts"),
+    ).first()
+
+
+def _rows_of(df: DataFrame, value: str) -> Row:
+    """How many rows have a value, about how many values there are, and the tasks that read them."""
+    seen = df.select(F.col(value).alias("value"), F.spark_partition_id().alias("task")).where("value is not null")
+    return seen.agg(F.count("value").alias("rows"), F.approx_count_distinct("value").alias("kinds"), F.countDistinct("task").alias("tasks")).first()
+
+
 def pattern_join(
     df: DataFrame, dim: DataFrame, pairs: Mapping[str, str], how: str = "left", ignore_case: bool = True
 ) -> DataFrame:
@@ -236,6 +315,9 @@ def pattern_join(
     lengths that occur, and LIKE decides; the matches then join back on the values. Patterns that begin with a wildcard
     meet the values that hold their longest literal stretch, or of a long one its rarest run of letters; only those of
     nothing but wildcards meet all distinct values.
+
+    An inner join of values that hardly repeat brings those patterns to the rows instead, in counted broadcasts, so what
+    is shuffled does not grow with the runs or the matches. It counts both sides when it is called.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be left or inner")
@@ -245,6 +327,18 @@ def pattern_join(
         {"__prefix": literal_prefix(fold(F.col(pairs[first]))), "__literal": longest_literal(fold(F.col(pairs[first])))}
     ).withColumn("__sure", only_holds(fold(F.col(pairs[first])), F.col("__literal")))
     by_runs = (F.length("__prefix") == 0) & (F.length("__literal") > 0)
+    found = []
+    if how == "inner":
+        said = _said_of(marked, by_runs, dim.columns)
+        rows = _rows_of(df, first) if 0 < said.parts <= PARTS else None
+        if rows and rows.rows <= REPEATS * rows.kinds:
+            led = marked.where(by_runs).select(*dim.columns, "__literal")
+            tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            few = rows.tasks < min(TASKS, tasks) and rows.rows > TASK_ROWS * rows.tasks
+            found = [_in_place(df.repartition(tasks) if few else df, pairs, fold, led, dim.columns, said)]
+            if not said.others:
+                return found[0]
+            marked = marked.where(~by_runs)
     patterns = marked.where(~by_runs).drop("__literal")
     lengths = patterns.where("__prefix is not null").agg(F.collect_set(F.length("__prefix"))).scalar()
     values = df.select(*[F.col(v).alias(f"__{v}") for v in pairs]).distinct().where(F.col(f"__{first}").isNotNull())
@@ -253,7 +347,9 @@ def pattern_join(
     keyed = spread.where("length(__text) >= __length").withColumn("__start", F.expr("substring(__text, 1, __length)"))
     met = keyed.join(patterns, F.col("__start") == F.col("__prefix"))
     columns = [*[f"__{v}" for v in pairs], *dim.columns]
-    met = met.select(*columns, F.lit(False).alias("__sure")).unionByName(_by_runs(values, text, marked.where(by_runs)).select(*columns, "__sure"))
+    met = met.select(*columns, F.lit(False).alias("__sure"))
+    if not found:
+        met = met.unionByName(_by_runs(values, text, marked.where(by_runs)).select(*columns, "__sure"))
     for value, pattern in pairs.items():
         held = F.call_function("like", fold(F.col(f"__{value}")), fold(F.col(pattern)))
         met = met.where(F.col("__sure") | held if value == first else held)
@@ -261,11 +357,12 @@ def pattern_join(
     condition = F.lit(True)
     for value in pairs:
         condition = condition & (F.col(f"f.{value}") == F.col(f"m.__{value}"))
-    return (
+    joined = (
         df.alias("f")
         .join(matches.alias("m"), condition, how)
         .select(*[F.col(f"f.{c}") for c in df.columns], *[F.col(f"m.{c}") for c in dim.columns])
     )
+    return reduce(DataFrame.unionAll, [*found, joined])
 
 
 def dense_grid(

@@ -109,6 +109,32 @@ def test_short_stretches_are_looked_up(spark):
     assert [r[0] for r in sure.select(joins.only_holds(F.col("p"), F.col("l"))).collect()] == [True, True, False, False, False]
 
 
+@pytest.mark.parametrize("copies, part_bytes, task_rows", [(1, 10**9, 10**6), (1, 3_000, 1), (9, 10**9, 10**6)])
+def test_inner_patterns_come_to_the_rows(spark, monkeypatch, copies, part_bytes, task_rows):
+    """Where values hardly repeat neither their runs nor the pairs are shuffled, in one broadcast or in several."""
+    monkeypatch.setattr(joins, "PART_BYTES", part_bytes)
+    monkeypatch.setattr(joins, "TASK_ROWS", task_rows)
+    random = np.random.default_rng(11)
+    text = lambda n: "".join(random.choice(list("abcd"), n))
+    # The last letters of a text with a line break after them are not its end.
+    values = [(i, text(random.integers(0, 16))) for i in range(100)] + [(900, None), (901, "ab\n"), (902, "çab𝄞d")]
+    signs = ["%", "%_", "_%", "%_%_", "_", "", "%a", "%\n"]
+    patterns = [f"{random.choice(['%', '%%', '%_', '_%'])}{text(random.integers(1, 6))}{random.choice(signs)}" for _ in range(120)]
+    patterns += ["%ab%\n", "%ab%_", "%𝄞%_", "%𝄞%__", "%abcdabcdab%", f"%{values[0][1] * 2}%", None] + [f"%{v[2:12]}%" for _, v in values[:30] if len(v) > 11]
+    dim = spark.createDataFrame([*enumerate(patterns)], "k int, pattern string")
+    df = spark.createDataFrame(values * copies, "k int, v string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = pattern_join(df, dim, {"v": "pattern"}, "inner", ignore_case=False)
+        plan = plan_of(got)
+        found = sorted(tuple(r) for r in got.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    pairs = [(k, v, p, x) for k, v in values for p, x in enumerate(patterns) if v is not None and x is not None and like(v, x)]
+    assert found == sorted(pairs * copies)
+    assert ("hashpartitioning(__run" in plan) == (copies > 1)
+
+
 def test_two_level_totals(spark):
     random = np.random.default_rng(7)
     rows = [(str(random.integers(0, 2)), int(o), int(v) if v > 2 else None) for o, v in zip(random.integers(0, 60, 500), random.integers(0, 50, 500))]
