@@ -88,18 +88,24 @@ def columns_sql(columns: dict[str, str]) -> str:
     return ",\n".join(f'{expr} AS "{name}"' for name, expr in columns.items())
 
 
-# Columns that an order's customer alone decides.
+# Columns that an order's customer alone decides, and those that a line alone decides and that are smaller than their parts.
 OF_CUSTOMER = ["lab_id", "sex", "location", "state", "patient_id"]
+OF_LINE = ["result", "age", "date_testing"]
 
 
 def lab_lines(t: Tables) -> DataFrame:
-    """The laboratories' lines. Customers' columns are made once per customer, before they meet orders and lines."""
+    """The laboratories' lines. Customers' columns are made once per customer, before they meet orders and lines.
+
+    The lines' own codes, ages and dates are made before the lines move, in place of what they are made of.
+    """
     made = [F.expr(LINES[name]).alias(name) for name in OF_CUSTOMER]
     customers = t.customer.withColumn("o_custkey", F.col("c_custkey")).select("c_custkey", *made)
     orders = t.orders.select("o_orderkey", "o_custkey").join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    lines = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    own = t.lineitem.select("*", *[F.expr(LINES[name]).alias(name) for name in OF_LINE])
+    lines = own.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return rows.select(*[F.col(n) if n in OF_CUSTOMER else F.expr(e).alias(n) for n, e in LINES.items()])
+    made = {*OF_CUSTOMER, *OF_LINE}
+    return rows.select(*[F.col(n) if n in made else F.expr(e).alias(n) for n, e in LINES.items()])
 
 
 def coded_lines(t: Tables) -> DataFrame:

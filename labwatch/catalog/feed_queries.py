@@ -38,7 +38,7 @@ from labwatch.operators.merge import FeedsOfTable, upsert
 from labwatch.operators.shaping import one_hot
 from labwatch.plans import combine as C
 from labwatch.schema import CARRIED, LAB_COLUMNS
-from labwatch.session import stored
+from labwatch.session import stored_by
 from labwatch.sources.readers import cast_estimates
 
 DAY = f"(cast(l_shipdate as date) + {SHIFT})"
@@ -433,8 +433,8 @@ def _(t: Tables):
     ),
 )
 def _(t: Tables):
-    # The upsert reads both sides several times.
-    rows = stored(samples(t), "samples-made")
+    # The upsert reads both sides several times, always by this key.
+    rows = stored_by(samples(t), "sample_id", "samples-made")
     before = stamp(rows.filter("sex = 'F'"), "2026-01-01 08:00:00")
     delivered = stamp(rows.filter("NOT (coalesce(sex, '') = 'F' AND test_kit = 'denv_pcr')"), STAMP)
     return upsert(before, delivered, ["sample_id"])

@@ -45,3 +45,27 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+# Spark deletes an execution's shuffled files when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored_by(df: DataFrame, key: str, label: str) -> DataFrame:
+    """As ``stored``, dealt by ``key`` into as many buckets as a shuffle has partitions.
+
+    Joins and aggregations on ``key`` read the buckets as they lie, without a shuffle, and what made the rows is deleted
+    once they are written. Only a table can have buckets: its name is dropped again, its files stay.
+    """
+    spark = df.sparkSession
+    buckets, cleaned = int(spark.conf.get("spark.sql.shuffle.partitions")), spark.conf.get(CLEANUP, None)
+    name = f"labwatch_{uuid.uuid4().hex}"
+    writer = df.write.format("parquet").option("compression", "zstd").option("path", scratch_dir(spark, label))
+    spark.conf.set(CLEANUP, "true")
+    try:
+        writer.bucketBy(buckets, key).saveAsTable(name)
+    finally:
+        spark.conf.unset(CLEANUP) if cleaned is None else spark.conf.set(CLEANUP, cleaned)
+    rows = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return rows

@@ -7,13 +7,13 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from labwatch import vocab
+from labwatch import session, vocab
 from labwatch.operators.aggregates import distinct_counts, distinct_states
 from labwatch.catalog import QUERIES, feed_queries, file_queries
 from labwatch.schema import LAB_COLUMNS
 from labwatch.operators import joins
 from labwatch.operators.joins import covering_join, pattern_join
-from labwatch.operators.merge import split_feeds, union_feeds
+from labwatch.operators.merge import split_feeds, union_feeds, upsert
 from labwatch.operators.windows import running_total, running_total_by_range
 from labwatch.plans import matrices
 from labwatch.plans import quality as Q
@@ -219,6 +219,53 @@ def test_samples_are_made_once_for_an_upsert(spark, monkeypatch):
         assert got.count() == 9 and "max(test_kit" not in plan_of(got) and "ExistingRDD" not in plan_of(got)
 
 
+def test_rows_stored_by_a_key_are_not_shuffled_by_it(spark):
+    """An upsert of both sides by the key they are stored by reads their buckets: no exchange, no table left behind."""
+    rows = spark.range(60).selectExpr("if(id % 20 = 7, null, concat('s', id)) as k", "cast(id as int) as v", "'new' as created_at")
+    kept, tables = spark.conf.get(session.CLEANUP, None), spark.catalog.listTables()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = session.stored_by(rows, "k", "made")
+        target = made.where("v % 3 = 0").withColumn("created_at", F.lit("old"))
+        got = upsert(target, made.where("v % 2 = 0"), ["k"])
+        assert "Exchange" not in plan_of(got) and "Bucketed: true" in plan_of(got)
+        found = sorted(((r.k, r.v, r.created_at) for r in got.collect()), key=str)
+        none = session.stored_by(rows.limit(0), "k", "made")
+        assert upsert(none, none, ["k"]).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = []
+    for v in range(60):
+        k = None if v % 20 == 7 else f"s{v}"
+        want += [(k, v, "old")] if v % 3 == 0 and (k is None or v % 2) else []
+        want += [(k, v, "old" if v % 3 == 0 and k else "new")] if v % 2 == 0 else []
+    assert found == sorted(want, key=str)
+    assert spark.conf.get(session.CLEANUP, None) == kept and spark.catalog.listTables() == tables
+
+
+def test_upserted_samples_lie_by_their_key(spark, tmp_path):
+    """The load, the check for repeated keys and the merge of the samples need no shuffle of them."""
+    dt_of = "timestamp_ntz '1997-05-01 00:00:00'"
+    tables = {
+        "lineitem": f"id div 3 as l_orderkey; id % 5 as l_partkey; id % 7 as l_suppkey; cast(id % 3 as int) as l_linenumber; double(id % 50) as l_quantity; 0.02D as l_tax; 'A' as l_returnflag; 'F' as l_linestatus; {dt_of} as l_shipdate",
+        "orders": "id as o_orderkey; id % 11 as o_custkey",
+        "customer": "id as c_custkey; id % 4 as c_nationkey; 'BUILDING' as c_mktsegment",
+        "part": "id as p_partkey; if(id % 2 = 0, 'PROMO', 'STANDARD') as p_type; cast(id as int) as p_size",
+    }
+    for name, columns in tables.items():
+        spark.range(120).selectExpr(*columns.split("; ")).write.parquet(f"{tmp_path}/{name}.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = QUERIES["L13_step_upsert"](spark, str(tmp_path))
+        assert "Exchange" not in plan_of(got)
+        rows = got.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(rows) == len({r.sample_id for r in rows}) == len({(i // 3, i % 5 % 2) for i in range(120)})
+    early = {(r.sex, r.test_kit, r.created_at.month, r.updated_at.month) for r in rows}
+    assert early == {("F", "denv_pcr", 1, 1), ("F", "arbo_pcr_3", 1, 12), *((s, k, 12, 12) for s in ("M", None) for k in ("denv_pcr", "arbo_pcr_3"))}
+
+
 def test_quarters_and_bands_are_counted_once(spark):
     made = spark.createDataFrame(
         [
